@@ -1,0 +1 @@
+"""Left empty on purpose: the checks are batch jobs and none of them reads a stream."""
