@@ -120,8 +120,7 @@ def post_balance_check(spark, sf_dir):
 
 def _egress_sides(spark, sf_dir):
     orders = v.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("batch_id"))
-    lines = v.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    return orders.select("batch_id"), orders.join(lines, "o_orderkey", "left_semi").select("batch_id")
+    return orders.select("batch_id"), v.with_lines(spark, sf_dir, orders).select("batch_id")
 
 
 def egress_count_reconcile(spark, sf_dir):

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key with at least this many rows is hot. N rows hold at most N / HOT_ROWS hot keys, which
-# bounds what is broadcast: 10^12 rows give at most 10^6 small lookup rows.
+# A key with at least this many rows is hot and is split into parts of about this size. N rows
+# hold at most N / HOT_ROWS hot keys, which bounds what is broadcast and repeated: 10^12 rows
+# give at most 10^6 short rows.
 HOT_ROWS = 1_000_000
 
 
@@ -22,41 +25,23 @@ def lookup_join(
 ) -> DataFrame:
     """``rows`` joined to the at most one ``lookup`` row of their keys.
 
-    Rows of hot keys meet their lookup row by broadcast and are spread over the shuffle of
-    the other rows by ``row_id``, so no task gets all rows of one key. Every row is kept
-    (``how='left'``) or every row with a match is (``how='inner'``).
+    The rows of a hot key are split over as many parts as they need, by ``row_id``, and the
+    lookup row of the key is repeated for each part, so no task gets all rows of one key.
+    Every row is kept (``how='left'``) or every row with a match is (``how='inner'``).
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how is left or inner, not {how!r}")
     keys = [keys] if isinstance(keys, str) else list(keys)
-    found = F.struct(F.lit(True).alias("_hit"), *[c for c in lookup.columns if c not in keys])
-    has_keys = F.lit(True)
-    for key in keys:
-        has_keys = has_keys & F.col(key).isNotNull()
-
-    hot_keys = (
-        rows.where(has_keys).groupBy(*keys).agg(F.count("*").alias("_n"))
-        .where(F.col("_n") >= hot_rows).select(*keys)
-    )
-    hot = hot_keys.join(lookup.select(*keys, found.alias("_hot_found")), keys, "left").withColumn(
-        "_is_hot", F.lit(True)
-    )
-    none = F.lit(0).cast("bigint")
-    cold = lookup.select(
-        *[F.col(k).alias(f"_cold_{k}") for k in keys], none.alias("_spread"), found.alias("_cold_found")
+    hot = F.broadcast(
+        rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= hot_rows)
+        .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts"))
     )
-    # Hot rows and rows without a key match nothing in the second join: their spread value is
-    # odd, that of the lookup rows is 0.
-    settled = F.coalesce("_is_hot", F.lit(False)) | ~has_keys
-    spread = F.when(settled, F.xxhash64(row_id).bitwiseOR(F.lit(1))).otherwise(none)
-    joined = (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn("_spread", spread)
-        .withColumns({f"_cold_{k}": F.col(k) for k in keys})
-        .join(cold, [f"_cold_{k}" for k in keys] + ["_spread"], "left")
-        .withColumn("_found", F.coalesce("_hot_found", "_cold_found"))
+    parts = F.coalesce("_parts", F.lit(1))
+    # Rows without a key match nothing and are spread over all tasks.
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    split_rows = rows.join(hot, keys, "left").withColumn(
+        "_part", F.pmod(F.xxhash64(row_id), F.when(no_key, HOT_ROWS).otherwise(parts)).cast("int")
     )
-    if how == "inner":
-        joined = joined.where(F.col("_found").isNotNull())
+    repeated = lookup.join(hot, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
     values = [c for c in lookup.columns if c not in keys]
-    return joined.select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in values])
+    return split_rows.join(repeated.drop("_parts"), [*keys, "_part"], how).select(*rows.columns, *values)

@@ -17,6 +17,8 @@ BLANK_OBJECT = {
 }
 SEPARATOR = " | "
 
+KNOWN_TYPE = f"coalesce(object_type in ({', '.join(map(repr, AUDIT_LABELS))}), false)"
+
 
 def blank_object(validation_type: str) -> Column:
     """True for jobs without an object name, or without a path unless the object is a table."""
@@ -63,41 +65,32 @@ def rule_labels(spark: SparkSession) -> DataFrame:
     )
 
 
-def _judged(rule: Rule, available: set[str]) -> list[Column]:
+def _judged(rule: Rule, available: set[str]) -> list[str]:
     """Source value, target value and status of one rule as columns of their own."""
     if any(name not in available for name in (*rule.required, *rule.optional)):
-        found = [F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(ERROR)]
+        found = ["cast(null as string)", "cast(null as string)", f"'{ERROR}'"]
     else:
-        verdict = rule.judge()
-        status = rule.status(verdict)
+        status = rule.status
         if isinstance(rule.labels, dict):
-            status = F.when(F.col("object_type").isin(*rule.labels), status).otherwise(ERROR)
-        found = [verdict.source.cast("string"), verdict.target.cast("string"), status]
-    names = ("source", "target", "status")
-    return [column.alias(f"_{name}_{rule.rule_id}") for name, column in zip(names, found)]
+            status = f"if({KNOWN_TYPE}, {status}, '{ERROR}')"
+        found = [f"cast({rule.source} as string)", f"cast({rule.target} as string)", status]
+    return [f"{sql} as _{name}_{rule.rule_id}" for name, sql in zip(("source", "target", "status"), found)]
 
 
-def _result(rule: Rule, available: set[str]) -> Column:
+def _result(rule: Rule, available: set[str]) -> str:
     absent = [n for n in (*rule.required, *rule.optional) if n not in available]
     if absent:
-        missing = F.lit(", ".join(absent))
+        missing = f"'{', '.join(absent)}'"
     else:
-        known_type = F.col("object_type").isin(*AUDIT_LABELS)
-        missing = F.concat_ws(
-            ", ",
-            *([F.when(~F.coalesce(known_type, F.lit(False)), "object_type")] if isinstance(rule.labels, dict) else []),
-            *[F.when(F.col(n).isNull(), n) for n in rule.required],
-        )
-    status = F.col(f"_status_{rule.rule_id}")
-    return F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.col(f"_source_{rule.rule_id}").alias("source_value"),
-        F.col(f"_target_{rule.rule_id}").alias("target_value"),
-        status.alias("status"),
-        F.when(status == ERROR, F.concat(F.lit("Error Message : no value for "), missing))
-        .when(status == FAILED, f"{rule.title} Failed")
-        .otherwise(f"{rule.title} {rule.passed_word}").alias("text"),
-    )
+        gaps = [f"if({name} is null, '{name}', null)" for name in rule.required]
+        if isinstance(rule.labels, dict):
+            gaps.insert(0, f"if({KNOWN_TYPE}, null, 'object_type')")
+        missing = f"concat_ws(', ', {', '.join(gaps)})" if gaps else "''"
+    n = rule.rule_id
+    return f"""named_struct(
+        'rule_id', {n}, 'source_value', _source_{n}, 'target_value', _target_{n}, 'status', _status_{n},
+        'text', case _status_{n} when '{ERROR}' then 'Error Message : no value for ' || {missing}
+                when '{FAILED}' then '{rule.title} Failed' else '{rule.title} {rule.passed_word}' end)"""
 
 
 def run_suite(
@@ -114,18 +107,13 @@ def run_suite(
     available = set(measures.columns)
     stage_rules = [r for r in RULES if r.stage == validation_type]
     assigned = measures.join(rule_lists(assignment, validation_type, limit), "job_id", "left")
-    judged = assigned.select(
-        "*",
-        blank_object(validation_type).alias("is_blank"),
-        *[column for r in stage_rules for column in _judged(r, available)],
+    judged = assigned.withColumn("is_blank", blank_object(validation_type)).selectExpr(
+        "*", *[sql for r in stage_rules for sql in _judged(r, available)]
     )
-    rule_ids = F.when(~F.col("is_blank"), F.col("rule_ids"))
-    results = judged.select(
+    outcomes = ", ".join(_result(r, available) for r in stage_rules)
+    results = judged.selectExpr(
         "job_id", "object_name", "object_type", "is_blank",
-        F.inline_outer(F.filter(
-            F.array(*[_result(r, available) for r in stage_rules]),
-            lambda r: F.array_contains(rule_ids, r["rule_id"]),
-        )),
+        f"inline_outer(filter(array({outcomes}), r -> not is_blank and array_contains(rule_ids, r.rule_id)))",
     )
     earlier = Window.partitionBy("job_id").orderBy("rule_id").rowsBetween(Window.unboundedPreceding, -1)
     stops = (F.col("status") == ERROR) | ((F.col("rule_id") == 0) & (F.col("status") == FAILED))
