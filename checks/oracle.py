@@ -107,14 +107,14 @@ VIEWS = {
         from orders""",
     "cust_sent_sums": """
         select object_name, count(*) as n, cast(trunc(sum(amt)) as bigint) as balance,
-               count(*) || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 1, 15) as bigint) as hugeint))
-               || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 16, 15) as bigint) as hugeint)) as digest
+               count(*) || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 1, 12) as bigint) as hugeint))
+               || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 13, 12) as bigint) as hugeint)) as digest
         from cust_sent group by object_name""",
     "cust_landed_sums": """
         select object_name, count(*) as n, cast(trunc(sum(amt)) as bigint) as balance,
                sum(length(row_text)) as text_size,
-               count(*) || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 1, 15) as bigint) as hugeint))
-               || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 16, 15) as bigint) as hugeint)) as digest
+               count(*) || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 1, 12) as bigint) as hugeint))
+               || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 13, 12) as bigint) as hugeint)) as digest
         from cust_sent where o_orderkey in (select l_orderkey from lineitem) group by object_name""",
     "cust_firsts": """
         select digest, min(object_name) as object_name from cust_landed_sums
@@ -412,8 +412,8 @@ BODIES = {
         from whole w join doc_tree t using (object_name)""",
     "content_digest_unordered": """
         select object_name, count(*) as row_count,
-               count(*) || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 1, 15) as bigint) as hugeint))
-               || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 16, 15) as bigint) as hugeint)) as digest
+               count(*) || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 1, 12) as bigint) as hugeint))
+               || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 13, 12) as bigint) as hugeint)) as digest
         from doc_rows group by object_name""",
     "duplicate_content_check": """
         select a.doc_id, a.digest, e.first_doc_id is null as is_duplicate,

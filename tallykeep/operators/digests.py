@@ -122,16 +122,31 @@ def exact_content_digest(
 
 
 def content_sums(rows: DataFrame, columns: Sequence[str]) -> list[Column]:
-    """Aggregates for ``content_text``: the row hashes of an object, added up in two parts."""
+    """Aggregates for ``content_text``: two 48-bit pieces of the row hashes, added up.
+
+    Each piece is added in halves of 24 bits, so that plain integers hold the sums of any
+    object of up to 2^39 rows.
+    """
     row_hash = F.sha2(row_text(rows, columns), 256)
-    return [
-        F.sum(F.conv(F.substring(row_hash, start, 15), 16, 10).cast("decimal(20,0)")).alias(name)
-        for name, start in (("_sum_a", 1), ("_sum_b", 16))
-    ]
+    sums = []
+    for name, start in (("_a", 1), ("_b", 13)):
+        piece = F.conv(F.substring(row_hash, start, 12), 16, 10).cast("bigint")
+        sums += [
+            F.sum(F.shiftright(piece, 24)).alias(f"{name}_high"),
+            F.sum(piece.bitwiseAND(F.lit(0xFFFFFF))).alias(f"{name}_low"),
+        ]
+    return sums
+
+
+SUM_COLUMNS = ("_a_high", "_a_low", "_b_high", "_b_low")
 
 
 def content_text() -> Column:
-    return F.concat_ws(":", *[F.col(c).cast("string") for c in ("row_count", "_sum_a", "_sum_b")])
+    def whole(name: str) -> Column:
+        high, low = (F.col(f"{name}_{half}").cast("decimal(20,0)") for half in ("high", "low"))
+        return (high * (1 << 24) + low).cast("decimal(38,0)").cast("string")
+
+    return F.concat_ws(":", F.col("row_count").cast("string"), whole("_a"), whole("_b"))
 
 
 def unordered_digest(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tallykeep.functions import as_money, row_text
-from tallykeep.operators.digests import content_sums, content_text
+from tallykeep.operators.digests import SUM_COLUMNS, content_sums, content_text
 
 
 def object_profile(
@@ -34,7 +34,7 @@ def object_profile(
     if not with_digest:
         return rows.groupBy(*keys).agg(*measures)
     summed = rows.groupBy(*keys).agg(*measures, *content_sums(rows, columns))
-    return summed.withColumn("digest", content_text()).drop("_sum_a", "_sum_b")
+    return summed.withColumn("digest", content_text()).drop(*SUM_COLUMNS)
 
 
 def first_last_cell(rows: DataFrame, cell: str, order: str, *, key: str = "object_name") -> DataFrame:
