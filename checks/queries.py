@@ -161,11 +161,12 @@ def content_digest_unordered(spark, sf_dir):
 
 def _digest_sides(spark, sf_dir):
     """Labelled documents are registered already; the others arrive."""
-    documents = v.table(spark, sf_dir, "documents")
-    # Two short columns per document, used three times, so that each text is hashed once.
-    digests = documents.select("doc_id", F.sha2("text", 256).alias("digest")).persist()
-    labels = v.table(spark, sf_dir, "labels").select("doc_id")
-    return digests.join(labels, "doc_id", "left_anti"), digests.join(labels, "doc_id", "left_semi")
+    labels = v.table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("labelled", F.lit(True))
+    digests = v.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
+    # Short rows, used three times below, so that each text is read and hashed once.
+    known = digests.join(labels, "doc_id", "left").persist()
+    arriving = known.where(F.col("labelled").isNull()).drop("labelled")
+    return arriving, known.where("labelled").drop("labelled")
 
 
 def duplicate_content_check(spark, sf_dir):

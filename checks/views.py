@@ -237,10 +237,11 @@ def batch_starts(spark, sf_dir) -> DataFrame:
 
 def batch_ends(spark, sf_dir) -> DataFrame:
     """Batches whose newest order is not pending have ended."""
+    pending = (F.col("o_orderstatus") == "P").cast("int")
     return (
         table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("batch_id"))
-        .agg(F.max("o_orderdate").alias("batch_end_time"), F.max_by("o_orderstatus", "o_orderkey").alias("_last"))
-        .where(F.col("_last") != "P")
+        .agg(F.max("o_orderdate").alias("batch_end_time"), F.max_by(pending, "o_orderkey").alias("_pending"))
+        .where(F.col("_pending") == 0)
         .select("batch_id", "batch_end_time", F.lit("Completed").alias("status"))
     )
 
