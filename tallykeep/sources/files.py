@@ -78,9 +78,9 @@ def read_listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def read_manifests(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_manifests(spark: SparkSession, paths: str | Sequence[str], *, key: str = "file") -> DataFrame:
     """The first line of every manifest file: ``(object_name, meta_string)``."""
-    lines = read_objects(spark, paths, "text", position=True)
+    lines = read_objects(spark, paths, "text", key=key, position=True)
     return _edge_cells(lines.where(F.col("block_start") == 0), "value", first=True)
 
 
@@ -104,7 +104,7 @@ def control_cells(
     is_header = place == "Header"
     rows = read_objects(spark, paths, fmt, header=not is_header, key=key, position=True)
     cell = [c for c in rows.columns if c not in ("object_name", *POSITION)][-1]
-    if is_header and key == "file" and fmt in ("csv", "json", "text"):
+    if is_header and key != "folder" and fmt in ("csv", "json", "text"):
         # The first line is in the split that starts the file, so the others need no sorting.
         rows = rows.where(F.col("block_start") == 0)
     return _edge_cells(rows, cell, first=is_header)
