@@ -41,8 +41,8 @@ def control_parse(spark, sf_dir):
 
 
 def control_first_last(spark, sf_dir):
-    cells = v.src(spark, sf_dir).withColumn("amt", F.col("amt").cast("string"))
-    return first_last_cell(cells, "amt", "o_orderkey")
+    cells = first_last_cell(v.src(spark, sf_dir), "amt", "o_orderkey")
+    return cells.select("object_name", *[F.col(c).cast("string").alias(c) for c in ("first_value", "last_value")])
 
 
 def zero_size_check(spark, sf_dir):

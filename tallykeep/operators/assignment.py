@@ -14,9 +14,11 @@ def assigned_rules(assignment: DataFrame, validation_type: str | None = None, li
     Spark cuts each task's rows to the limit before the shuffle, so a job with very many
     assignment rows does not load one task.
     """
+    groups = ["job_id", "validation_type"]
     if validation_type is not None:
         assignment = assignment.where(F.col("validation_type") == validation_type)
-    by_rule = Window.partitionBy("job_id", "validation_type").orderBy("rule_id")
+        groups = ["job_id"]
+    by_rule = Window.partitionBy(*groups).orderBy("rule_id")
     return (
         assignment.select("job_id", "validation_type", "rule_id")
         .withColumn("rn", F.row_number().over(by_rule).cast("bigint"))

@@ -12,6 +12,9 @@ from tallykeep.functions import joined_cells, row_text
 BLOCK_BITS = 10
 CHUNK_BITS = 20
 
+# Length of the digests inside the tree. They are what is shuffled, so they are short.
+INNER_BITS = 256
+
 # Objects whose joined text is at most this long are hashed as one text.
 EXACT_LIMIT = 64 * 1024 * 1024
 
@@ -48,7 +51,8 @@ def tree_digest(rows: DataFrame, key: str, *, bits: int = 512) -> DataFrame:
     """``(key, row_count, digest)`` from ``(key, ordinal, row_digest)``.
 
     Digests of 1,024 rows make a block digest, 1,024 blocks a chunk digest, and the chunks
-    of an object its digest, each in row order. Rows are shuffled once, by chunk, so the work
+    of an object its digest, each in row order; only the last one has ``bits`` bits, the others
+    ``INNER_BITS``. Rows are shuffled once, by chunk, so the work
     on one large object is spread over many tasks; the last step sees one value per 2^20 rows.
     """
     chunked = (
@@ -60,20 +64,20 @@ def tree_digest(rows: DataFrame, key: str, *, bits: int = 512) -> DataFrame:
         .repartition(key, "_chunk")
     )
     blocks = chunked.groupBy(key, "_chunk", "_block").agg(
-        F.count("*").alias("_n"), F.sha2(_in_order("ordinal", "row_digest"), bits).alias("_digest")
+        F.count("*").alias("_n"), F.sha2(_in_order("ordinal", "row_digest"), INNER_BITS).alias("_digest")
     )
     chunks = blocks.groupBy(key, "_chunk").agg(
-        F.sum("_n").alias("_n"), F.sha2(_in_order("_block", "_digest"), bits).alias("_digest")
+        F.sum("_n").alias("_n"), F.sha2(_in_order("_block", "_digest"), INNER_BITS).alias("_digest")
     )
     return chunks.groupBy(key).agg(
         F.sum("_n").alias("row_count"), F.sha2(_in_order("_chunk", "_digest"), bits).alias("digest")
     )
 
 
-def _row_digests(rows, key, bucket, position, columns, bits):
+def _row_digests(rows, key, bucket, position, columns):
     hashed = rows.select(
         key, F.col(position).alias("_position"), bucket.alias("_piece"),
-        F.sha2(row_text(rows, columns), bits).alias("row_digest"),
+        F.sha2(row_text(rows, columns), INNER_BITS).alias("row_digest"),
     )
     return with_ordinals(hashed, key, F.col("_piece"), "_position")
 
@@ -88,7 +92,7 @@ def content_digest(
     bits: int = 512,
 ) -> DataFrame:
     """Digest of every object's content in row order, for objects of any size."""
-    return tree_digest(_row_digests(rows, key, bucket, position, columns, bits), key, bits=bits)
+    return tree_digest(_row_digests(rows, key, bucket, position, columns), key, bits=bits)
 
 
 def exact_content_digest(

@@ -15,10 +15,10 @@ def sha(text, bits=512):
 
 
 def plain_tree(texts, block=1 << 10, chunk=1 << 20):
-    level = [sha(t) for t in texts]
-    blocks = [sha(",".join(level[i:i + block])) for i in range(0, len(level), block)]
+    level = [sha(t, 256) for t in texts]
+    blocks = [sha(",".join(level[i:i + block]), 256) for i in range(0, len(level), block)]
     per_chunk = chunk // block
-    chunks = [sha(",".join(blocks[i:i + per_chunk])) for i in range(0, len(blocks), per_chunk)]
+    chunks = [sha(",".join(blocks[i:i + per_chunk]), 256) for i in range(0, len(blocks), per_chunk)]
     return sha(",".join(chunks))
 
 
