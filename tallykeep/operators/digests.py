@@ -25,9 +25,10 @@ def with_ordinals(rows: DataFrame, key: str, bucket: Column, position: str) -> D
     ``bucket`` cuts an object into pieces that follow each other in position order and each
     fit a task: the split start of a file, or ``position >> 20``. Rows are ranked inside
     their bucket and moved up by the rows of the buckets before it, so a large object is
-    never sorted in one place.
+    never sorted in one place. Rows without a position come first, rows without an object name
+    belong to none.
     """
-    rows = rows.withColumn("_bucket", bucket)
+    rows = rows.where(F.col(key).isNotNull()).withColumn("_bucket", F.coalesce(bucket, F.lit(-1)))
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(key, "_bucket").agg(F.count("*").alias("_n"))

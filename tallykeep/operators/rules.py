@@ -35,6 +35,33 @@ POST_LABELS = ("Audit Table", "ADLS")
 EGRESS_LABELS = ("ADLS", "SQL Server")
 
 
+# Title, word for passed, source value type and target value type of every rule.
+TITLES = {
+    0: ("Zero FileSize Validation", "Passed", "Source File", "Target File"),
+    1: ("CountValidation", "passed", "Source Count", "Target Count"),
+    2: ("BalanceAmountValidation", "passed", "Source Balance Amount", "Target Balance Amount"),
+    3: ("ThresholdValidation", "passed", "Source Threshold Value", "Target Object Count"),
+    4: ("FileNameValidation", "passed", "Object Name", "Object Name"),
+    5: ("File Size Validation", "passed", "Source Object Size", "Target Object Size"),
+    6: ("FileArrival_Validation", "passed", "Source Object Arrival Time", "Target Object Arrival Time"),
+    7: ("Missing_FileCheck_Validation", "passed", "Source Object Arrival Time", "Target Expected Time"),
+    8: ("CountValidation Post File Processing", "passed",
+        "Source Count Post Object Processing", "Target Count Post Object Processing"),
+    9: ("BalanceAmountValidation Post File Processing", "passed",
+        "Source Balance Amount Post Object Processing", "Target Balance Amount Post Object Processing"),
+    10: ("CountValidation for Egress", "passed",
+         "Source Count for Egress Object", "Target Count for Egress Object"),
+    11: ("Duplicate_File_Check_Validation", "Passed", "Source Check Sum", "Target Check Sum"),
+}
+
+# Texts inside source and target values.
+LOW_BOUND, HIGH_BOUND = "MinValue = ", " and MaxValue = "
+LATE_BOUND, EARLY_BOUND = "Postive_Buffer_Time = ", " and Negative_Buffer_Time = "
+ARRIVED, NOT_ARRIVED = "File has arrived", "File has not arrived"
+INTERVAL_FROM, INTERVAL_TO = " in the time interval from ", " to "
+CHECKSUM = "Check_sum = "
+
+
 @dataclass(frozen=True)
 class Rule:
     """A rule as SQL expressions over the measures of an object.
@@ -45,9 +72,6 @@ class Rule:
 
     rule_id: int
     stage: str
-    title: str
-    passed_word: str
-    value_types: tuple[str, str]
     labels: dict[str, tuple[str, str]] | tuple[str, str]
     required: tuple[str, ...]
     optional: tuple[str, ...]
@@ -56,6 +80,15 @@ class Rule:
     holds: str
     words: tuple[str, str] = (PASSED, FAILED)
 
+    @property
+    def passed_text(self) -> str:
+        title, word, _, _ = TITLES[self.rule_id]
+        return f"{title} {word}"
+
+    @property
+    def failed_text(self) -> str:
+        return f"{TITLES[self.rule_id][0]} Failed"
+
     @property
     def status(self) -> str:
         held, not_held = self.words
@@ -77,72 +110,52 @@ SEEN_CLOCK, DUE_CLOCK, EARLIEST_CLOCK, LATEST_CLOCK = (
 )
 
 
-def _inside(by_clock: bool) -> str:
-    if by_clock:
-        return f"{EARLIEST_CLOCK} < {SEEN_CLOCK} and {SEEN_CLOCK} < {LATEST_CLOCK}"
-    return f"{EARLIEST} < {SEEN} and {SEEN} < {LATEST}"
-
-
 def arrival_rule(by_clock: bool = True) -> Rule:
     """On time from the early buffer up to the expected time, both included."""
     holds = f"{SEEN} between {EARLIEST} and {DUE}"
     if by_clock:
         holds = f"{SEEN_CLOCK} between {EARLIEST_CLOCK} and {DUE_CLOCK}"
     return Rule(
-        6, PRE, "FileArrival_Validation", "passed", ("Source Object Arrival Time", "Target Object Arrival Time"),
-        AUDIT_LABELS, (SEEN, DUE, "buffer_minutes"), (), SEEN_CLOCK,
-        f"'Postive_Buffer_Time = ' || {LATEST_CLOCK} || ' and Negative_Buffer_Time = ' || {EARLIEST_CLOCK}",
-        holds, (ON_TIME, DELAY),
+        6, PRE, AUDIT_LABELS, (SEEN, DUE, "buffer_minutes"), (), SEEN_CLOCK,
+        f"'{LATE_BOUND}' || {LATEST_CLOCK} || '{EARLY_BOUND}' || {EARLIEST_CLOCK}", holds, (ON_TIME, DELAY),
     )
 
 
 def window_rule(by_clock: bool = True) -> Rule:
     """Arrived between the early and the late buffer, both left out."""
-    inside = _inside(by_clock)
+    inside = f"{EARLIEST} < {SEEN} and {SEEN} < {LATEST}"
+    if by_clock:
+        inside = f"{EARLIEST_CLOCK} < {SEEN_CLOCK} and {SEEN_CLOCK} < {LATEST_CLOCK}"
     return Rule(
-        7, PRE, "Missing_FileCheck_Validation", "passed", ("Source Object Arrival Time", "Target Expected Time"),
-        AUDIT_LABELS, (SEEN, DUE, "buffer_minutes"), (), SEEN_CLOCK,
-        f"if({inside}, 'File has arrived', 'File has not arrived') || ' in the time interval from ' "
-        f"|| {EARLIEST_CLOCK} || ' to ' || {LATEST_CLOCK}",
+        7, PRE, AUDIT_LABELS, (SEEN, DUE, "buffer_minutes"), (), SEEN_CLOCK,
+        f"if({inside}, '{ARRIVED}', '{NOT_ARRIVED}') || '{INTERVAL_FROM}' || {EARLIEST_CLOCK} "
+        f"|| '{INTERVAL_TO}' || {LATEST_CLOCK}",
         inside,
     )
 
 
-# Ids, titles and value types as the log and the result texts carry them.
 RULES = (
-    Rule(0, PRE, "Zero FileSize Validation", "Passed", ("Source File", "Target File"),
-         SIZE_LABELS, (), ("text_size",), SIZE, SIZE, f"{SIZE} <> 0"),
-    Rule(1, PRE, "CountValidation", "passed", ("Source Count", "Target Count"),
-         AUDIT_LABELS, ("control_count",), ("row_count",), "control_count", ROWS, f"control_count = {ROWS}"),
-    Rule(2, PRE, "BalanceAmountValidation", "passed", ("Source Balance Amount", "Target Balance Amount"),
-         AUDIT_LABELS, ("control_balance", "balance", "metadata_name"), (),
+    Rule(0, PRE, SIZE_LABELS, (), ("text_size",), SIZE, SIZE, f"{SIZE} <> 0"),
+    Rule(1, PRE, AUDIT_LABELS, ("control_count",), ("row_count",),
+         "control_count", ROWS, f"control_count = {ROWS}"),
+    Rule(2, PRE, AUDIT_LABELS, ("control_balance", "balance", "metadata_name"), (),
          "control_balance", BALANCE, f"control_balance = {BALANCE}"),
-    Rule(3, PRE, "ThresholdValidation", "passed", ("Source Threshold Value", "Target Object Count"),
-         AUDIT_LABELS, ("min_value", "max_value"), ("row_count",),
-         "'MinValue = ' || min_value || ' and MaxValue = ' || max_value", ROWS,
+    Rule(3, PRE, AUDIT_LABELS, ("min_value", "max_value"), ("row_count",),
+         f"'{LOW_BOUND}' || min_value || '{HIGH_BOUND}' || max_value", ROWS,
          f"{ROWS} between min_value and max_value"),
-    Rule(4, PRE, "FileNameValidation", "passed", ("Object Name", "Object Name"),
-         AUDIT_LABELS, (), ("match_count",), "object_name", "object_name", f"{MATCHES} > 0"),
-    Rule(5, PRE, "File Size Validation", "passed", ("Source Object Size", "Target Object Size"),
-         AUDIT_LABELS, ("audit_file_size", "expected_file_size"), (),
+    Rule(4, PRE, AUDIT_LABELS, (), ("match_count",), "object_name", "object_name", f"{MATCHES} > 0"),
+    Rule(5, PRE, AUDIT_LABELS, ("audit_file_size", "expected_file_size"), (),
          "audit_file_size", "expected_file_size", "audit_file_size = expected_file_size"),
     arrival_rule(),
     window_rule(),
-    Rule(8, POST, "CountValidation Post File Processing", "passed",
-         ("Source Count Post Object Processing", "Target Count Post Object Processing"),
-         POST_LABELS, ("post_control_count",), ("post_row_count",),
+    Rule(8, POST, POST_LABELS, ("post_control_count",), ("post_row_count",),
          "post_control_count", POST_ROWS, f"post_control_count = {POST_ROWS}"),
-    Rule(9, POST, "BalanceAmountValidation Post File Processing", "passed",
-         ("Source Balance Amount Post Object Processing", "Target Balance Amount Post Object Processing"),
-         POST_LABELS, ("post_control_balance", "post_balance", "metadata_name"), (),
+    Rule(9, POST, POST_LABELS, ("post_control_balance", "post_balance", "metadata_name"), (),
          "post_control_balance", POST_BALANCE, f"post_control_balance = {POST_BALANCE}"),
-    Rule(10, PRE, "CountValidation for Egress", "passed",
-         ("Source Count for Egress Object", "Target Count for Egress Object"),
-         EGRESS_LABELS, ("egress_source_count", "egress_target_count"), (),
+    Rule(10, PRE, EGRESS_LABELS, ("egress_source_count", "egress_target_count"), (),
          "egress_source_count", "egress_target_count", "egress_source_count = egress_target_count"),
-    Rule(11, PRE, "Duplicate_File_Check_Validation", "Passed", ("Source Check Sum", "Target Check Sum"),
-         CHECKSUM_LABELS, ("digest", "is_duplicate"), (),
-         "if(is_duplicate, 'Check_sum = ' || digest, null)", "'Check_sum = ' || digest", "not is_duplicate"),
+    Rule(11, PRE, CHECKSUM_LABELS, ("digest", "is_duplicate"), (),
+         f"if(is_duplicate, '{CHECKSUM}' || digest, null)", f"'{CHECKSUM}' || digest", "not is_duplicate"),
 )
 
 

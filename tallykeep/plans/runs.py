@@ -137,7 +137,7 @@ def _last_ends(ends: DataFrame, keys: list[str], end: str) -> DataFrame:
     )
 
 
-def finish_jobs(runs: DataFrame, ends: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def finish_jobs(runs: DataFrame, ends: DataFrame) -> DataFrame:
     """``runs`` with ended jobs finished, matched by start time and source path.
 
     ``ends`` is ``(job_start_time, source_path, job_end_time, source_count, target_count,
@@ -153,7 +153,8 @@ def finish_jobs(runs: DataFrame, ends: DataFrame, *, hot_rows: int = HOT_ROWS) -
         "status",
     )
     keys = ["job_start_time", "source_path"]
-    found = lookup_join(runs, _last_ends(given, keys, "job_end_time"), keys, "job_run_id", hot_rows=hot_rows)
+    # The keys name a run, so they are as many as the runs and none is hot.
+    found = runs.join(_last_ends(given, keys, "job_end_time"), keys, "left")
     matched = F.col("_e").isNotNull()
     return found.select(
         "job_run_id", "execution_run_id", "job_id", "job_name",
@@ -209,7 +210,7 @@ def start_files(
     )
 
 
-def finish_files(runs: DataFrame, ends: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def finish_files(runs: DataFrame, ends: DataFrame) -> DataFrame:
     """``runs`` with ended loads finished.
 
     ``ends`` has ``load_end_time, source_count, target_count, status`` and either the
@@ -227,7 +228,7 @@ def finish_files(runs: DataFrame, ends: DataFrame, *, hot_rows: int = HOT_ROWS)
         _counts(ends, "target_count").alias("target_count"),
         "status",
     )
-    found = lookup_join(runs, _last_ends(given, keys, "load_end_time"), keys, "file_run_id", hot_rows=hot_rows)
+    found = runs.join(_last_ends(given, keys, "load_end_time"), keys, "left")
     matched = F.col("_e").isNotNull()
     return found.select(
         "file_run_id", "execution_run_id", "job_run_id", "file_id", "load_start_time",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallykeep.functions import is_blank, slice_long
 from tallykeep.operators.assignment import RULES_PER_JOB, rule_lists
-from tallykeep.operators.rules import AUDIT_LABELS, ERROR, FAILED, PASSED, POST, PRE, RULES, Rule
+from tallykeep.operators.rules import AUDIT_LABELS, ERROR, FAILED, PASSED, POST, PRE, RULES, TITLES, Rule
 
 # Result text of a job whose object is not configured, by stage (fixed values).
 BLANK_OBJECT = {
@@ -57,7 +57,7 @@ def rule_labels(spark: SparkSession) -> DataFrame:
     for rule in RULES:
         for object_type in AUDIT_LABELS:
             names = rule.labels if isinstance(rule.labels, tuple) else rule.labels[object_type]
-            texts = ", ".join(f"'{t}'" for t in (object_type, *rule.value_types, *names))
+            texts = ", ".join(f"'{t}'" for t in (object_type, *TITLES[rule.rule_id][2:], *names))
             rows.append(f"({rule.rule_id}, {texts})")
     return spark.sql(
         f"select * from values {', '.join(rows)} as labels"
@@ -90,7 +90,7 @@ def _result(rule: Rule, available: set[str]) -> str:
     return f"""named_struct(
         'rule_id', {n}, 'source_value', _source_{n}, 'target_value', _target_{n}, 'status', _status_{n},
         'text', case _status_{n} when '{ERROR}' then 'Error Message : no value for ' || {missing}
-                when '{FAILED}' then '{rule.title} Failed' else '{rule.title} {rule.passed_word}' end)"""
+                when '{FAILED}' then '{rule.failed_text}' else '{rule.passed_text}' end)"""
 
 
 def run_suite(
