@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import chat, licenses, packing, simhash
+from tallykeep.llm import chat, licenses, packing, simhash, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,13 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("\\### Assistant: </turn> ok")
@@ -56,7 +63,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_license_scan, op5_simhash_near_dedup, op10_chat_formatting)}
+    op1_best_fit_packing, op2_license_scan, op5_simhash_near_dedup, op9_suffix_array_dedup,
+    op10_chat_formatting)}
 
 ORACLES = {
     "op10_chat_formatting": r"""
