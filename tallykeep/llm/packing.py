@@ -96,23 +96,24 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return given
 
 
-def pack(pieces: DataFrame, capacity: int = 2048, group_rows: int = 200_000) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 2048, group_rows: int = 2_000) -> DataFrame:
     """Add sequence_id and offset to pieces with a `length` from 1 to `capacity`; gapless from 0 in each sequence.
 
     `pieces` is read twice, so it should be a stored table. Lengths that occur more than `group_rows` times are
-    ranked in that many more groups. Null or other lengths are an error. An empty table gives an empty one.
+    ranked in several groups of about that size. Null or other lengths are an error. An empty table gives an empty one.
     """
     bad = pieces.where(F.col("length").isNull() | ~F.col("length").between(1, capacity)).limit(1).count()
     if bad:
         raise ValueError(f"pieces must have 1 to {capacity} tokens")
     by_length = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     most = max(by_length.values(), default=0)
-    salts = 1 + most // group_rows
     identity = [c for c in pieces.columns if c != "length"]
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*identity), F.lit(salts)).cast("int"))
+    # At most `capacity` rows, however many pieces there are.
+    sizes = F.broadcast(pieces.groupBy("length").agg((F.lit(1) + F.floor(F.count("*") / group_rows)).alias("_salts")))
+    salted = pieces.join(sizes, "length").withColumn("_salt", F.pmod(F.xxhash64(*identity), "_salts")).drop("_salts")
     group = Window.partitionBy("length", "_salt").orderBy(*identity)
     ranked = salted.withColumn("_rank", F.row_number().over(group) - F.lit(1).cast("long"))
-    if salts > 1:
+    if most >= group_rows:
         sums = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
         before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

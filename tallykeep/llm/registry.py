@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import chat, licenses, packing, simhash, suffixes
+from tallykeep.llm import chat, licenses, packing, quality, simhash, suffixes, toxicity
+from tallykeep.llm.shared import small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -31,11 +33,24 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0)).alias("score"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", "held_out", F.col("quality").alias("score"), (F.col("quality") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.groups(_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", "held_out", F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.repeats(_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -63,8 +78,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_license_scan, op5_simhash_near_dedup, op9_suffix_array_dedup,
-    op10_chat_formatting)}
+    op1_best_fit_packing, op2_license_scan, op4_quality_classifier, op5_simhash_near_dedup,
+    op8_toxicity, op9_suffix_array_dedup, op10_chat_formatting)}
 
 ORACLES = {
     "op10_chat_formatting": r"""

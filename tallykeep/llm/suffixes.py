@@ -26,10 +26,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallykeep.llm.shared import as_bytes, shuffle_partitions, stage
+from tallykeep.llm.shared import as_bytes, in_batches, shuffle_partitions, stage
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 #: More equal anchors than these in one block, or in all, are dealt out over PARTS buckets.
 _COMMON, PARTS = 64, 256
 
@@ -65,7 +65,7 @@ def anchors(data: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndar
 
 
 def _pieces(texts: list[bytes], span: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """About a megabyte at a time: the bytes, which text each window is of, and its start in it.
+    """A quarter of a megabyte at a time: the bytes, which text each window is of, and its start in it.
 
     Windows that reach over the end of a text are left out; long texts come in pieces that overlap.
     """
@@ -113,14 +113,14 @@ def _repeated_anchors(texts: DataFrame, span: int, gram: int, buckets: int, comm
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for frame in frames:
+        for frame in in_batches(frames, 500):
             data, ids = [as_bytes(t) for t in frame.text], frame.n.to_numpy(np.int64)
             for piece, (of, start), at in _pieces(data, span):
                 place, h = anchors(piece, span, gram)
                 chosen = place[at]
                 new = np.flatnonzero(np.concatenate(([True], (chosen[1:] != chosen[:-1]) | (of[1:] != of[:-1]))))
                 held.append((h[chosen[new]], ids[of[new]], start[new] + chosen[new] - at[new]))
-            if sum(len(x[0]) for x in held) > 1_000_000:
+            if sum(len(x[0]) for x in held) > 400_000:
                 yield block(held)
                 held = []
         if held:
@@ -188,7 +188,7 @@ def _suffixes(texts: DataFrame, span: int, gram: int, parts: int) -> DataFrame:
     around = np.arange(-before, span)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in in_batches(frames, 500):
             data, ids = [as_bytes(t) for t in frame.text], frame.n.to_numpy(np.int64)
             wanted = [np.unique(np.frombuffer(b"".join(x), "<i8")) for x in frame.places]
             for piece, (of, start), at in _pieces(data, span):
