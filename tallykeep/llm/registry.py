@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import chat, licenses, packing, quality, simhash, suffixes, toxicity
+from tallykeep.llm import (
+    chat, decontaminate, language_model, licenses, packing, quality, search, simhash, suffixes, toxicity,
+)
 from tallykeep.llm.shared import small_batches
 
 
@@ -33,6 +35,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0)).alias("score"))
 
 
+def op3_language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scored.select(
@@ -44,6 +50,22 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = search.sign_code(F.col("embedding"), 32, 64)
+    codes = _table(spark, sf_dir, "embeddings").where("embedding IS NOT NULL").select(
+        F.col("vec_id").alias("id"), code.alias("code"))
+    queries = codes.where("id % 100 = 0").withColumnRenamed("id", "query_id")
+    found = search.top_k(codes, queries, 10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.col("distance").cast("int").alias("distance"))
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", F.transform("items", lambda x: x["item_id"]).alias("item_ids"),
+        F.array_max(F.transform("items", lambda x: x["coverage"])).alias("coverage"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scored.select(
@@ -78,10 +100,24 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_license_scan, op4_quality_classifier, op5_simhash_near_dedup,
-    op8_toxicity, op9_suffix_array_dedup, op10_chat_formatting)}
+    op1_best_fit_packing, op2_license_scan, op3_language_model_scores, op4_quality_classifier, op5_simhash_near_dedup,
+    op6_top_k_search, op7_benchmark_decontamination, op8_toxicity, op9_suffix_array_dedup, op10_chat_formatting)}
 
 ORACLES = {
+    "op6_top_k_search": """
+        WITH codes AS (
+            SELECT vec_id, list_sum(list_transform(range(32),
+                lambda i: CASE WHEN embedding[i + 1]::DOUBLE + embedding[i + 33]::DOUBLE > 0
+                               THEN 1::BIGINT << (31 - i) ELSE 0 END))::BIGINT AS code
+            FROM embeddings WHERE embedding IS NOT NULL
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, bit_count(xor(q.code, c.code))::INTEGER AS distance
+            FROM codes q, codes c WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INTEGER AS rank,
+               vec_id, distance
+        FROM pairs QUALIFY rank <= 10
+    """,
     "op10_chat_formatting": r"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

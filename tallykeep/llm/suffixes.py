@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallykeep.llm.shared import as_bytes, in_batches, shuffle_partitions, stage
+from tallykeep.llm.shared import as_bytes, in_batches, numbered, shuffle_partitions, stage
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PIECE = 1 << 18
@@ -279,24 +279,6 @@ def _equal_windows(frames: Iterator[pd.DataFrame], span: int, gram: int) -> Iter
                 "window": pd.array(window[hand].view(np.int64), "Int64")})
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with n, which orders documents: by doc_id; null ids first and equal ids by the hash of their text."""
-    text_hash = F.xxhash64("text")
-    ids = docs.where("doc_id IS NOT NULL").select("doc_id", text_hash.alias("h")).distinct()
-    several = ids.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1")
-    most = several.agg(F.max("c")).first()[0]
-    none = F.shiftright(text_hash, 2) - F.lit(1 << 62)
-    if most is None:
-        return docs.withColumn("n", F.coalesce("doc_id", none).cast("long"))
-    smaller = ids.join(several, "doc_id", "left_semi")
-    rank = smaller.alias("x").join(smaller.alias("y"), "doc_id").where("y.h <= x.h").groupBy("doc_id", "x.h").agg(
-        F.count("*").alias("rank"))
-    rank = rank.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "rank")
-    joined = docs.join(rank, (F.col("doc_id") == F.col("_id")) & (text_hash == F.col("_h")), "left")
-    n = F.col("doc_id") * F.lit(most) + F.coalesce(F.col("rank"), F.lit(1)) - 1
-    return joined.withColumn("n", F.coalesce(n, none).cast("long")).drop("_id", "_h", "rank")
-
-
 def _marks(texts: DataFrame, span: int, gram: int, common: int, group_rows: int, parts: int) -> DataFrame:
     """(n, copy, marks) of documents that lose bytes: a whole copy, or pairs (low, high) of marked starts."""
     if gram & (gram - 1) or gram < 8 or gram > span:
