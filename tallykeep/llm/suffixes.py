@@ -137,7 +137,8 @@ def _repeated_anchors(texts: DataFrame, span: int, gram: int, buckets: int, comm
         # Of a common anchor one stands for all in the block, and the others need no answer.
         asks = ~often
         asks[first] = True
-        bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # Anchors are the smallest hashes around, so their own upper bits aren't even.
+        bucket = ((_mixed(h) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         out = []
         for b, rows in _by(bucket, np.flatnonzero(asks)):
             rows = rows[np.lexsort((at[rows], n[rows]))]
