@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallykeep.llm.components import connected_components
-from tallykeep.llm.shared import as_bytes, stage
+from tallykeep.llm.shared import WordHashes, as_bytes, hash_words, in_batches, stage, words_of
 
 #: Generator of the binary Golay code (23, 12): x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 _GENERATOR = 0b101011100011
@@ -54,7 +54,7 @@ def fingerprint(text: str | None, shingle: int = 3) -> bytes:
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, text_hash, code) of every row; a null text is an empty one, whose code is 0."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in in_batches(frames, 500):
             codes = b"".join([fingerprint(text, shingle) for text in frame.text])
             yield pd.DataFrame({
                 "doc_id": frame.doc_id.astype("Int64"), "text_hash": frame.text_hash,
@@ -151,16 +151,92 @@ def groups(docs: DataFrame, shingle: int = 3, group_most: int = 64) -> DataFrame
     return prints.join(rooted.join(least, "root").select("code", "root", "component_id"), "code")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, group_most: int = 64) -> DataFrame:
-    """The rows of `docs` without near duplicates: of each component the row with the smallest doc_id stays (null ids
-    come last; among equal ids the smallest text hash; of equal rows one)."""
-    rows = stage(groups(docs, shingle, group_most), "groups")
-    first = rows.groupBy("root").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
-    first = first.select("first.doc_id", F.col("first.text_hash").alias("_hash"))
-    same = docs["doc_id"].eqNullSafe(first["doc_id"]) & (F.xxhash64(docs["text"]) == first["_hash"])
-    kept = docs.join(first, same, "left_semi")
-    repeated = rows.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
-    if repeated:
-        kept = kept.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
-    return kept
+def views(words: np.ndarray, many: int) -> list[int]:
+    """`many` SimHash fingerprints of word hashes, with repeats, each from other bits."""
+    out = []
+    for v in range(many):
+        x = (words ^ np.uint64(v * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        bits = (x ^ (x >> np.uint64(29))).view(np.uint8).reshape(-1, 8)
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(bits), 65536):
+            counts += np.unpackbits(bits[at:at + 65536], axis=1).sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(counts * 2 > max(len(words), 1)).view(np.int64)[0]))
+    return out
+
+
+def sketch(words: np.ndarray, shingle: int) -> bytes:
+    """One-permutation MinHash of the word shingles: a byte for the smallest hash of each of 256 bins, 0 if empty."""
+    n = max(1, len(words) - shingle + 1) if len(words) else 0
+    h = np.zeros(n, np.uint64)
+    for j in range(min(shingle, len(words))):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + words[j:j + n]
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    h = np.sort(h ^ (h >> np.uint64(32)))
+    bins, first = np.unique(h >> np.uint64(56), return_index=True)
+    out = np.zeros(256, np.uint8)
+    out[bins.astype(np.int64)] = (h[first] * np.uint64(0xA0761D6478BD642F) >> np.uint64(56)) % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
+def _similar(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose sketches estimate a Jaccard similarity of `least`."""
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            x, y = (np.frombuffer(b"".join(frame[c]), np.uint8).reshape(-1, 256) for c in ("x", "y"))
+            shared, either = ((x == y) & (x > 0)).sum(axis=1), ((x > 0) | (y > 0)).sum(axis=1)
+            yield frame.loc[shared >= least * np.maximum(either, 1), ["a", "b"]]
+
+    joined = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a").join(
+        sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b")
+    return joined.select("a", "b", "x", "y").mapInPandas(work, "a long, b long")
+
+
+def near_copies(
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, many: int = 4, group_most: int = 64,
+) -> DataFrame:
+    """(doc_id, node, root): groups of texts that are alike, whatever the length of the chain between them.
+
+    Single fingerprints miss most copies in which a word in fifty differs, so a text has `many`, over its words. Texts
+    linked in any of them (as in `links`, or with equal fingerprints, by a star) are candidates. A link stands if
+    sketches of the `shingle`-word shingles estimate a similarity of at least `similarity`, less the estimate's standard
+    error of 0.025. node is the text's 64-bit hash, so equal texts are one; of 10^9 different texts, 0.03 pairs share one.
+    """
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
+        for frame in in_batches(frames, 500):
+            words = [hash_words(words_of(text), known) for text in frame.text]
+            yield pd.DataFrame({
+                "doc_id": frame.doc_id.astype("Int64"), "node": frame.node, "codes": [views(w, many) for w in words],
+                "sketch": [sketch(w, shingle) for w in words]})
+
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"), "text")
+    rows = stage(rows.mapInPandas(work, "doc_id long, node long, codes array<long>, sketch binary"), "views")
+    texts = stage(rows.groupBy("node").agg(F.first("codes").alias("codes"), F.first("sketch").alias("sketch")), "texts")
+    candidates = None
+    for v in range(many):
+        coded = texts.select("node", F.col("codes")[v].alias("code"))
+        heads = stage(coded.groupBy("code").agg(F.min("node").alias("head")), "heads")
+        near = links(heads, group_most).join(heads.select(F.col("code").alias("a"), F.col("head").alias("x")), "a").join(
+            heads.select(F.col("code").alias("b"), F.col("head").alias("y")), "b").select("x", "y")
+        same = coded.join(heads, "code").where("node <> head").select("head", "node")
+        found = near.union(same)
+        candidates = found if candidates is None else candidates.union(found)
+    pairs = candidates.toDF("x", "y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    roots = connected_components(_similar(pairs, texts, similarity - 0.025))
+    return rows.join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` without near copies, found by `near_copies`: of each group the row with the smallest doc_id
+    stays (null ids come last; among equal ids the smallest text hash; of equal rows one). Null and empty texts are
+    copies of each other."""
+    node = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = stage(near_copies(docs, **options), "groups")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first"))
+    first = first.select(F.col("first.doc_id").alias("_id"), F.col("first.node").alias("_node"))
+    numbered = docs.withColumn("_own", node)
+    kept = numbered.join(first, numbered["doc_id"].eqNullSafe(first["_id"]) & (F.col("_own") == F.col("_node")), "left_semi")
+    if rows.groupBy("doc_id", "node").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["doc_id", "_own"])
+    return kept.drop("_own")
