@@ -27,7 +27,8 @@ from tallykeep.llm.shared import WordHashes, hash_words, in_batches, numbered, s
 _WORD_BITS = 48
 #: Hashes of the start and the end; real words have other ones but by chance.
 START, END = 1, 2
-_FLUSH_WORDS = 1_500_000
+_FLUSH_WORDS = 800_000
+_BUCKETS_PER_PARTITION = 3
 
 
 def word_ids(text: str | None, known: WordHashes) -> np.ndarray:
@@ -61,7 +62,7 @@ def _unpack(data: bytes, ids: int, numbers: int) -> tuple[list[np.ndarray], list
         first.append(wide.view("<u8").ravel())
     for i in range(numbers):
         at = 6 * n * ids + 4 * n * i
-        second.append(np.ascontiguousarray(raw[at:at + 4 * n].reshape(4, n).T).view("<u4").ravel().astype(np.int64))
+        second.append(np.ascontiguousarray(raw[at:at + 4 * n].reshape(4, n).T).view("<i4").ravel())
     return first, second
 
 
@@ -74,7 +75,7 @@ def _totals(keys: np.ndarray, amounts: np.ndarray) -> np.ndarray:
     """For every row the sum of the amounts of its key."""
     order = np.argsort(keys)
     begin = _runs(keys[order])
-    sums = np.add.reduceat(amounts[order], begin)
+    sums = np.add.reduceat(amounts[order], begin, dtype=np.int64)
     out = np.empty(len(keys), np.int64)
     out[order] = np.repeat(sums, np.diff(np.concatenate((begin, [len(keys)]))))
     return out
@@ -122,8 +123,8 @@ def _pairs(docs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
 
     def block(held: list[np.ndarray], ids: list[int]) -> pd.DataFrame:
         words = np.concatenate([x for h in held for x in (np.array([START], np.uint64), h, np.array([END], np.uint64))])
-        doc = np.repeat(np.arange(len(held)), [len(h) + 2 for h in held]).astype(np.uint64)
-        own = _totals(_mixed(doc + np.uint64(1), words), np.ones(len(words), np.int64))
+        doc = np.repeat(np.arange(len(held), dtype=np.uint64), [len(h) + 2 for h in held])
+        own = _totals(_mixed(doc + np.uint64(1), words), np.ones(len(words), np.int32))
         inner = np.flatnonzero(doc[1:] == doc[:-1])
         v, w, doc, own_v, own_w = words[inner], words[inner + 1], doc[inner], own[inner], own[inner + 1]
         bucket = np.where(np.isin(v, frequent), _bucket(_mixed(v, w) >> np.uint64(16), buckets), _bucket(v, buckets))
@@ -170,7 +171,7 @@ def scores(docs: DataFrame, backoff: float = 0.4) -> DataFrame:
     copies that see each other. Words that no other document has count as half a word.
     """
     spark = docs.sparkSession
-    buckets = shuffle_partitions(spark)
+    buckets = shuffle_partitions(spark) * _BUCKETS_PER_PARTITION
     texts = numbered(docs.select("doc_id", "text"))
     words = stage(word_counts(docs), "words")
     total = words.where(F.col("word") != START).agg(F.sum("count")).first()[0] or 0
