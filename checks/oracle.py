@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+# The row hashes, cut into 16 numbers and added up as vectors.
+SUM_DIGEST = "'sum:' || sha256(count(*) || ':' || concat_ws(':', " + ", ".join(
+    f"sum(cast('0x' || substr(sha256(row_text), {4 * i + 1}, 4) as bigint))" for i in range(16)) + "))"
+
 VIEWS = {
     "src": """
         select 'orders_' || strftime(o_orderdate, '%Y%m%d') || '.csv' as object_name, o_orderkey,
-               cast(o_totalprice as decimal(18,2)) as amt
+               cast(o_totalprice as decimal(18,2)) as amt, o_orderstatus = 'P' as pending
         from orders""",
     "landed": "select * from src where o_orderkey in (select l_orderkey from lineitem)",
     "manifest": """
         select object_name,
-               'CNT=' || lpad(cast(count(*) as varchar), 10, '0')
-               || ';BAL=' || lpad(cast(cast(trunc(sum(amt)) as bigint) as varchar), 14, '0') as meta
+               'CNT=' || lpad(cast(count(*) as varchar), 19, '0') || ';BAL='
+               || case when bool_or(pending) then 'open'
+                       else case when trunc(sum(amt)) < 0 then '-' else '0' end
+                            || lpad(cast(abs(cast(trunc(sum(amt)) as bigint)) as varchar), 19, '0') end as meta
         from src group by object_name""",
     "control": """
-        select object_name, cast(substr(meta, 5, 10) as bigint) as control_count,
-               cast(substr(meta, 20, 14) as bigint) as control_balance
+        select object_name, try_cast(substr(meta, 5, 19) as bigint) as control_count,
+               try_cast(substr(meta, 29, 20) as bigint) as control_balance
         from manifest""",
     "profile": """
         select object_name, count(*) as row_count, cast(trunc(sum(amt)) as bigint) as balance
@@ -29,7 +35,8 @@ VIEWS = {
     "file_meta": """
         select file_name, date_trunc('minute', max(file_arrival_time)) as expected_time,
                cast(60 + count(*) * 20 as integer) as buffer_minutes,
-               min_by(file_size, file_arrival_time) as expected_file_size
+               first(file_size order by file_arrival_time, event_id) as expected_file_size,
+               date_trunc('minute', min(file_arrival_time)) as first_time
         from audit_log group by file_name""",
     "arrivals": """
         select * from (
@@ -81,9 +88,7 @@ VIEWS = {
         select source as object_name, doc_id,
                length(cast(doc_id as varchar)) || ':' || doc_id
                || coalesce(length(text) || ':' || text, '-') || coalesce(length(lang) || ':' || lang, '-')
-               || coalesce(length(cast(n_chars as varchar)) || ':' || n_chars, '-') as row_text,
-               coalesce(cast(doc_id as varchar), 'None') || ',' || coalesce(text, 'None') || ','
-               || coalesce(lang, 'None') || ',' || coalesce(cast(n_chars as varchar), 'None') as joined
+               || coalesce(length(cast(n_chars as varchar)) || ':' || n_chars, '-') as row_text
         from documents""",
     "doc_tree": """
         select object_name, sum(n) as row_count,
@@ -105,16 +110,14 @@ VIEWS = {
                || length(cast(cast(o_totalprice as decimal(18,2)) as varchar)) || ':'
                || cast(o_totalprice as decimal(18,2)) as row_text
         from orders""",
-    "cust_sent_sums": """
+    "cust_sent_sums": f"""
         select object_name, count(*) as n, cast(trunc(sum(amt)) as bigint) as balance,
-               count(*) || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 1, 12) as bigint) as hugeint))
-               || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 13, 12) as bigint) as hugeint)) as digest
+               {SUM_DIGEST} as digest
         from cust_sent group by object_name""",
-    "cust_landed_sums": """
+    "cust_landed_sums": f"""
         select object_name, count(*) as n, cast(trunc(sum(amt)) as bigint) as balance,
                sum(length(row_text)) as text_size,
-               count(*) || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 1, 12) as bigint) as hugeint))
-               || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 13, 12) as bigint) as hugeint)) as digest
+               {SUM_DIGEST} as digest
         from cust_sent where o_orderkey in (select l_orderkey from lineitem) group by object_name""",
     "cust_firsts": """
         select digest, min(object_name) as object_name from cust_landed_sums
@@ -289,7 +292,7 @@ VIEWS = {
     "batch_starts": "select o_custkey as batch_id, min(o_orderdate) as batch_start_time from orders group by 1",
     "batch_runs": """
         select strftime(batch_start_time, '%Y%m%d%H%M%S') || '-'
-               || substr(sha256(batch_id || '|orders|' || strftime(batch_start_time, '%Y-%m-%d %H:%M:%S') || '.000'), 1, 32)
+               || sha256(batch_id || '|orders|' || strftime(batch_start_time, '%Y-%m-%d %H:%M:%S') || '.000')
                as execution_run_id, batch_id, batch_start_time
         from batch_starts""",
     "batch_ends": """
@@ -301,8 +304,8 @@ VIEWS = {
         from lineitem group by 1""",
     "job_runs": """
         select o_orderkey as job_id, execution_run_id, o_orderdate as job_start_time,
-               substr(sha256(o_orderkey || '|/orders/' || o_orderkey || '|'
-                      || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '.000'), 1, 32) as job_run_id
+               sha256(o_orderkey || '|/orders/' || o_orderkey || '|'
+                      || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '.000') as job_run_id
         from orders join batch_runs on batch_id = o_custkey""",
     "files": """
         select l_orderkey * 10 + l_linenumber as file_id, l_orderkey as job_id, max(l_shipdate) as load_end_time,
@@ -339,7 +342,7 @@ BODIES = {
         from control left join profile using (object_name)""",
     "balance_control_check": """
         select object_name, control_balance as source_value, balance as target_value,
-               case when balance is null then 'Error'
+               case when balance is null or control_balance is null then 'Error'
                     when control_balance = balance then 'Passed' else 'Failed' end as status
         from control left join profile using (object_name)""",
     "threshold_check": """
@@ -374,13 +377,17 @@ BODIES = {
                     when earliest < seen and seen < latest then 'Passed' else 'Failed' end as status
         from clocked""",
     "arrival_window_by_timestamp": """
+        with due as (
+            select m.file_name, a.file_arrival_time as seen, m.first_time - to_minutes(m.buffer_minutes) as earliest,
+                   m.first_time + to_minutes(m.buffer_minutes) as latest
+            from file_meta m left join arrivals a using (file_name))
         select file_name, strftime(seen, '%H:%M:%S') as source_value,
                case when earliest < seen and seen < latest then 'File has arrived' else 'File has not arrived' end
                || ' in the time interval from ' || strftime(earliest, '%H:%M:%S')
                || ' to ' || strftime(latest, '%H:%M:%S') as target_value,
                case when seen is null then 'Error'
                     when earliest < seen and seen < latest then 'Passed' else 'Failed' end as status
-        from timed""",
+        from due""",
     "post_count_check": """
         select object_name, s.n as source_value, coalesce(row_count, 0) as target_value,
                case when s.n = coalesce(row_count, 0) then 'Passed' else 'Failed' end as status
@@ -402,18 +409,10 @@ BODIES = {
                case when a.n = b.n then 'Passed' else 'Failed' end as status
         from (select count(*) as n from orders) a,
              (select count(distinct l_orderkey) as n from lineitem join orders on o_orderkey = l_orderkey) b""",
-    "content_digest": "select object_name, cast(row_count as bigint) as row_count, digest from doc_tree",
-    "content_digest_exact": """
-        with whole as (
-            select object_name, count(*) as row_count, sum(length(joined) + 1) - 1 as size,
-                   sha256(string_agg(joined, ',' order by doc_id)) as digest
-            from doc_rows group by 1)
-        select object_name, w.row_count, case when w.size <= 67108864 then w.digest else t.digest end as digest
-        from whole w join doc_tree t using (object_name)""",
-    "content_digest_unordered": """
+    "content_digest": "select object_name, cast(row_count as bigint) as row_count, 'tree:' || digest as digest from doc_tree",
+    "content_digest_unordered": f"""
         select object_name, count(*) as row_count,
-               count(*) || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 1, 12) as bigint) as hugeint))
-               || ':' || sum(cast(cast('0x' || substr(sha256(row_text), 13, 12) as bigint) as hugeint)) as digest
+               {SUM_DIGEST} as digest
         from doc_rows group by object_name""",
     "duplicate_content_check": """
         select a.doc_id, a.digest, e.first_doc_id is null as is_duplicate,

@@ -10,7 +10,7 @@ from tallykeep.operators import arrivals as arr
 from tallykeep.operators import rules
 from tallykeep.operators.assignment import assigned_rules
 from tallykeep.operators.digests import (
-    content_digest, exact_content_digest, flag_duplicates, new_digests, unordered_digest,
+    content_digest, flag_duplicates, new_digests, unordered_digest,
 )
 from tallykeep.operators.profile import first_last_cell, object_profile
 from tallykeep.operators.reconcile import keyed_counts, total_counts
@@ -100,7 +100,9 @@ def arrival_window_check(spark, sf_dir):
 
 
 def arrival_window_by_timestamp(spark, sf_dir):
-    return rules.arrival_window_check(v.file_meta(spark, sf_dir), v.arrivals(spark, sf_dir), by_clock=False)
+    # Files are expected when their first event of any kind came.
+    expected = v.file_meta(spark, sf_dir).withColumn("expected_time", F.col("first_time"))
+    return rules.arrival_window_check(expected, v.arrivals(spark, sf_dir), by_clock=False)
 
 
 def _query_control(spark, sf_dir) -> DataFrame:
@@ -149,12 +151,6 @@ def content_digest_query(spark, sf_dir):
     )
 
 
-def content_digest_exact(spark, sf_dir):
-    return exact_content_digest(
-        _documents(spark, sf_dir), "object_name", "doc_id", _bucket(), DOCUMENT_COLUMNS, bits=256
-    )
-
-
 def content_digest_unordered(spark, sf_dir):
     return unordered_digest(_documents(spark, sf_dir), "object_name", DOCUMENT_COLUMNS)
 
@@ -163,8 +159,7 @@ def _digest_sides(spark, sf_dir):
     """Labelled documents are registered already; the others arrive."""
     labels = v.table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("labelled", F.lit(True))
     digests = v.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
-    # Short rows, used three times below, so that each text is read and hashed once.
-    known = digests.join(labels, "doc_id", "left").persist()
+    known = digests.join(labels, "doc_id", "left")
     arriving = known.where(F.col("labelled").isNull()).drop("labelled")
     return arriving, known.where("labelled").drop("labelled")
 
@@ -282,7 +277,6 @@ QUERIES = {
     "egress_count_reconcile": egress_count_reconcile,
     "egress_total_reconcile": egress_total_reconcile,
     "content_digest": content_digest_query,
-    "content_digest_exact": content_digest_exact,
     "content_digest_unordered": content_digest_unordered,
     "duplicate_content_check": duplicate_content_check,
     "checksum_new_entries": checksum_new_entries,

@@ -15,9 +15,9 @@ from tallykeep.operators.profile import object_profile
 from tallykeep.plans import runs
 from tallykeep.plans.suite import add_control_totals, gather_measures, run_suite
 
-# Where count and amount stand in the control strings: 'CNT=0000000003;BAL=00000000000006'.
-COUNT_SLICE = (4, 14)
-BALANCE_SLICE = (19, 33)
+# Where count and amount stand in the control strings: 'CNT=0000000000000000003;BAL=-0000000000000000006'.
+COUNT_SLICE = (4, 23)
+BALANCE_SLICE = (28, 48)
 
 # Rules of a job, by the market segment of its customer.
 SEGMENT_RULES = {
@@ -58,7 +58,8 @@ def money(column: str) -> Column:
 def src(spark, sf_dir) -> DataFrame:
     """One file of orders per day, as the source sent it."""
     return table(spark, sf_dir, "orders").select(
-        file_label("orders_", "o_orderdate").alias("object_name"), "o_orderkey", money("o_totalprice").alias("amt")
+        file_label("orders_", "o_orderdate").alias("object_name"), "o_orderkey", money("o_totalprice").alias("amt"),
+        "o_orderstatus",
     )
 
 
@@ -73,16 +74,23 @@ def landed(spark, sf_dir) -> DataFrame:
     return with_lines(spark, sf_dir, src(spark, sf_dir))
 
 
+def signed_digits(amount: Column) -> Column:
+    """A whole amount in 20 characters, the sign first: as many as a 64-bit number can need."""
+    whole = amount.cast("bigint")
+    return F.concat(F.when(whole < 0, "-").otherwise("0"), F.lpad(F.abs(whole).cast("string"), 19, "0"))
+
+
 def control_string(count: Column, amount: Column) -> Column:
     return F.concat(
-        F.lit("CNT="), F.lpad(count.cast("string"), 10, "0"),
-        F.lit(";BAL="), F.lpad(amount.cast("bigint").cast("string"), 14, "0"),
+        F.lit("CNT="), F.lpad(count.cast("string"), 19, "0"), F.lit(";BAL="), signed_digits(amount),
     )
 
 
 def manifest(spark, sf_dir) -> DataFrame:
+    """Control strings of the files; the amount of a day with a pending order is still open."""
+    total = F.when(F.max(F.col("o_orderstatus") == "P"), "open").otherwise(signed_digits(F.sum("amt")))
     return src(spark, sf_dir).groupBy("object_name").agg(
-        control_string(F.count("*"), F.sum("amt")).alias("meta_string")
+        F.concat(F.lit("CNT="), F.lpad(F.count("*").cast("string"), 19, "0"), F.lit(";BAL="), total).alias("meta_string")
     )
 
 
@@ -110,7 +118,8 @@ def file_meta(spark, sf_dir, *, by_type: bool = True) -> DataFrame:
     return log.groupBy("file_name").agg(
         F.date_trunc("minute", F.max("file_arrival_time")).alias("expected_time"),
         (F.lit(60) + F.count("*") * 20).cast("int").alias("buffer_minutes"),
-        F.min_by("file_size", "file_arrival_time").alias("expected_file_size"),
+        F.min_by("file_size", F.struct("file_arrival_time", "event_id")).alias("expected_file_size"),
+        F.date_trunc("minute", F.min("file_arrival_time")).alias("first_time"),
     )
 
 
@@ -184,7 +193,7 @@ def pre_measures(spark, sf_dir) -> DataFrame:
     sent = _customer_orders(spark, sf_dir)
     arrived = with_lines(spark, sf_dir, sent).select("object_name", *ORDER_COLUMNS)
     # One row per object, used twice below: by itself and to find its digest's first object.
-    profile = object_profile(arrived, balance="amt", with_text=True, with_digest=True).persist()
+    profile = object_profile(arrived, balance="amt", with_text=True, with_digest=True)
     control = object_profile(sent, balance="amt", text_columns=ORDER_COLUMNS, with_digest=True)
     flagged = flag_duplicates(profile, control.select("digest"), "object_name")
     jobs = job_args(spark, sf_dir).select(

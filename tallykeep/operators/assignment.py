@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-# The most rules one job runs (fixed value).
-RULES_PER_JOB = 50
 
+def assigned_rules(assignment: DataFrame, validation_type: str | None = None, limit: int | None = None) -> DataFrame:
+    """The rule ids of every job and stage, each once and numbered from 1; only the lowest ``limit`` if there is one.
 
-def assigned_rules(assignment: DataFrame, validation_type: str | None = None, limit: int = RULES_PER_JOB) -> DataFrame:
-    """The lowest ``limit`` rule ids of every job and stage, numbered from 1.
-
-    Spark cuts each task's rows to the limit before the shuffle, so a job with very many
+    Repeated rows are dropped by partial aggregates before the shuffle, so a job with very many
     assignment rows does not load one task.
     """
     groups = ["job_id", "validation_type"]
@@ -19,15 +16,18 @@ def assigned_rules(assignment: DataFrame, validation_type: str | None = None, li
         assignment = assignment.where(F.col("validation_type") == validation_type)
         groups = ["job_id"]
     by_rule = Window.partitionBy(*groups).orderBy("rule_id")
-    return (
-        assignment.select("job_id", "validation_type", "rule_id")
+    numbered = (
+        assignment.select("job_id", "validation_type", "rule_id").distinct()
         .withColumn("rn", F.row_number().over(by_rule).cast("bigint"))
-        .where(F.col("rn") <= limit)
     )
+    return numbered if limit is None else numbered.where(F.col("rn") <= limit)
 
 
-def rule_lists(assignment: DataFrame, validation_type: str, limit: int = RULES_PER_JOB) -> DataFrame:
-    """``(job_id, rule_ids)``, the ids sorted; at most ``limit`` per job."""
+def rule_lists(assignment: DataFrame, validation_type: str, limit: int | None = None) -> DataFrame:
+    """``(job_id, rule_ids)``, the ids sorted and each once; at most ``limit`` per job if there is one."""
+    if limit is None:
+        rules = assignment.where(F.col("validation_type") == validation_type).groupBy("job_id")
+        return rules.agg(F.sort_array(F.collect_set("rule_id")).alias("rule_ids"))
     return (
         assigned_rules(assignment, validation_type, limit)
         .groupBy("job_id")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallykeep.functions import joined_cells, row_text
+from tallykeep.functions import row_text
 
 # Rows per block and blocks per chunk of the digest tree: a chunk covers 2^20 rows.
 BLOCK_BITS = 10
@@ -15,26 +15,32 @@ CHUNK_BITS = 20
 # Length of the digests inside the tree. They are what is shuffled, so they are short.
 INNER_BITS = 256
 
-# Objects whose joined text is at most this long are hashed as one text.
-EXACT_LIMIT = 64 * 1024 * 1024
+# The kinds of digest. A value starts with its kind, so that values of two kinds never match.
+TREE, SUM = "tree:", "sum:"
 
 
-def with_ordinals(rows: DataFrame, key: str, bucket: Column, position: str) -> DataFrame:
-    """Number the rows of every object from 0 in ``position`` order (``ordinal``).
+def with_ordinals(rows: DataFrame, key: str, bucket: Column, position: str, tie: str) -> DataFrame:
+    """Number the rows of every object from 0 by ``position``, then by ``tie`` (``ordinal``).
+
+    ``tie`` is a digest of the row in hex, so rows that share a position have one order in every run.
 
     ``bucket`` cuts an object into pieces that follow each other in position order and each
     fit a task: the split start of a file, or ``position >> 20``. Rows are ranked inside
     their bucket and moved up by the rows of the buckets before it, so a large object is
-    never sorted in one place. Rows without a position come first, rows without an object name
-    belong to none.
+    never sorted in one place. Rows without a position come first, in buckets by their ``tie``, of
+    which there are 2^20; rows without an object name belong to none.
     """
-    rows = rows.where(F.col(key).isNotNull()).withColumn("_bucket", F.coalesce(bucket, F.lit(-1)))
+    by_tie = F.conv(F.substring(tie, 1, 5), 16, 10).cast("bigint")
+    nowhere = F.struct(F.lit(0).alias("has"), by_tie.alias("of"))
+    somewhere = F.struct(F.lit(1).alias("has"), bucket.cast("bigint").alias("of"))
+    placed = F.when(F.col(position).isNull() | bucket.isNull(), nowhere).otherwise(somewhere)
+    rows = rows.where(F.col(key).isNotNull()).withColumn("_bucket", placed)
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(key, "_bucket").agg(F.count("*").alias("_n"))
         .select(key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    in_bucket = Window.partitionBy(key, "_bucket").orderBy(position)
+    in_bucket = Window.partitionBy(key, "_bucket").orderBy(position, tie)
     return (
         rows.withColumn("_rank", F.row_number().over(in_bucket))
         .join(offsets, [key, "_bucket"])
@@ -71,7 +77,7 @@ def tree_digest(rows: DataFrame, key: str, *, bits: int = 512) -> DataFrame:
         F.sum("_n").alias("_n"), F.sha2(_in_order("_block", "_digest"), INNER_BITS).alias("_digest")
     )
     return chunks.groupBy(key).agg(
-        F.sum("_n").alias("row_count"), F.sha2(_in_order("_chunk", "_digest"), bits).alias("digest")
+        F.sum("_n").alias("row_count"), F.concat(F.lit(TREE), F.sha2(_in_order("_chunk", "_digest"), bits)).alias("digest")
     )
 
 
@@ -80,7 +86,7 @@ def _row_digests(rows, key, bucket, position, columns):
         key, F.col(position).alias("_position"), bucket.alias("_piece"),
         F.sha2(row_text(rows, columns), INNER_BITS).alias("row_digest"),
     )
-    return with_ordinals(hashed, key, F.col("_piece"), "_position")
+    return with_ordinals(hashed, key, F.col("_piece"), "_position", "row_digest")
 
 
 def content_digest(
@@ -96,62 +102,24 @@ def content_digest(
     return tree_digest(_row_digests(rows, key, bucket, position, columns), key, bits=bits)
 
 
-def exact_content_digest(
-    rows: DataFrame,
-    key: str,
-    position: str,
-    bucket: Column,
-    columns: Sequence[str],
-    *,
-    bits: int = 512,
-    limit: int = EXACT_LIMIT,
-) -> DataFrame:
-    """``(key, row_count, digest)``, the digest of all cells and rows joined by commas.
-
-    This is the digest of registries written row by row. It needs an object's text in one
-    place, so it is used for objects of at most ``limit`` characters; larger ones, which any
-    two equal objects are alike, get the tree digest.
-    """
-    text = joined_cells(rows, columns)
-    sizes = rows.groupBy(key).agg(F.sum(F.length(text).cast("bigint") + 1).alias("_size"))
-    # At most (all text / limit) objects are larger than the limit: 1.6 million names in 100 TB.
-    large = F.broadcast(sizes.where(F.col("_size") - 1 > limit).select(key))
-    small_rows = rows.join(large, key, "left_anti")
-    small = (
-        small_rows.select(key, F.col(position).alias("_position"), text.alias("_text"))
-        .groupBy(key)
-        .agg(F.count("*").alias("row_count"), F.sha2(_in_order("_position", "_text"), bits).alias("digest"))
-    )
-    large_rows = rows.join(large, key, "left_semi")
-    return small.unionByName(content_digest(large_rows, key, position, bucket, columns, bits=bits))
+SUM_COLUMNS = tuple(f"_sum_{i}" for i in range(16))
 
 
 def content_sums(rows: DataFrame, columns: Sequence[str]) -> list[Column]:
-    """Aggregates for ``content_text``: two 48-bit pieces of the row hashes, added up.
+    """Aggregates for ``content_text``: all 256 bits of the row hashes, added up in 16 pieces.
 
-    Each piece is added in halves of 24 bits, so that plain integers hold the sums of any
-    object of up to 2^39 rows.
+    A piece has 16 bits, so plain integers hold the sums of any object of up to 2^47 rows, and a sum beyond
+    that is an error.
     """
     row_hash = F.sha2(row_text(rows, columns), 256)
-    sums = []
-    for name, start in (("_a", 1), ("_b", 13)):
-        piece = F.conv(F.substring(row_hash, start, 12), 16, 10).cast("bigint")
-        sums += [
-            F.sum(F.shiftright(piece, 24)).alias(f"{name}_high"),
-            F.sum(piece.bitwiseAND(F.lit(0xFFFFFF))).alias(f"{name}_low"),
-        ]
-    return sums
-
-
-SUM_COLUMNS = ("_a_high", "_a_low", "_b_high", "_b_low")
+    return [
+        F.sum(F.conv(F.substring(row_hash, 4 * i + 1, 4), 16, 10).cast("bigint")).alias(name)
+        for i, name in enumerate(SUM_COLUMNS)
+    ]
 
 
 def content_text() -> Column:
-    def whole(name: str) -> Column:
-        high, low = (F.col(f"{name}_{half}").cast("decimal(20,0)") for half in ("high", "low"))
-        return (high * (1 << 24) + low).cast("decimal(38,0)").cast("string")
-
-    return F.concat_ws(":", F.col("row_count").cast("string"), whole("_a"), whole("_b"))
+    return F.concat(F.lit(SUM), F.sha2(F.concat_ws(":", "row_count", *SUM_COLUMNS), 256))
 
 
 def unordered_digest(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

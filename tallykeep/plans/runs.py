@@ -16,7 +16,7 @@ STARTED = "Started"
 
 def run_id(*parts: Column) -> Column:
     texts = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
-    return F.substring(F.sha2(F.concat_ws("|", *texts), 256), 1, 32)
+    return F.sha2(F.concat_ws("|", *texts), 256)
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:

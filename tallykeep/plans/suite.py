@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallykeep.functions import is_blank, slice_long
-from tallykeep.operators.assignment import RULES_PER_JOB, rule_lists
+from tallykeep.operators.assignment import rule_lists
 from tallykeep.operators.rules import AUDIT_LABELS, ERROR, FAILED, PASSED, POST, PRE, RULES, TITLES, Rule
 
 # Result text of a job whose object is not configured, by stage (fixed values).
@@ -94,7 +94,7 @@ def _result(rule: Rule, available: set[str]) -> str:
 
 
 def run_suite(
-    measures: DataFrame, assignment: DataFrame, validation_type: str, *, limit: int = RULES_PER_JOB
+    measures: DataFrame, assignment: DataFrame, validation_type: str, *, limit: int | None = None
 ) -> DataFrame:
     """The results of the rules every job ran, one row per job and rule.
 

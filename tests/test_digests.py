@@ -19,7 +19,7 @@ def plain_tree(texts, block=1 << 10, chunk=1 << 20):
     blocks = [sha(",".join(level[i:i + block]), 256) for i in range(0, len(level), block)]
     per_chunk = chunk // block
     chunks = [sha(",".join(blocks[i:i + per_chunk]), 256) for i in range(0, len(blocks), per_chunk)]
-    return sha(",".join(chunks))
+    return "tree:" + sha(",".join(chunks))
 
 
 def cell(value):
@@ -74,17 +74,26 @@ def test_cells_can_not_move(spark):
     assert len({d for _, d in rows(found, "object_name", "digest")}) == 4
 
 
-def test_exact_digest_and_its_way_out_for_large_objects(spark, small_tree):
-    data = [("s", 0, "1", "a"), ("s", 1, "2", None), ("l", 0, "long" * 10, "a"), ("l", 1, "long" * 10, "b")]
-    df = spark.createDataFrame(data, "object_name string, pos bigint, t string, u string")
-    args = (df, "object_name", "pos", F.shiftright("pos", 4), ["t", "u"])
-    large = "long" * 10
-    exact_large = sha(f"{large},a,{large},b")
-    assert rows(digests.exact_content_digest(*args)) == [("l", 2, exact_large), ("s", 2, sha("1,a,2,None"))]
-    tree_large = plain_tree([cell(large) + cell(x) for x in "ab"], 4, 16)
-    assert rows(digests.exact_content_digest(*args, limit=10)) == [("l", 2, tree_large), ("s", 2, sha("1,a,2,None"))]
-    # The limit itself is still exact: '1,a,2,None' has ten characters.
-    assert rows(digests.exact_content_digest(*args, limit=9), "object_name", "digest")[1][1] != sha("1,a,2,None")
+def test_rows_that_share_a_position_or_have_none(spark, small_tree):
+    data = [("a", i % 20, f"row {i % 50}") for i in range(400)] + [("a", None, f"row {i}") for i in range(90)]
+    df = spark.createDataFrame(data, "object_name string, pos bigint, t string")
+    args = ("object_name", "pos", F.shiftright("pos", 2), ["t"])
+    found = {rows(digests.content_digest(df.repartition(n), *args))[0] for n in (1, 3, 7)}
+    assert len(found) == 1
+    without = sorted(sha(cell(f"row {i}"), 256) for i in range(90))
+    tied = [d for p in range(20) for d in sorted(sha(cell(t), 256) for _, q, t in data[:400] if q == p)]
+    level = without + tied
+    blocks = [sha(",".join(level[i:i + 4]), 256) for i in range(0, len(level), 4)]
+    chunks = [sha(",".join(blocks[i:i + 4]), 256) for i in range(0, len(blocks), 4)]
+    assert found == {("a", 490, "tree:" + sha(",".join(chunks)))}
+
+
+def test_sums_hold_all_bits_of_the_row_hashes(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "x")], "object_name string, t string")
+    hashes = [sha(cell(t), 256) for t in "xyx"]
+    sums = [sum(int(h[i:i + 4], 16) for h in hashes) for i in range(0, 64, 4)]
+    wanted = "sum:" + sha(":".join(map(str, [3, *sums])), 256)
+    assert rows(digests.unordered_digest(df, "object_name", ["t"])) == [("a", 3, wanted)]
 
 
 def test_duplicates_inside_and_before_the_arrival_set(spark):

@@ -135,10 +135,14 @@ def test_all_rules_together(spark):
     assert values[11] == ("Check_sum = d", "Check_sum = d")
 
 
-def test_at_most_fifty_rules_of_a_job(spark):
-    many = spark.range(120).selectExpr("1L as job_id", "'Pre' as validation_type", "cast(id as int) as rule_id")
-    assert rows(assigned_rules(many.repartition(6)).agg(F.count("*"), F.max("rule_id"))) == [(50, 49)]
-    assert rows(rule_lists(many, "Pre", 3)) == [(1, [0, 1, 2])]
+def test_a_job_may_have_any_number_of_rules(spark):
+    many = spark.range(60).selectExpr("1L as job_id", "'Pre' as validation_type", "cast(id as int) as rule_id")
+    repeated = spark.range(60).selectExpr("2L as job_id", "'Pre' as validation_type", "cast(id / 59 as int) as rule_id")
+    both = many.union(repeated).repartition(6)
+    counts = assigned_rules(both).groupBy("job_id").agg(F.count("*").alias("n"), F.max("rule_id").alias("most"))
+    assert rows(counts) == [(1, 60, 59), (2, 2, 1)]
+    assert rows(rule_lists(both, "Pre")) == [(1, list(range(60))), (2, [0, 1])]
+    assert rows(rule_lists(both, "Pre", 3)) == [(1, [0, 1, 2]), (2, [0, 1])]
 
 
 def test_control_totals_at_the_positions_of_each_job(spark):
