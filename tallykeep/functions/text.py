@@ -63,7 +63,7 @@ def file_label(prefix: str, ts, suffix: str = ".csv") -> Column:
     return F.concat(F.lit(prefix), F.date_format(_col(ts), "yyyyMMdd"), F.lit(suffix))
 
 
-def _cell_text(name: str, dtype: DataType) -> Column:
+def cell_text(name: str, dtype: DataType) -> Column:
     column = F.col(f"`{name}`")
     if isinstance(dtype, (ArrayType, MapType, StructType, VariantType)):
         return F.to_json(column, {
@@ -82,14 +82,6 @@ def row_text(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """
     cells = []
     for name in columns or df.columns:
-        text = _cell_text(name, df.schema[name].dataType)
+        text = cell_text(name, df.schema[name].dataType)
         cells.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
     return F.concat(*cells)
-
-
-def joined_cells(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """The cells of a row joined by commas, null written as 'None'."""
-    return F.concat_ws(",", *[
-        F.coalesce(_cell_text(name, df.schema[name].dataType), F.lit("None"))
-        for name in columns or df.columns
-    ])

@@ -105,17 +105,19 @@ def content_digest(
 SUM_COLUMNS = tuple(f"_sum_{i}" for i in range(16))
 
 
-def content_sums(rows: DataFrame, columns: Sequence[str]) -> list[Column]:
-    """Aggregates for ``content_text``: all 256 bits of the row hashes, added up in 16 pieces.
+def hash_sums(text: Column, sign: Column | None = None) -> list[Column]:
+    """Aggregates for ``content_text``: all 256 bits of the hashes of row texts, added up in 16 pieces.
 
     A piece has 16 bits, so plain integers hold the sums of any object of up to 2^47 rows, and a sum beyond
-    that is an error.
+    that is an error. ``sign`` -1 takes a row off.
     """
-    row_hash = F.sha2(row_text(rows, columns), 256)
-    return [
-        F.sum(F.conv(F.substring(row_hash, 4 * i + 1, 4), 16, 10).cast("bigint")).alias(name)
-        for i, name in enumerate(SUM_COLUMNS)
-    ]
+    row_hash = F.sha2(text, 256)
+    pieces = [F.conv(F.substring(row_hash, 4 * i + 1, 4), 16, 10).cast("bigint") for i in range(16)]
+    return [F.sum(p if sign is None else sign * p).alias(name) for p, name in zip(pieces, SUM_COLUMNS)]
+
+
+def content_sums(rows: DataFrame, columns: Sequence[str]) -> list[Column]:
+    return hash_sums(row_text(rows, columns))
 
 
 def content_text() -> Column:

@@ -36,11 +36,16 @@ def blank_object_guard(job_args: DataFrame, validation_type: str = PRE) -> DataF
 def gather_measures(jobs: DataFrame, parts: Sequence[DataFrame], key: str = "object_name") -> DataFrame:
     """``jobs`` with the measures of their object. Every part has one row per ``key``.
 
-    All joins are on the same key, so the growing left side is shuffled once.
+    All joins are on the same key, so the growing left side is shuffled once. Jobs with a blank or
+    null key have no measures and stay out of the joins, where they would meet in one task.
     """
+    if not parts:
+        return jobs
+    blank = is_blank(F.col(key).cast("string"))
+    keyed = jobs.where(~blank)
     for part in parts:
-        jobs = jobs.join(part, key, "left")
-    return jobs
+        keyed = keyed.join(part, key, "left")
+    return keyed.unionByName(jobs.where(blank), allowMissingColumns=True)
 
 
 def add_control_totals(measures: DataFrame, meta: str = "meta_string", prefix: str = "") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tallykeep import schemas
 from tallykeep.plans.suite import rule_execution_log, suite_summary
+from tallykeep.plans import validate as validate_module
 from tallykeep.plans.validate import validate
 from tallykeep.sources import read_job_args
 
@@ -146,3 +147,127 @@ def test_an_object_inside_the_folder_of_another(spark, landing, tmp_path):
     )
     ran = validate(spark, read_job_args(spark, str(tmp_path / "args.csv")), assigned(spark, [3]), file_metadata=bounds)
     assert rows(suite_summary(ran), "job_id", "summary") == [(j, "ThresholdValidation passed") for j in (1, 2, 3)]
+
+
+def _jobs(spark, tmp_path, lines, columns="JobId,ObjectPath,ObjectName,ObjectType,FileType,Metadata_place,BalanceAmountColumn"):
+    (tmp_path / "jobs.csv").write_text(columns + "\n" + "\n".join(lines) + "\n")
+    return read_job_args(spark, str(tmp_path / "jobs.csv"))
+
+
+def _values(spark, jobs, rules=(1, 2), **given):
+    ran = validate(spark, jobs, assigned(spark, rules, given.pop("stage", "Pre")), **given)
+    log = rule_execution_log(ran, F.lit("2024-02-01").cast("timestamp"), "me").collect()
+    return {(r.job_id, r.rule_id): (r.target_value, r.rule_run_status) for r in log}, ran
+
+
+def test_files_of_one_folder_with_other_columns(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,amt\n1,10\n2,20\n")
+    (folder / "b.csv").write_text('amt,"the, region",id\n5,"x, ""y""",7\n')
+    (folder / "c.csv").write_text("id,region,amt\r\n1,n,4\r\n\r\n")
+    (tmp_path / "deep" / "dt=1").mkdir(parents=True)
+    (tmp_path / "deep" / "dt=1" / "x.csv").write_text("amt\n6\n7\n")
+    jobs = _jobs(spark, tmp_path, [
+        f"1,{folder},all,File,csv,File,amt", f"2,{folder}/a.csv,a,File,csv,File,amt",
+        f"3,{folder}/b.csv,b,File,csv,File,amt", f"4,{folder}/[ac].csv,some,File,csv,File,amt",
+        f"5,{tmp_path}/deep,deep,File,csv,File,amt", f"6,{tmp_path}/none*,none,File,csv,File,amt",
+    ])
+    bounds = spark.createDataFrame(
+        [(i, i, n, "amt", 1, 9, 20, dt.datetime(2024, 1, 1), 30)
+         for i, n in enumerate(("all", "a", "b", "some", "deep", "none"))], schemas.FILE_METADATA)
+    found, _ = _values(spark, jobs, (3,), file_metadata=bounds)
+    assert {j: v[0] for (j, _), v in found.items()} == {1: "4", 2: "2", 3: "1", 4: "3", 5: "2", 6: "0"}
+    places = validate_module.matched_paths(spark, [str(folder), f"{folder}/[ac].csv"])
+    rows_, looked, _ = validate_module.object_rows(
+        spark, [(1, places[str(folder)][0], "csv", False, "amt", None)]
+        + [(2, p, "csv", False, "amt", None) for p in places[f"{folder}/[ac].csv"]], [])
+    sums = validate_module.object_measures(rows_, looked, ordered=False)
+    assert rows(sums, "job_id", F.col("balance").cast("int")) == [(1, 39), (2, 34)]
+
+
+def test_jobs_that_can_not_be_read_do_not_stop_the_others(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,amt\n1,10\n")
+    jobs = _jobs(spark, tmp_path, [
+        f"1,{tmp_path}/a.csv,a,File,csv,File,amt", f"2,{tmp_path}/a.csv,b,File,xlsx,File,amt",
+        f"3,{tmp_path}/a.csv,c,File,,File,amt", "4,,,File,csv,File,amt",
+    ])
+    _, ran = _values(spark, jobs, (0,))
+    found = {r.job_id: (r.aborted, r.summary) for r in suite_summary(ran).collect() if r.job_id < 5}
+    assert found[1] == (False, "Zero FileSize Validation Passed")
+    for job in (2, 3):
+        assert found[job][0] and found[job][1].startswith("Error Message : no value for ")
+    assert found[4][0] and "blank" in found[4][1]
+
+
+def test_ordered_and_unordered_duplicates(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id\n1\n2\n")
+    (tmp_path / "b.csv").write_text("id\n2\n1\n")
+    jobs = _jobs(spark, tmp_path, [f"{i},{tmp_path}/{n}.csv,{n},File,csv,File,id" for i, n in ((1, "a"), (2, "b"))])
+    empty = spark.createDataFrame([], schemas.CHECKSUM_REGISTRY)
+    found, ran = _values(spark, jobs, (11,), registry=empty)
+    assert [v[1] for _, v in sorted(found.items())] == ["Passed", "Passed"]
+    entries = validate_module.registration(ran, F.lit("2024-02-01").cast("timestamp"), "me")
+    assert rows(entries, "file_name") == [("a",), ("b",)]
+    again, _ = _values(spark, jobs, (11,), registry=spark.createDataFrame(entries.collect(), schemas.CHECKSUM_REGISTRY))
+    assert [v[1] for _, v in sorted(again.items())] == ["Failed", "Failed"]
+    loose, _ = _values(spark, jobs, (11,), registry=empty, digest="unordered")
+    assert [v[1] for _, v in sorted(loose.items())] == ["Passed", "Failed"]
+
+
+def test_totals_from_queries_and_egress_and_audit(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,amt\n1,10\n2,20\n")
+    columns = ("JobId,ObjectPath,ObjectName,ObjectType,FileType,Metadata_place,BalanceAmountColumn,"
+               "Sql_query_recordcount,Sql_query_balanceamount")
+    jobs = _jobs(spark, tmp_path, [
+        f"1,{tmp_path}/a.csv,a,File,csv,SQLQUERY,amt,select 2,select 31",
+        f"2,{tmp_path}/a.csv,b,File,csv,Audit,amt,,",
+    ], columns)
+    day = dt.datetime(2024, 1, 1, 9)
+    audit = spark.createDataFrame([("sales", "b", 1, day, 2, 30)], "product_name string, file_name string, "
+                                  "file_size bigint, file_arrival_time timestamp, file_count bigint, file_balance_amount int")
+    meta = spark.createDataFrame(
+        [(i, i, n, "amt", 1, 9, 20, day, 30) for i, n in enumerate("ab")], schemas.FILE_METADATA)
+    asked = []
+
+    def run_query(text):
+        asked.append(text)
+        return spark.sql(text)
+
+    targets = spark.createDataFrame([("a", 2), ("b", 3)], "object_name string, egress_target_count bigint")
+    found, _ = _values(spark, jobs, (1, 2, 10), run_query=run_query, audit_log=audit, file_metadata=meta,
+                       egress_targets=targets)
+    assert sorted(asked) == ["select 2", "select 31"]
+    assert {k: v[1] for k, v in found.items()} == {
+        (1, 1): "Passed", (1, 2): "Failed", (1, 10): "Passed", (2, 1): "Passed", (2, 2): "Passed", (2, 10): "Failed"}
+
+
+def test_footer_of_a_folder_is_that_of_its_last_file(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("id,note\n1,CNT=0001\n")
+    (folder / "part-1.csv").write_text("id,note\n" + "2,\n" * 500 + "3,CNT=0502\n")
+    (folder / "part-2.csv").write_text("id,more,note\n4,x,CNT=0503\n")
+    columns = ("JobId,ObjectPath,ObjectName,ObjectType,FileType,Metadata_place,HeadCount_value_start_index,"
+               "HeadCount_value_end_index")
+    jobs = _jobs(spark, tmp_path, [f"1,{folder},p,File,csv,Footer,4,8"], columns)
+    found, _ = _values(spark, jobs, (1,))
+    assert found == {(1, 1): ("503", "Passed")}
+    less, _ = _values(spark, jobs, (1,), exclude_control_row=True)
+    assert less == {(1, 1): ("502", "Failed")}
+
+
+def test_the_plan_has_as_many_scans_for_many_folders(spark, tmp_path):
+    import time
+    for i in range(300):
+        (tmp_path / f"f{i}").mkdir()
+        (tmp_path / f"f{i}" / "x.csv").write_text(f"id,amt\n1,{i}\n")
+    scans = []
+    for many in (10, 300):
+        jobs = _jobs(spark, tmp_path, [f"{i},{tmp_path}/f{i},n{i},File,csv,Footer,amt" for i in range(many)])
+        began = time.perf_counter()
+        ran = validate(spark, jobs, assigned(spark, (0,)))
+        plan = ran._jdf.queryExecution().optimizedPlan().toString()
+        assert time.perf_counter() - began < 20
+        scans.append(plan.count("Relation [value"))
+    assert scans[0] == scans[1]
