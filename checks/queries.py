@@ -15,6 +15,7 @@ from tallykeep.operators.digests import (
 from tallykeep.operators.profile import first_last_cell, object_profile
 from tallykeep.operators.reconcile import keyed_counts, total_counts
 from tallykeep.plans import runs, suite
+from tallykeep.plans.validate import validate
 from tallykeep.sources import manifest_control, param_lookup
 
 
@@ -256,7 +257,27 @@ def run_lineage(spark, sf_dir):
     return runs.run_lineage(v.file_metadata(spark, sf_dir), v.job_metadata(spark, sf_dir), still_started)
 
 
+def _outcomes(results):
+    return results.select("job_id", "object_name", "rule_id", "source_value", "target_value", "status", "text")
+
+
+def validate_pre(spark, sf_dir):
+    """From settings to results: files found, read, measured and judged before processing."""
+    none = spark.createDataFrame([], "file_name string, checksum_value string")
+    return _outcomes(validate(
+        spark, v.file_jobs(spark, sf_dir), v.file_assignment(spark, "Pre", [0, 1, 2, 3, 11]),
+        file_metadata=v.file_bounds(spark), registry=none, digest="unordered", run_query=v.file_totals(spark, sf_dir)))
+
+
+def validate_post(spark, sf_dir):
+    return _outcomes(validate(
+        spark, v.file_jobs(spark, sf_dir), v.file_assignment(spark, "Post", [8, 9]), validation_type="Post",
+        file_metadata=v.file_bounds(spark), run_query=v.file_totals(spark, sf_dir)))
+
+
 QUERIES = {
+    "validate_pre": validate_pre,
+    "validate_post": validate_post,
     "object_profile": object_profile_query,
     "control_parse": control_parse,
     "control_first_last": control_first_last,

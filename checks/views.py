@@ -14,6 +14,7 @@ from tallykeep.operators.digests import flag_duplicates
 from tallykeep.operators.profile import object_profile
 from tallykeep.plans import runs
 from tallykeep.plans.suite import add_control_totals, gather_measures, run_suite
+from tallykeep.schemas import JOB_ARGUMENT_COLUMNS
 
 # Where count and amount stand in the control strings: 'CNT=0000000000000000003;BAL=-0000000000000000006'.
 COUNT_SLICE = (4, 23)
@@ -341,3 +342,55 @@ def file_ends(spark, sf_dir) -> DataFrame:
         "file_id", "load_start_time", "load_end_time", "source_count", "target_count",
         F.lit("Completed").alias("status"),
     )
+
+
+# -- whole runs from settings: the objects are files of the given tables ----------------------
+
+# Object, balance column and the bounds of its row count.
+FILES = (
+    ("region", "r_regionkey", 1, 10), ("nation", "n_nationkey", 30, 40), ("labels", "quality", 1, 10**12),
+    ("benchmark", "item_id", 1, 10**12), ("conversations", "turn", 1, 10**12), ("documents", "n_chars", 1, 10**12),
+)
+
+
+def file_jobs(spark, sf_dir) -> DataFrame:
+    """A job per file, one of a file type that can't be read, one of a file that isn't there, and one without a path."""
+    jobs = [(i, name, f"{sf_dir}/{name}.parquet", "parquet", balance) for i, (name, balance, _, _) in enumerate(FILES, 1)]
+    jobs += [(90, "sheet", f"{sf_dir}/nation.parquet", "xlsx", None), (91, "absent", f"{sf_dir}/absent.parquet", "parquet", None),
+             (92, "nowhere", "", "parquet", None)]
+    names = {name: kind for name, kind in JOB_ARGUMENT_COLUMNS.values()}
+    given = spark.createDataFrame(
+        [(i, name, path, path, kind, kind, balance, "File", "SQLQUERY", "SQLQUERY") for i, name, path, kind, balance in jobs],
+        "job_id bigint, object_name string, object_path string, object_path_post string, file_type string, "
+        "post_file_type string, balance_amount_column string, object_type string, metadata_place string, "
+        "post_metadata_place string")
+    return given.select(*[
+        (F.col(n) if n in given.columns else F.lit(None)).cast(kind).alias(n) for n, kind in names.items()
+    ]).withColumns({
+        "count_query": F.concat(F.lit("count "), "object_name"), "balance_query": F.concat(F.lit("balance "), "object_name"),
+    })
+
+
+def file_assignment(spark, validation_type: str, rules: list[int]) -> DataFrame:
+    rows = [(i, validation_type, r) for i in [*range(1, len(FILES) + 1), 90, 91, 92] for r in rules]
+    return spark.createDataFrame(rows, "job_id bigint, validation_type string, rule_id int")
+
+
+def file_bounds(spark) -> DataFrame:
+    rows = [(i, name, low, high) for i, (name, _, low, high) in enumerate(FILES, 1)]
+    bounds = spark.createDataFrame(rows, "file_id bigint, file_name string, min_value bigint, max_value bigint")
+    return bounds.selectExpr("*", "1L as file_size", "timestamp'2024-01-01' as file_expected_time", "1 as file_buffer_time")
+
+
+def file_totals(spark, sf_dir):
+    """What a source says of its own table when it is asked."""
+    balances = {name: balance for name, balance, _, _ in FILES}
+
+    def run_query(text: str) -> DataFrame:
+        what, name = text.split(" ")
+        if name not in balances:
+            return spark.range(0)
+        rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return rows.select(F.count("*") if what == "count" else F.sum(balances[name]))
+
+    return run_query

@@ -8,10 +8,8 @@ from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key with at least this many rows is hot and is split into parts of about this size. N rows
-# hold at most N / HOT_ROWS hot keys, which bounds what is broadcast and repeated: 10^12 rows
-# give at most 10^6 short rows.
-HOT_ROWS = 1_000_000
+# Rows without a key match nothing and are spread over so many parts.
+SPREAD = 1_000_000
 
 
 def lookup_join(
@@ -21,27 +19,29 @@ def lookup_join(
     row_id: str,
     *,
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``rows`` joined to the at most one ``lookup`` row of their keys.
 
-    The rows of a hot key are split over as many parts as they need, by ``row_id``, and the
-    lookup row of the key is repeated for each part, so no task gets all rows of one key.
-    Every row is kept (``how='left'``) or every row with a match is (``how='inner'``).
+    Every row is kept (``how='left'``) or every row with a match is (``how='inner'``). As a key has one lookup row,
+    adaptive execution can split the rows of a hot key as it meets them, which reads ``rows`` once. Where it is off,
+    ``hot_rows`` counts the keys first, which reads ``rows`` twice: the rows of a key with at least so many are split
+    over parts of about that size, by ``row_id``, and its lookup row is repeated for each part.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how is left or inner, not {how!r}")
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hot = F.broadcast(
+    values = [c for c in lookup.columns if c not in keys]
+    if hot_rows is None:
+        return rows.join(lookup, keys, how).select(*rows.columns, *values)
+    hot = (
         rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= hot_rows)
         .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts"))
     )
     parts = F.coalesce("_parts", F.lit(1))
-    # Rows without a key match nothing and are spread over all tasks.
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
     split_rows = rows.join(hot, keys, "left").withColumn(
-        "_part", F.pmod(F.xxhash64(row_id), F.when(no_key, HOT_ROWS).otherwise(parts)).cast("int")
+        "_part", F.pmod(F.xxhash64(row_id), F.when(no_key, SPREAD).otherwise(parts)).cast("int")
     )
     repeated = lookup.join(hot, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-    values = [c for c in lookup.columns if c not in keys]
     return split_rows.join(repeated.drop("_parts"), [*keys, "_part"], how).select(*rows.columns, *values)

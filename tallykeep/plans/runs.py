@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallykeep.operators.lookup import HOT_ROWS, lookup_join
+from tallykeep.operators.lookup import lookup_join
 
 STARTED = "Started"
 
@@ -54,7 +54,7 @@ def start_batches(starts: DataFrame) -> DataFrame:
     )
 
 
-def finish_batches(runs: DataFrame, ends: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def finish_batches(runs: DataFrame, ends: DataFrame, *, hot_rows: int | None = None) -> DataFrame:
     """``runs`` with all started rows of the ended batches finished.
 
     ``ends`` is ``(batch_id, batch_end_time, status)``. The first end of a batch counts, as
@@ -78,26 +78,35 @@ def _latest_started(runs: DataFrame, key: str, time: str, kept: list[str]) -> Da
     return (
         runs.where(F.col("status") == STARTED)
         .groupBy(key)
-        .agg(F.max(F.struct(time, *kept)).alias("_run"))
+        .agg(F.max(F.struct(F.col(time).alias("_time"), *kept)).alias("_run"))
         .select(key, *[F.col(f"_run.{c}").alias(c) for c in kept])
     )
 
 
+def _one_each(rows: DataFrame, key: str, time: str, kept: list[str]) -> DataFrame:
+    """The row with the latest time of every key; ties go to the largest of the other columns."""
+    return rows.groupBy(key).agg(F.max(F.struct(time, *kept)).alias("_last")).select(
+        key, *[F.col(f"_last.{c}").alias(c) for c in (time, *kept)])
+
+
 # -- jobs ------------------------------------------------------------------------------------
 
 
-def job_lineage(job_metadata: DataFrame, batch_runs: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(job_id, batch_id, execution_run_id)`` of jobs whose batch has a started run.
+def job_lineage(job_metadata: DataFrame, batch_runs: DataFrame, *, hot_rows: int | None = None) -> DataFrame:
+    """``(job_id, batch_id, execution_run_id)`` of jobs whose batch has a started run, one row per job.
 
-    The latest started run of a batch is taken. A batch may hold very many of the jobs.
+    The latest started run of a batch is taken, and of a job listed under several batches the one whose batch
+    started last. A batch may hold very many of the jobs.
     """
-    started = _latest_started(batch_runs, "batch_id", "batch_start_time", ["execution_run_id"])
+    started = _latest_started(batch_runs, "batch_id", "batch_start_time", ["batch_start_time", "execution_run_id"])
     jobs = job_metadata.select("job_id", F.col("batch_id").cast("string").alias("batch_id"))
-    return lookup_join(jobs, started, "batch_id", "job_id", how="inner", hot_rows=hot_rows)
+    found = lookup_join(jobs, started, "batch_id", "job_id", how="inner", hot_rows=hot_rows)
+    return _one_each(found, "job_id", "batch_start_time", ["execution_run_id", "batch_id"]).select(
+        "job_id", "batch_id", "execution_run_id")
 
 
 def start_jobs(
-    starts: DataFrame, job_metadata: DataFrame, batch_runs: DataFrame, *, hot_rows: int = HOT_ROWS
+    starts: DataFrame, job_metadata: DataFrame, batch_runs: DataFrame, *, hot_rows: int | None = None
 ) -> DataFrame:
     """Started rows from ``(job_id, job_name, source_system, source_path, target_system,
     target_path, source_count, target_count, job_start_time)``.
@@ -174,15 +183,18 @@ def finish_jobs(runs: DataFrame, ends: DataFrame) -> DataFrame:
 # -- files -----------------------------------------------------------------------------------
 
 
-def file_lineage(file_metadata: DataFrame, job_runs: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(file_id, job_id, execution_run_id, job_run_id)`` of files whose job has a started run."""
-    started = _latest_started(job_runs, "job_id", "job_start_time", ["execution_run_id", "job_run_id"])
+def file_lineage(file_metadata: DataFrame, job_runs: DataFrame, *, hot_rows: int | None = None) -> DataFrame:
+    """``(file_id, job_id, execution_run_id, job_run_id)`` of files whose job has a started run, one row per file."""
+    started = _latest_started(
+        job_runs, "job_id", "job_start_time", ["job_start_time", "execution_run_id", "job_run_id"])
     files = file_metadata.select("file_id", "job_id")
-    return lookup_join(files, started, "job_id", "file_id", how="inner", hot_rows=hot_rows)
+    found = lookup_join(files, started, "job_id", "file_id", how="inner", hot_rows=hot_rows)
+    return _one_each(found, "file_id", "job_start_time", ["job_run_id", "execution_run_id", "job_id"]).select(
+        "file_id", "job_id", "execution_run_id", "job_run_id")
 
 
 def run_lineage(
-    file_metadata: DataFrame, job_metadata: DataFrame, batch_runs: DataFrame, *, hot_rows: int = HOT_ROWS
+    file_metadata: DataFrame, job_metadata: DataFrame, batch_runs: DataFrame, *, hot_rows: int | None = None
 ) -> DataFrame:
     """``(file_id, job_id, batch_id, execution_run_id)``: file to job to started batch run."""
     jobs = job_lineage(job_metadata, batch_runs, hot_rows=hot_rows)
@@ -191,7 +203,7 @@ def run_lineage(
 
 
 def start_files(
-    starts: DataFrame, file_metadata: DataFrame, job_runs: DataFrame, *, hot_rows: int = HOT_ROWS
+    starts: DataFrame, file_metadata: DataFrame, job_runs: DataFrame, *, hot_rows: int | None = None
 ) -> DataFrame:
     """Started rows from ``(file_id, source_count, target_count, load_start_time)``."""
     start = _millis("load_start_time")

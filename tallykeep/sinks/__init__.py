@@ -1,3 +1,7 @@
-from tallykeep.sinks.tables import append_jdbc, append_once, latest_snapshot, read_snapshot, write_snapshot
+from tallykeep.sinks.tables import (
+    append_jdbc, append_once, latest_snapshot, read_snapshot, update_open_runs, write_snapshot,
+)
 
-__all__ = ["append_jdbc", "append_once", "latest_snapshot", "read_snapshot", "write_snapshot"]
+__all__ = [
+    "append_jdbc", "append_once", "latest_snapshot", "read_snapshot", "update_open_runs", "write_snapshot",
+]

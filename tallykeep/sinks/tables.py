@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -29,13 +29,16 @@ def append_once(
     """Append the rows whose keys the table at ``path`` does not have yet.
 
     Writing the same rows again adds nothing, so a job can be repeated after a failure. Rows
-    that share their keys are written once. ``existing_where`` narrows the part of the table
-    that is looked at, such as its newest partitions. A failed write raises.
+    that share their keys are written once. Of a table with partitions only those are looked at that the rows go
+    to, and ``existing_where`` narrows that further. A failed write raises.
     """
     spark = rows.sparkSession
     new = rows.dropDuplicates(list(keys))
     if any(not name.startswith(("_", ".")) for name in _list_names(spark, path)):
         known = spark.read.schema(rows.schema).parquet(path)
+        if partition_by:
+            touched = new.select(*partition_by).distinct()
+            known = known.join(touched, list(partition_by), "left_semi")
         if existing_where is not None:
             known = known.where(existing_where)
         new = new.alias("new").join(
@@ -58,10 +61,14 @@ def append_jdbc(rows: DataFrame, url: str, table: str, *, batch_size: int = 10_0
     )
 
 
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    names = map(re.compile(r"version=(\d+)$").match, _list_names(spark, root))
+    return sorted((int(m.group(1)) for m in names if m), reverse=True)
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> int | None:
     """The newest complete version under ``root``, or None."""
-    versions = [int(m.group(1)) for m in map(re.compile(r"version=(\d+)$").match, _list_names(spark, root)) if m]
-    for version in sorted(versions, reverse=True):
+    for version in _versions(spark, root):
         if "_SUCCESS" in _list_names(spark, f"{root}/version={version}"):
             return version
     return None
@@ -76,8 +83,25 @@ def write_snapshot(rows: DataFrame, root: str) -> int:
     """Write a new version of a table that is updated as a whole, and return its number.
 
     Readers keep the version before until the new one is complete, so ``rows`` may be
-    computed from it.
+    computed from it. Of two writers that began from one version the second fails; what a failed write left is passed over.
     """
-    version = (latest_snapshot(rows.sparkSession, root) or 0) + 1
-    rows.write.mode("overwrite").parquet(f"{root}/version={version}")
+    version = max(_versions(rows.sparkSession, root), default=0) + 1
+    rows.write.mode("error").parquet(f"{root}/version={version}")
     return version
+
+
+def update_open_runs(spark: SparkSession, root: str, finish: Callable[[DataFrame], DataFrame]) -> None:
+    """Finish runs of a run table without writing its history again.
+
+    ``root/open`` holds versions of the runs that have not ended, ``root/closed`` all others by day of their end.
+    ``finish`` takes the open runs and gives them back, some with an end; those move to the closed ones, once each.
+    """
+    runs = read_snapshot(spark, f"{root}/open")
+    if runs is None:
+        return
+    done = finish(runs)
+    key, end = done.columns[0], next(c for c in done.columns if c.endswith("_end_time"))
+    ended = done.where(F.col(end).isNotNull()).withColumn("end_day", F.to_date(end))
+    append_once(ended, f"{root}/closed", [key], partition_by=["end_day"])
+    # Only what is closed by now leaves the open runs, so a failure in between loses nothing.
+    write_snapshot(done.where(F.col(end).isNull()), f"{root}/open")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallykeep.functions import slice_long
+from tallykeep.sources.objects import edge_lines, last_cell, lines_of, parquet_last_cells
 
 POSITION = ["block_start", "row_seq"]
 
@@ -58,14 +59,6 @@ def read_objects(
     return df.select("*", *columns)
 
 
-def rename_position(df: DataFrame, position: int, name: str) -> DataFrame:
-    """Give the ``position``-th column (from 1) of a headerless file its name."""
-    generated = f"_c{position - 1}"
-    if generated not in df.columns:
-        raise ValueError(f"no column at position {position} in {df.columns}")
-    return df.withColumnRenamed(generated, name)
-
-
 def read_listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Size and arrival time of files, without reading them. Empty files are not listed."""
     return (
@@ -78,17 +71,25 @@ def read_listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def read_manifests(spark: SparkSession, paths: str | Sequence[str], *, key: str = "file") -> DataFrame:
-    """The first line of every manifest file: ``(object_name, meta_string)``."""
-    lines = read_objects(spark, paths, "text", key=key, position=True)
-    return _edge_cells(lines.where(F.col("block_start") == 0), "value", first=True)
+def _by_object(edges: DataFrame, key: str, cell: Column, *, first: bool) -> DataFrame:
+    """One cell per object: of several files, that of the first or last by path."""
+    if key == "file":
+        name = F.element_at(F.split("file", "/"), -1)
+    elif key == "folder":
+        name = F.element_at(F.split("file", "/"), -2)
+    elif key == "path":
+        name = F.col("file")
+    else:
+        raise ValueError(f"object key is file, folder or path, not {key!r}")
+    pick = F.min_by if first else F.max_by
+    named = edges.select(name.alias("object_name"), "file", cell.alias("cell"))
+    return named.groupBy("object_name").agg(pick("cell", "file").alias("meta_string"))
 
 
-def _edge_cells(rows: DataFrame, cell: str, *, first: bool) -> DataFrame:
-    pick = F.min_by if first else F.max_by
-    return rows.groupBy("object_name").agg(
-        pick(F.col(f"`{cell}`").cast("string"), F.struct(*POSITION)).alias("meta_string")
-    )
+def read_manifests(spark: SparkSession, paths: str | Sequence[str], *, key: str = "file") -> DataFrame:
+    """The first line of every manifest: ``(object_name, meta_string)``."""
+    edges = edge_lines(lines_of(spark, [paths] if isinstance(paths, str) else list(paths)))
+    return _by_object(edges, key, F.col("first_line"), first=True)
 
 
 def control_cells(
@@ -96,18 +97,18 @@ def control_cells(
 ) -> DataFrame:
     """The control cell kept inside the objects: ``(object_name, meta_string)``.
 
-    ``Header``: last column of the first row, read without a header. ``Footer``: last
-    column of the last row, read with one.
+    ``Header``: last cell of the first line of an object. ``Footer``: last cell of its last line. Every line is taken
+    apart by itself, so the files of one object may have different columns.
     """
     if place not in ("Header", "Footer"):
         raise ValueError(f"control cells are in the Header or the Footer, not {place!r}")
-    is_header = place == "Header"
-    rows = read_objects(spark, paths, fmt, header=not is_header, key=key, position=True)
-    cell = [c for c in rows.columns if c not in ("object_name", *POSITION)][-1]
-    if is_header and key != "folder" and fmt in ("csv", "json", "text"):
-        # The first line is in the split that starts the file, so the others need no sorting.
-        rows = rows.where(F.col("block_start") == 0)
-    return _edge_cells(rows, cell, first=is_header)
+    roots = [paths] if isinstance(paths, str) else list(paths)
+    if fmt == "parquet":
+        edges, kind = parquet_last_cells(spark, roots), "text"
+    else:
+        edges, kind = edge_lines(lines_of(spark, roots)), fmt
+    line = F.col("first_line" if place == "Header" else "last_line")
+    return _by_object(edges, key, last_cell(F.lit(kind), line), first=place == "Header")
 
 
 def manifest_control(
@@ -136,7 +137,7 @@ def read_control(
 ) -> DataFrame:
     """Control totals from a manifest file (``File``), a ``Header`` or a ``Footer``."""
     if place == "File":
-        meta = read_manifests(spark, paths)
+        meta = read_manifests(spark, paths, key=key)
     else:
         meta = control_cells(spark, paths, fmt, place, key=key)
     return manifest_control(meta, count_slice, balance_slice)

@@ -123,3 +123,12 @@ def test_files(spark):
     assert rows(runs.finish_files(started, by_run), "file_id", "source_count", "duration_in_seconds", "status") == finished
     lineage = runs.run_lineage(file_meta, metadata, batches(spark))
     assert rows(lineage, "file_id", "job_id", "batch_id") == [(11, 1, "b1"), (12, 1, "b1")]
+
+
+def test_a_job_of_two_batches_has_one_run(spark):
+    both = spark.createDataFrame([(1, "b1"), (1, "b2")], schemas.JOB_METADATA)
+    starts = spark.createDataFrame([("b1", "s", at(0)), ("b2", "s", at(5))], "batch_id string, source_id string, batch_start_time timestamp")
+    batch_runs = runs.start_batches(starts)
+    started = runs.start_jobs(job_starts(spark, [1]), both, batch_runs)
+    last = batch_runs.where("batch_id = 'b2'").first().execution_run_id
+    assert rows(started, "job_id", "execution_run_id") == [(1, last)]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tallykeep.sinks import append_once, latest_snapshot, read_snapshot, write_snapshot
+from tallykeep.sinks import append_once, latest_snapshot, read_snapshot, update_open_runs, write_snapshot
 
 
 def test_append_adds_only_new_keys(spark, tmp_path):
@@ -40,8 +40,23 @@ def test_snapshots(spark, tmp_path):
     table = read_snapshot(spark, root)
     assert write_snapshot(table.where("id > 0"), root) == 2
     assert rows(read_snapshot(spark, root)) == [(1,), (2,)]
-    # A version without its end mark is not read and is written anew.
+    # A version without its end mark is not read, and passed over by the next one.
     (tmp_path / "runs" / "version=3").mkdir()
     assert latest_snapshot(spark, root) == 2
-    assert write_snapshot(spark.range(1), root) == 3
+    assert write_snapshot(spark.range(1), root) == 4
     assert rows(read_snapshot(spark, root)) == [(0,)]
+
+
+def test_closed_runs_are_written_once(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    open_runs = spark.sql("select id as run_id, cast(null as timestamp) as load_end_time from range(4)")
+    write_snapshot(open_runs, f"{root}/open")
+
+    def finish(first):
+        return lambda df: df.withColumn("load_end_time", F.expr(f"if(run_id < {first}, timestamp'2024-01-02', null)"))
+
+    for first, left in ((2, [(2,), (3,)]), (2, [(2,), (3,)]), (3, [(3,)])):
+        update_open_runs(spark, root, finish(first))
+        assert rows(read_snapshot(spark, f"{root}/open"), "run_id") == left
+    closed = spark.read.parquet(f"{root}/closed")
+    assert rows(closed, "run_id", F.col("end_day").cast("string")) == [(i, "2024-01-02") for i in range(3)]

@@ -10,7 +10,7 @@ from tallykeep.operators.profile import object_profile
 from tallykeep.operators.rules import balance_control_check, count_control_check, zero_size_check
 from tallykeep.sources import (
     control_cells, param_lookup, query_options, read_control, read_job_args, read_listing,
-    read_manifests, read_objects, read_params, rename_position, table_options,
+    read_manifests, read_objects, read_params, table_options,
 )
 
 COUNT, BALANCE = (4, 8), (13, 20)
@@ -26,8 +26,7 @@ def test_header_control(spark, tmp_path):
     path = write(tmp_path, "header.csv", "id,amt,CNT=0003;BAL=0000006\n1,1,\n2,2,\n3,3,\n")
     control = read_control(spark, "Header", path, COUNT, BALANCE)
     assert rows(control) == [("header.csv", 3, 6)]
-    landed = rename_position(read_objects(spark, path, "csv", header=False), 2, "amt")
-    profile = object_profile(landed, balance="amt")
+    profile = object_profile(read_objects(spark, path, "csv", header=False), balance="_c1")
     # The control row is data of a file read without a header, as its count and sum show.
     assert rows(count_control_check(control, profile)) == [("header.csv", 3, 4, "Failed")]
     assert rows(balance_control_check(control, profile)) == [("header.csv", 6, 6, "Passed")]
@@ -125,14 +124,6 @@ def test_control_text_that_can_not_be_cut(spark):
     assert {r[0] for r in df.select(slice_long("t", -2, 3)).collect()} == {None}
 
 
-def test_rename_position_checks_the_column(spark, tmp_path):
-    path = write(tmp_path, "p.csv", "1,2\n")
-    df = read_objects(spark, path, "csv", header=False)
-    assert rename_position(df, 2, "amt").columns == ["_c0", "amt", "object_name"]
-    with pytest.raises(ValueError):
-        rename_position(df, 3, "amt")
-
-
 def test_job_arguments(spark, tmp_path):
     path = write(
         tmp_path, "args.csv",
@@ -174,3 +165,15 @@ def test_position_orders_rows(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert ordered == list(range(5000))
     assert df.select(F.countDistinct("block_start")).first()[0] >= 1
+
+
+def test_control_cells_of_files_with_other_columns(spark, tmp_path):
+    folder = tmp_path / "f"
+    folder.mkdir()
+    write(folder, "part-0.csv", "id,amt,CNT=0001\n1,2,CNT=0009\n")
+    write(folder, "part-1.csv", "id,amt,more,CNT=0002\n" + "1,2,3,\n" * 300 + "1,2,3,CNT=0301\n")
+    for place, key, wanted in (
+        ("Header", "file", [("part-0.csv", "CNT=0001"), ("part-1.csv", "CNT=0002")]),
+        ("Header", "folder", [("f", "CNT=0001")]), ("Footer", "folder", [("f", "CNT=0301")]),
+    ):
+        assert rows(control_cells(spark, str(folder), "csv", place, key=key)) == wanted
