@@ -85,19 +85,22 @@ def in_batches(frames: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFra
             yield frame.iloc[at:at + rows]
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with n, which orders documents: by doc_id; null ids first and equal ids by the hash of their text."""
+def numbered(docs: DataFrame, name: str = "n") -> DataFrame:
+    """`docs` with a number that orders documents: by doc_id; null ids first and equal ids by the hash of their text.
+
+    Equal rows have equal numbers. Names of columns that begin with an underscore are for the operators.
+    """
     text_hash = F.xxhash64("text")
     ids = docs.where("doc_id IS NOT NULL").select("doc_id", text_hash.alias("h")).distinct()
     several = ids.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1")
     most = several.agg(F.max("c")).first()[0]
     none = F.shiftright(text_hash, 2) - F.lit(1 << 62)
     if most is None:
-        return docs.withColumn("n", F.coalesce("doc_id", none).cast("long"))
+        return docs.withColumn(name, F.coalesce("doc_id", none).cast("long"))
     smaller = ids.join(several, "doc_id", "left_semi")
     rank = smaller.alias("x").join(smaller.alias("y"), "doc_id").where("y.h <= x.h").groupBy("doc_id", "x.h").agg(
         F.count("*").alias("rank"))
-    rank = rank.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "rank")
+    rank = rank.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("rank").alias("_rank"))
     joined = docs.join(rank, (F.col("doc_id") == F.col("_id")) & (text_hash == F.col("_h")), "left")
-    n = F.col("doc_id") * F.lit(most) + F.coalesce(F.col("rank"), F.lit(1)) - 1
-    return joined.withColumn("n", F.coalesce(n, none).cast("long")).drop("_id", "_h", "rank")
+    n = F.col("doc_id") * F.lit(most) + F.coalesce(F.col("_rank"), F.lit(1)) - 1
+    return joined.withColumn(name, F.coalesce(n, none).cast("long")).drop("_id", "_h", "_rank")

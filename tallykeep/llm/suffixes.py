@@ -354,18 +354,18 @@ def without_repeats(docs: DataFrame, span: int = 100, gram: int = 32) -> DataFra
 
     A character that loses some of its bytes goes whole. Other columns stay as they are.
     """
-    texts = numbered(docs)
-    joined = texts.join(_marks(texts, span, gram, _COMMON, 50_000, PARTS), "n", "left")
+    marks = _marks(numbered(docs.select("doc_id", "text")), span, gram, _COMMON, 50_000, PARTS).toDF("_n", "_copy", "_marks")
+    joined = numbered(docs, "_n").join(marks, "_n", "left")
     columns = docs.columns
     schema = docs.select(F.lit(False).alias("_gone"), "*").schema
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             new, gone = [], []
-            for text, copy, marks in zip(frame["text"], frame["copy"], frame["marks"]):
+            for text, copy, marks in zip(frame["text"], frame["_copy"], frame["_marks"]):
                 _, spans, kept = cut_text(text, copy, marks, span)
                 new.append(kept.decode("utf-8", "ignore") if spans else text)
                 gone.append(bool(spans) and not kept)
             yield frame[columns].assign(text=new, _gone=gone)[["_gone", *columns]]
 
-    return joined.drop("n").mapInPandas(work, schema).where("NOT _gone").drop("_gone")
+    return joined.drop("_n").mapInPandas(work, schema).where("NOT _gone").drop("_gone")

@@ -1,0 +1,44 @@
+"""The registered queries on a small given folder."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from compare import connect, duck_rows, spark_rows
+from tallykeep.llm import registry
+
+FOLDER = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
+
+
+def test_all_are_registered():
+    names = sorted(registry.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert {*names, "pipeline"} <= set(entry.queries())
+    assert set(registry.ORACLES) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+def test_query_matches_its_sql(spark, name):
+    found = spark_rows(registry.QUERIES[name](spark, FOLDER))
+    assert found == duck_rows(connect(FOLDER), registry.ORACLES[name])
+
+
+def test_pipeline_keeps_the_columns_of_documents(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    now, many = docs, docs.count()
+    for _, work in corpus_pipeline.STAGES[:-1]:
+        now = corpus_pipeline.stage(work(spark, now, FOLDER), "test")
+        assert now.dtypes == docs.dtypes
+        assert 0 < now.count() <= many
+        many = now.count()
+    packed = corpus_pipeline.run(spark, FOLDER)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in now.select("doc_id").collect()}
+    empty = docs.where("false")
+    for _, work in corpus_pipeline.STAGES:
+        assert work(spark, empty, FOLDER).count() == 0
