@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallykeep.llm.shared import WordHashes, hash_words, stage, words_of
+from tallykeep.llm.shared import in_batches, stage, word_hashes
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of the table, a power of 2: 2 MB, whatever the size of the benchmark.
@@ -38,12 +38,10 @@ def seed_hashes(hashes: np.ndarray, seed: int) -> np.ndarray:
 def item_seeds(items: DataFrame, seed: int) -> DataFrame:
     """(gram, item_id, item_at, item_words), a row per place. Null ids are kept, empty and short items have no seeds."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
         for frame in frames:
-            for item_id, text in zip(frame.item_id, frame.text):
-                words = words_of(text)
+            for item_id, words in zip(frame.item_id, word_hashes(list(frame.text))):
                 # Items shorter than a seed are one seed as a whole.
-                grams = seed_hashes(hash_words(words, known), min(seed, max(len(words), 1)))
+                grams = seed_hashes(words, min(seed, max(len(words), 1)))
                 yield pd.DataFrame({
                     "gram": grams.view(np.int64), "item_id": item_id, "item_at": np.arange(len(grams)),
                     "item_words": len(words), "seed": min(seed, len(words))}).astype({"item_id": "Int64"})
@@ -114,10 +112,9 @@ def overlaps(docs: DataFrame, items: DataFrame, seed: int = 5) -> DataFrame:
     table = docs.sparkSession.sparkContext.broadcast(_bit_table(seeds))
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, mask = WordHashes(), np.uint64((1 << _TABLE_BITS) - 1)
-        for frame in frames:
-            for doc_id, text_hash, text in zip(frame.doc_id, frame.text_hash, frame.text):
-                hashes = hash_words(words_of(text), known)
+        mask = np.uint64((1 << _TABLE_BITS) - 1)
+        for frame in in_batches(frames, 500):
+            for doc_id, text_hash, hashes in zip(frame.doc_id, frame.text_hash, word_hashes(list(frame.text))):
                 for size in sizes:
                     grams = seed_hashes(hashes, size)
                     low = grams & mask

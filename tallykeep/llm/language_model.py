@@ -14,7 +14,7 @@ Words are 48-bit hashes: of 10^8 different words about 18 pairs share one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallykeep.llm.shared import WordHashes, hash_words, in_batches, numbered, shuffle_partitions, stage, words_of
+from tallykeep.llm.shared import in_batches, numbered, shuffle_partitions, stage, word_hashes
 
 _WORD_BITS = 48
 #: Hashes of the start and the end; real words have other ones but by chance.
@@ -31,8 +31,8 @@ _FLUSH_WORDS = 800_000
 _BUCKETS_PER_PARTITION = 3
 
 
-def word_ids(text: str | None, known: WordHashes) -> np.ndarray:
-    return hash_words(words_of(text), known) >> np.uint64(64 - _WORD_BITS)
+def word_ids(texts: Sequence[str | None]) -> list[np.ndarray]:
+    return [h >> np.uint64(64 - _WORD_BITS) for h in word_hashes(texts)]
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -84,9 +84,9 @@ def _totals(keys: np.ndarray, amounts: np.ndarray) -> np.ndarray:
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, count) over all documents, with a word START and END for each."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, held, many, size = WordHashes(), [], 0, 0
+        held, many, size = [], 0, 0
         for frame in in_batches(frames, 500):
-            held += [word_ids(text, known) for text in frame.text]
+            held += word_ids(list(frame.text))
             many += len(frame)
             size += sum(map(len, held[-len(frame):]))
             if size > _FLUSH_WORDS:
@@ -109,12 +109,11 @@ def _pairs(docs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
     """(bucket, docs, data): blocks of different pairs (v, w) of documents, with how often they and their words occur."""
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, held, ids, size = WordHashes(), [], [], 0
+        held, ids, size = [], [], 0
         for frame in in_batches(frames, 500):
-            for n, text in zip(frame.n, frame.text):
-                held.append(word_ids(text, known))
-                ids.append(n)
-                size += len(held[-1]) + 2
+            held += word_ids(list(frame.text))
+            ids += frame.n.tolist()
+            size += sum(len(h) + 2 for h in held[-len(frame):])
             if size > _FLUSH_WORDS:
                 yield block(held, ids)
                 held, ids, size = [], [], 0

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallykeep.llm.components import connected_components
-from tallykeep.llm.shared import WordHashes, as_bytes, hash_words, in_batches, stage, words_of
+from tallykeep.llm.shared import as_bytes, in_batches, stage, word_hashes
 
 #: Generator of the binary Golay code (23, 12): x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 _GENERATOR = 0b101011100011
@@ -203,9 +203,8 @@ def near_copies(
     error of 0.025. node is the text's 64-bit hash, so equal texts are one; of 10^9 different texts, 0.03 pairs share one.
     """
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
         for frame in in_batches(frames, 500):
-            words = [hash_words(words_of(text), known) for text in frame.text]
+            words = word_hashes(list(frame.text))
             yield pd.DataFrame({
                 "doc_id": frame.doc_id.astype("Int64"), "node": frame.node, "codes": [views(w, many) for w in words],
                 "sketch": [sketch(w, shingle) for w in words]})
