@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallykeep.llm.shared import in_batches, numbered, shuffle_partitions, stage, word_hashes
+from tallykeep.llm.shared import in_batches, numbered, shuffle_partitions, stage, trimmed, word_hashes
 
 _WORD_BITS = 48
 #: Hashes of the start and the end; real words have other ones but by chance.
@@ -101,7 +101,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             "word": np.concatenate([words.astype(np.int64), [START, END]]),
             "count": np.concatenate([count, [many, many]])})
 
-    rows = docs.select("text").mapInPandas(work, "word long, count long")
+    rows = docs.select("text").mapInPandas(trimmed(work), "word long, count long")
     return rows.groupBy("word").agg(F.sum("count").alias("count"))
 
 
@@ -140,7 +140,7 @@ def _pairs(docs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
             for a, b in zip(cut, [*cut[1:], len(v)])]
         return pd.DataFrame(rows, columns=["bucket", "docs", "data"])
 
-    return docs.select("n", "text").mapInPandas(work, "bucket long, docs binary, data binary")
+    return docs.select("n", "text").mapInPandas(trimmed(work), "bucket long, docs binary, data binary")
 
 
 def _joined(frame: pd.DataFrame, frequent: np.ndarray, counts: np.ndarray):

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from tallykeep.llm import (
     chat, decontaminate, language_model, licenses, packing, quality, search, simhash, suffixes, toxicity,
 )
-from tallykeep.llm.shared import small_batches
+from tallykeep.llm.shared import prepare
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import os
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,11 +42,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand texts to Python in batches of so many rows at most; the default of 10,000 long texts is a lot of memory."""
+def prepare(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of so many rows at most; the default of 10,000 long texts is a lot of memory.
+
+    Python workers on this machine also get the place of this package, if it isn't installed there.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
+    place, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if place not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), place])
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -113,6 +124,24 @@ def word_hashes(texts: Sequence[str | None]) -> list[np.ndarray]:
     return np.split(np.concatenate(hashes), cut) if each else []
 
 
+def trimmed(work: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]):
+    """`work`, after which the Python worker, which Spark keeps for later tasks, gives freed memory back to the system."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from work(frames)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+    if trim:
+        trim(0)
+
+
 def in_batches(frames: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
     """Cut frames into pieces of at most so many rows."""
     for frame in frames:

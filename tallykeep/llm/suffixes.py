@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallykeep.llm.shared import as_bytes, in_batches, numbered, shuffle_partitions, stage
+from tallykeep.llm.shared import as_bytes, in_batches, numbered, shuffle_partitions, stage, trimmed
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PIECE = 1 << 18
@@ -170,7 +170,7 @@ def _repeated_anchors(texts: DataFrame, span: int, gram: int, buckets: int, comm
         cut = np.flatnonzero(np.concatenate(([True], n[1:] != n[:-1]))) if len(n) else np.empty(0, int)
         return pd.DataFrame({"n": n[cut], "places": [p.tobytes() for p in np.split(places, cut[1:])] if len(n) else []})
 
-    asked = texts.select("n", "text").mapInPandas(ask, "bucket long, data binary")
+    asked = texts.select("n", "text").mapInPandas(trimmed(ask), "bucket long, data binary")
     return asked.groupBy("bucket").applyInPandas(answer, "n long, places binary")
 
 
@@ -219,7 +219,7 @@ def _suffixes(texts: DataFrame, span: int, gram: int, parts: int) -> DataFrame:
                     "n": n, "place": where, "low": start[new], "high": start[last],
                     "context": [x.tobytes() for x in context]})
 
-    return texts.mapInPandas(cut, "lead long, part int, n long, place long, low long, high long, context binary")
+    return texts.mapInPandas(trimmed(cut), "lead long, part int, n long, place long, low long, high long, context binary")
 
 
 def _equal_windows(frames: Iterator[pd.DataFrame], span: int, gram: int) -> Iterator[pd.DataFrame]:
@@ -260,9 +260,7 @@ def _equal_windows(frames: Iterator[pd.DataFrame], span: int, gram: int) -> Iter
         other = np.flatnonzero(first != np.arange(len(row)))
         mine, theirs = row[other], row[first[other]]
         pairs, which = np.unique(mine * (b - a) + theirs, return_inverse=True)
-        differ = np.zeros((len(pairs), wide + 1), np.int32)
-        np.cumsum(chars[pairs // (b - a)] != chars[pairs % (b - a)], axis=1, out=differ[:, 1:])
-        same = differ[which, column[other] + span] == differ[which, column[other]]
+        same = _same_bytes(chars, pairs // (b - a), pairs % (b - a), which, column[other], span)
         earlier = (n[a:b][mine] != n[a:b][theirs]) | (start[other] != start[first[other]])
         marked = np.zeros(len(row), bool)
         marked[other[same & earlier]] = True
@@ -280,6 +278,24 @@ def _equal_windows(frames: Iterator[pd.DataFrame], span: int, gram: int) -> Iter
                 "window": pd.array(window[hand].view(np.int64), "Int64")})
 
 
+def _same_bytes(
+    chars: np.ndarray, mine: np.ndarray, theirs: np.ndarray, which: np.ndarray, column: np.ndarray, span: int,
+) -> np.ndarray:
+    """Whether the windows at `column` of the pairs `which` of rows (mine, theirs) have equal bytes; some pairs at a time."""
+    same = np.zeros(len(which), bool)
+    order = np.argsort(which)
+    step = 8192
+    cut = np.searchsorted(which[order], np.arange(0, len(mine) + step, step))
+    for k, (a, b) in enumerate(zip(cut, cut[1:])):
+        at = order[a:b]
+        x, y = (rows[k * step:(k + 1) * step] for rows in (mine, theirs))
+        differ = np.zeros((len(x), chars.shape[1] + 1), np.int16)
+        np.cumsum(chars[x] != chars[y], axis=1, out=differ[:, 1:], dtype=np.int16)
+        pair = which[at] - k * step
+        same[at] = differ[pair, column[at] + span] == differ[pair, column[at]]
+    return same
+
+
 def _marks(texts: DataFrame, span: int, gram: int, common: int, group_rows: int, parts: int) -> DataFrame:
     """(n, copy, marks) of documents that lose bytes: a whole copy, or pairs (low, high) of marked starts."""
     if gram & (gram - 1) or gram < 8 or gram > span:
@@ -293,9 +309,9 @@ def _marks(texts: DataFrame, span: int, gram: int, common: int, group_rows: int,
     wanted = repeated.groupBy("n").agg(F.collect_list("places").alias("places")).join(copies, "n", "left_anti")
     wanted = stage(wanted, "anchors")
     distinct = texts.select("n", "text").join(wanted, "n")
-    suffixes = _suffixes(distinct, span, gram, parts).repartitionByRange(buckets, "lead", "part")
+    suffixes = _suffixes(distinct, span, gram, parts).repartitionByRange(2 * buckets, "lead", "part")
     found = suffixes.mapInPandas(
-        lambda frames: _equal_windows(frames, span, gram), "n long, low long, high long, window long")
+        trimmed(lambda frames: _equal_windows(frames, span, gram)), "n long, low long, high long, window long")
     found = stage(found, "windows")
     firsts = found.where("window IS NOT NULL").select("window", "n", "low")
     least = firsts.groupBy("window").agg(F.min(F.struct("n", "low")).alias("least"))
@@ -338,7 +354,7 @@ def repeats(
     joined = texts.join(_marks(texts, span, gram, common, group_rows, parts), "n", "left")
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in in_batches(frames, 200):
             out = []
             for doc_id, text, copy, marks in zip(frame.doc_id, frame.text, frame["copy"], frame.marks):
                 data, spans, kept = cut_text(text, copy, marks, span)
@@ -346,7 +362,7 @@ def repeats(
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept_sha256"]).astype({"doc_id": "Int64"})
 
     return joined.select("doc_id", "text", "copy", "marks").mapInPandas(
-        work, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept_sha256 string")
+        trimmed(work), "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, span: int = 100, gram: int = 32) -> DataFrame:
@@ -368,4 +384,4 @@ def without_repeats(docs: DataFrame, span: int = 100, gram: int = 32) -> DataFra
                 gone.append(bool(spans) and not kept)
             yield frame[columns].assign(text=new, _gone=gone)[["_gone", *columns]]
 
-    return joined.drop("_n").mapInPandas(work, schema).where("NOT _gone").drop("_gone")
+    return joined.drop("_n").mapInPandas(trimmed(work), schema).where("NOT _gone").drop("_gone")
