@@ -194,13 +194,8 @@ def _logged_at():
 
 
 def suite_results(spark, sf_dir):
-    both = [
-        suite.rule_execution_log(stage(spark, sf_dir), _logged_at(), v.LOGGED_BY)
-        for stage in (v.pre_suite, v.post_suite)
-    ]
-    return both[0].unionByName(both[1]).withColumn(
-        "created_time", F.date_format("created_time", "yyyy-MM-dd HH:mm:ss.SSS")
-    )
+    log = suite.rule_execution_log(v.both_suites(spark, sf_dir), _logged_at(), v.LOGGED_BY)
+    return log.withColumn("created_time", F.date_format("created_time", "yyyy-MM-dd HH:mm:ss.SSS"))
 
 
 def suite_summary(spark, sf_dir):

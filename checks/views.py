@@ -207,6 +207,7 @@ def pre_measures(spark, sf_dir) -> DataFrame:
             "object_name",
             control_string(F.col("row_count"), F.col("balance")).alias("meta_string"),
             F.col("row_count").alias("egress_target_count"),
+            F.col("row_count").alias("post_control_count"), F.col("balance").cast("bigint").alias("post_control_balance"),
         ),
         arrivals(spark, sf_dir, by_type=False).withColumnRenamed("file_name", "object_name").drop("event_id"),
         file_meta(spark, sf_dir, by_type=False).withColumnRenamed("file_name", "object_name"),
@@ -228,6 +229,13 @@ def post_measures(spark, sf_dir) -> DataFrame:
     return gather_measures(jobs, [profile, control])
 
 
+def both_suites(spark, sf_dir) -> DataFrame:
+    """Both stages in one pass over one profile of what was sent and one of what arrived."""
+    measures = pre_measures(spark, sf_dir).withColumns(
+        {"post_row_count": F.col("row_count"), "post_balance": F.col("balance")})
+    return run_suite(measures, assignment(spark, sf_dir), ["Pre", "Post"])
+
+
 def pre_suite(spark, sf_dir) -> DataFrame:
     return run_suite(pre_measures(spark, sf_dir), assignment(spark, sf_dir), "Pre")
 

@@ -36,16 +36,20 @@ def blank_object_guard(job_args: DataFrame, validation_type: str = PRE) -> DataF
 def gather_measures(jobs: DataFrame, parts: Sequence[DataFrame], key: str = "object_name") -> DataFrame:
     """``jobs`` with the measures of their object. Every part has one row per ``key``.
 
-    All joins are on the same key, so the growing left side is shuffled once. Jobs with a blank or
-    null key have no measures and stay out of the joins, where they would meet in one task.
+    All joins are on the same key, so the growing left side is shuffled once. Jobs with a blank or null name,
+    which would meet in one task, are joined by a text that no object has, each by its own.
     """
     if not parts:
         return jobs
-    blank = is_blank(F.col(key).cast("string"))
-    keyed = jobs.where(~blank)
+    if dict(jobs.dtypes)[key] != "string":
+        for part in parts:
+            jobs = jobs.join(part, key, "left")
+        return jobs
+    nobody = F.concat(F.lit("\0"), F.xxhash64(*jobs.columns).cast("string"))
+    keyed = jobs.withColumn("_own", F.col(key)).withColumn(key, F.when(is_blank(key), nobody).otherwise(F.col(key)))
     for part in parts:
         keyed = keyed.join(part, key, "left")
-    return keyed.unionByName(jobs.where(blank), allowMissingColumns=True)
+    return keyed.withColumn(key, F.col("_own")).drop("_own")
 
 
 def add_control_totals(measures: DataFrame, meta: str = "meta_string", prefix: str = "") -> DataFrame:
@@ -99,35 +103,43 @@ def _result(rule: Rule, available: set[str]) -> str:
 
 
 def run_suite(
-    measures: DataFrame, assignment: DataFrame, validation_type: str, *, limit: int | None = None
+    measures: DataFrame, assignment: DataFrame, validation_type: str | Sequence[str], *, limit: int | None = None
 ) -> DataFrame:
     """The results of the rules every job ran, one row per job and rule.
 
     ``measures`` has one row per job: its arguments and the measures of its object. All rules
-    of the stage are expressions over that row; those assigned to the job are unfolded into
-    rows, up to and with the first one that ends the run (an error, or an empty object). The
+    of the stage, or of several stages at once, are expressions over that row; those assigned to the job are
+    unfolded into rows, up to and with the first one of a stage that ends the run (an error, or an empty object). The
     rows of a job stay where the job is, so neither the order of the rules nor the stop needs
-    another shuffle. A job that ran no rule has one row without a ``rule_id``.
+    another shuffle. A job that ran no rule of a stage has one row without a ``rule_id``.
     """
+    stages = [validation_type] if isinstance(validation_type, str) else list(validation_type)
     available = set(measures.columns)
-    stage_rules = [r for r in RULES if r.stage == validation_type]
-    assigned = measures.join(rule_lists(assignment, validation_type, limit), "job_id", "left")
-    judged = assigned.withColumn("is_blank", blank_object(validation_type)).selectExpr(
-        "*", *[sql for r in stage_rules for sql in _judged(r, available)]
-    )
+    stage_rules = [r for r in RULES if r.stage in stages]
+    lists = None
+    for name in stages:
+        one = rule_lists(assignment, name, limit).withColumnRenamed("rule_ids", f"_ids_{name}")
+        lists = one if lists is None else lists.join(one, "job_id", "full")
+    of_stage = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("validation_type"), F.col(f"_ids_{name}").alias("rule_ids"),
+                 blank_object(name).alias("is_blank"))
+        for name in stages
+    ]))
+    assigned = measures.join(lists, "job_id", "left").select("*", of_stage.alias("_stage"))
+    judged = assigned.select("*", "_stage.*").selectExpr("*", *[sql for r in stage_rules for sql in _judged(r, available)])
     outcomes = ", ".join(_result(r, available) for r in stage_rules)
     results = judged.selectExpr(
-        "job_id", "object_name", "object_type", "is_blank",
+        "job_id", "object_name", "object_type", "is_blank", "validation_type",
         f"inline_outer(filter(array({outcomes}), r -> not is_blank and array_contains(rule_ids, r.rule_id)))",
     )
-    earlier = Window.partitionBy("job_id").orderBy("rule_id").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("job_id", "validation_type").orderBy("rule_id").rowsBetween(
+        Window.unboundedPreceding, -1)
     stops = (F.col("status") == ERROR) | ((F.col("rule_id") == 0) & (F.col("status") == FAILED))
     return (
         results.withColumn("stops", stops)
         .withColumn("_stopped", F.max("stops").over(earlier))
         .where(~F.coalesce("_stopped", F.lit(False)))
         .drop("_stopped")
-        .withColumn("validation_type", F.lit(validation_type))
     )
 
 

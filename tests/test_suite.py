@@ -155,3 +155,19 @@ def test_control_totals_at_the_positions_of_each_job(spark):
 
 def test_rule_ids_are_in_order():
     assert [r.rule_id for r in RULES] == list(range(12))
+
+
+def test_jobs_without_an_object_are_spread(spark):
+    jobs = spark.range(2000).selectExpr("id as job_id", "case when id % 10 > 0 then '' else 'o' || id end as object_name")
+    part = spark.range(2000).selectExpr("'o' || id as object_name", "id as row_count")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = suite.gather_measures(jobs, [part])
+        sizes = found.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()
+        assert found.columns == ["object_name", "job_id", "row_count"]
+        assert sum(sizes) == 2000 and max(sizes) < 500
+        assert found.where("row_count is not null").count() == 200 and found.where("object_name = ''").count() == 1800
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
