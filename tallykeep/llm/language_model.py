@@ -5,8 +5,8 @@ scores log(count(v w) / count(v)), any other log(backoff x count(w) / words). Th
 
 The join runs on compact blocks. Pairs (v, w) of each document go to buckets by the hash of v, so that a bucket has all pairs
 of its words v: it adds up the count tables of its pairs and words, and joins them to the pairs of the documents in it.
-Pairs without a count elsewhere go on to buckets by the hash of w, with the table of word counts. The shares of a
-document are summed at last. Words with more than a bucket's share of the corpus (at most as many as there are buckets)
+Pairs without a count elsewhere go on to buckets by the hash of w, with the table of word counts. The shares of the
+documents come back in blocks by group of documents and are summed at last. Words with more than a bucket's share of the corpus (at most as many as there are buckets)
 are known to all tasks: as v their pairs are dealt out by v and w, and as w they need no second bucket.
 
 Words are 48-bit hashes: of 10^8 different words about 18 pairs share one.
@@ -191,13 +191,35 @@ def scores(docs: DataFrame, backoff: float = 0.4) -> DataFrame:
         use = found | back
         return summed(names, doc, np.where(use, value * times, 0.0), times, np.where(found, 0, times))
 
-    def summed(names, doc, value, times, missed) -> pd.DataFrame:
+    def summed(names, doc, value, times, missed, all_of_them=False) -> pd.DataFrame:
+        """What a bucket adds to its documents, in one row for each group of documents."""
         n = len(names)
-        events = np.bincount(doc, times, n)
-        there = np.flatnonzero(events + np.bincount(doc, missed, n))
-        return pd.DataFrame({
-            "n": names[there], "sum": np.bincount(doc, value, n)[there], "events": events[there].astype(np.int64),
-            "missed": np.bincount(doc, missed, n)[there].astype(np.int64)})
+        events, gone = np.bincount(doc, times, n), np.bincount(doc, missed, n)
+        total = np.bincount(doc, value, n)
+        there = np.arange(n) if all_of_them else np.flatnonzero(events + gone)
+        group = (_mixed(names.view(np.uint64), np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
+        there = there[np.lexsort((names[there], group[there]))]
+        cut = _runs(group[there]) if len(there) else []
+        rows = []
+        for a, b in zip(cut, [*cut[1:], len(there)]):
+            at = there[a:b]
+            rows.append((int(group[at[0]]), zstandard.compress(b"".join([
+                np.diff(names[at], prepend=0).tobytes(), total[at].tobytes(), events[at].astype(np.int64).tobytes(),
+                gone[at].astype(np.int64).tobytes()]), 1)))
+        return pd.DataFrame(rows, columns=["group", "data"])
+
+    def add_up(frame: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for data in frame.data:
+            raw = zstandard.decompress(data)
+            n = len(raw) // 32
+            parts.append((np.cumsum(np.frombuffer(raw, np.int64, n)), np.frombuffer(raw, np.float64, n, 8 * n),
+                          np.frombuffer(raw, np.int64, n, 16 * n), np.frombuffer(raw, np.int64, n, 24 * n)))
+        names, total, events, missed = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(names, kind="stable")
+        cut = _runs(names[order])
+        return pd.DataFrame({"n": names[order][cut], **{
+            c: np.add.reduceat(x[order], cut) for c, x in (("sum", total), ("events", events), ("missed", missed))}})
 
     def unseen(frame: pd.DataFrame) -> pd.DataFrame:
         names, v, w, doc, times, own_w, pair, first = _joined(frame, frequent, counts)
@@ -217,23 +239,28 @@ def scores(docs: DataFrame, backoff: float = 0.4) -> DataFrame:
     def backed_off(frame: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(table["word"].to_numpy())
         word, count = table["word"].to_numpy()[order].astype(np.uint64), table["count"].to_numpy()[order]
-        out = []
+        whole, at = ([], [], []), 0
         for docs_, data in zip(frame.docs, frame.data):
             names = np.cumsum(np.frombuffer(zstandard.decompress(docs_), np.int64))
             (w,), (doc, times, own_w) = _unpack(data, 1, 3)
             value = np.log(np.maximum(count[np.searchsorted(word, w)] - own_w, 0.5)) * times
-            out.append(summed(names, doc, value, np.zeros_like(times), times))
-        frame = pd.concat(out) if out else pd.DataFrame({"n": [], "sum": [], "events": [], "missed": []})
-        return frame.assign(missed=0)[["n", "sum", "events", "missed"]]
-
-    share = "n long, sum double, events long, missed long"
-    blocks = "bucket long, docs binary, data binary"
+            for held, x in zip(whole, (names, doc + at, value)):
+                held.append(x)
+            at += len(names)
+        if not at:
+            return pd.DataFrame({"group": [], "data": []})
+        names, doc, value = (np.concatenate(x) for x in whole)
+        # The documents of all parts may repeat; their events and misses were counted with the pairs.
+        used, doc = np.unique(names[doc], return_inverse=True)
+        return summed(used, doc, value, np.zeros_like(doc), np.zeros_like(doc), all_of_them=True)
+
+    shares, blocks = "group long, data binary", "bucket long, docs binary, data binary"
     by_word = words.withColumn(
         "bucket", F.shiftright(F.shiftright("word", 16) * F.lit(buckets), 32))
     later = pairs.groupBy("bucket").applyInPandas(unseen, blocks).groupBy("bucket").cogroup(
-        by_word.groupBy("bucket")).applyInPandas(backed_off, share)
-    parts = pairs.groupBy("bucket").applyInPandas(seen, share).union(later)
-    sums = parts.groupBy("n").agg(*[F.sum(c).alias(c) for c in ("sum", "events", "missed")])
+        by_word.groupBy("bucket")).applyInPandas(backed_off, shares)
+    parts = pairs.groupBy("bucket").applyInPandas(seen, shares).union(later)
+    sums = parts.groupBy("group").applyInPandas(add_up, "n long, sum double, events long, missed long")
     own = F.col("events") / F.col("rows")
     rest = F.greatest(F.lit(float(total)) - own, F.lit(1.0))
     score = (F.col("sum") + F.col("missed") * (F.lit(float(np.log(backoff))) - F.log(rest))) / F.col("events")
