@@ -170,7 +170,8 @@ def scores(docs: DataFrame, backoff: float = 0.4) -> DataFrame:
     copies that see each other. Words that no other document has count as half a word.
     """
     spark = docs.sparkSession
-    buckets = shuffle_partitions(spark) * _BUCKETS_PER_PARTITION
+    groups = shuffle_partitions(spark)  # of documents, and of words that pairs back off to
+    buckets = groups * _BUCKETS_PER_PARTITION
     texts = numbered(docs.select("doc_id", "text"))
     words = stage(word_counts(docs), "words")
     total = words.where(F.col("word") != START).agg(F.sum("count")).first()[0] or 0
@@ -197,7 +198,7 @@ def scores(docs: DataFrame, backoff: float = 0.4) -> DataFrame:
         events, gone = np.bincount(doc, times, n), np.bincount(doc, missed, n)
         total = np.bincount(doc, value, n)
         there = np.arange(n) if all_of_them else np.flatnonzero(events + gone)
-        group = (_mixed(names.view(np.uint64), np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
+        group = (_mixed(names.view(np.uint64), np.uint64(1)) % np.uint64(groups)).astype(np.int64)
         there = there[np.lexsort((names[there], group[there]))]
         cut = _runs(group[there]) if len(there) else []
         rows = []
@@ -225,7 +226,7 @@ def scores(docs: DataFrame, backoff: float = 0.4) -> DataFrame:
         names, v, w, doc, times, own_w, pair, first = _joined(frame, frequent, counts)
         go = np.flatnonzero((pair <= 0) & ~np.isin(w, frequent))
         w, doc, times, own_w = w[go], doc[go], times[go], own_w[go]
-        bucket = _bucket(w, buckets)
+        bucket = _bucket(w, groups)
         order = np.lexsort((doc, w, bucket))
         w, doc, times, own_w, bucket = (x[order] for x in (w, doc, times, own_w, bucket))
         cut = _runs(bucket) if len(bucket) else []
@@ -256,7 +257,7 @@ def scores(docs: DataFrame, backoff: float = 0.4) -> DataFrame:
 
     shares, blocks = "group long, data binary", "bucket long, docs binary, data binary"
     by_word = words.withColumn(
-        "bucket", F.shiftright(F.shiftright("word", 16) * F.lit(buckets), 32))
+        "bucket", F.shiftright(F.shiftright("word", 16) * F.lit(groups), 32))
     later = pairs.groupBy("bucket").applyInPandas(unseen, blocks).groupBy("bucket").cogroup(
         by_word.groupBy("bucket")).applyInPandas(backed_off, shares)
     parts = pairs.groupBy("bucket").applyInPandas(seen, shares).union(later)
