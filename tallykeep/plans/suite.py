@@ -15,6 +15,8 @@ BLANK_OBJECT = {
     PRE: "Error Message : ObjectName or Path is blank in Pre Validation Wrapper Function",
     POST: "Error Message : ObjectName or Path is blank in Post Wrapper Function",
 }
+# Fixed value: what a line of the validation log begins with when a rule ended in an error.
+ERROR_LINE = "Error Occured "
 SEPARATOR = " | "
 
 KNOWN_TYPE = f"coalesce(object_type in ({', '.join(map(repr, AUDIT_LABELS))}), false)"
@@ -203,7 +205,7 @@ def validation_log(suite: DataFrame, logged_at: Column) -> DataFrame:
     line = F.when(F.col("rule_id").isNotNull(), F.struct(
         "rule_id",
         F.when(in_error, "ERROR").otherwise("INFO").alias("level"),
-        F.when(in_error, F.concat(F.lit("Error Occured "), F.col("text"))).otherwise(F.col("text")).alias("text"),
+        F.when(in_error, F.concat(F.lit(ERROR_LINE), F.col("text"))).otherwise(F.col("text")).alias("text"),
     ))
     jobs = _by_job(suite, F.sort_array(F.collect_list(line)).alias("_lines"))
     last = F.struct(
