@@ -112,27 +112,31 @@ def golay_keys(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def links(codes: DataFrame, group_most: int = 64) -> DataFrame:
-    """Links (a, b) between different codes: every two codes at most 2 bits apart are linked or in one star."""
+    """Links (view, a, b) between different codes of a view: every two at most 2 bits apart are linked or in one star.
+
+    `codes` is (view, code), each pair once; views are small numbers, and all are handled at once.
+    """
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            code = frame.code.to_numpy()
+            code, view = frame.code.to_numpy(), frame["view"].to_numpy(np.int64)
             row, key = golay_keys(code)
-            yield pd.DataFrame({"key": key, "code": code[row]})
+            yield pd.DataFrame({"key": view[row] << 37 | key, "view": view[row], "code": code[row]})
 
-    keys = stage(codes.select("code").mapInPandas(work, "key long, code long"), "golay_keys")
+    keys = stage(codes.select("view", "code").mapInPandas(work, "key long, view int, code long"), "golay_keys")
     sizes = keys.groupBy("key").count().where("count > 1")
     shared = stage(keys.join(sizes, "key"), "shared_keys")
-    few = shared.where(F.col("count") <= group_most).select("key", "code")
-    pairs = few.select("key", F.col("code").alias("a")).join(few.select("key", F.col("code").alias("b")), "key").where(
+    few = shared.where(F.col("count") <= group_most)
+    pairs = few.select("key", "view", F.col("code").alias("a")).join(
+        few.select("key", F.col("code").alias("b")), "key").where(
         (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_DISTANCE))
-    many = shared.where(F.col("count") > group_most).select("code").distinct()
+    many = shared.where(F.col("count") > group_most).select("view", "code").distinct()
     around = F.explode(F.array(F.col("code"), *[
         F.col("code").bitwiseXOR(F.lit(v).cast("long")) for v in np.left_shift(1, np.arange(64)).tolist()]))
-    neighbours = many.select("code", around.alias("middle"))
-    least = neighbours.groupBy("middle").agg(F.min("code").alias("least"))
-    stars = neighbours.join(least, "middle").where("code <> least").select(
-        F.col("least").alias("a"), F.col("code").alias("b"))
-    return pairs.select("a", "b").union(stars).distinct()
+    neighbours = many.select("view", "code", around.alias("middle"))
+    least = neighbours.groupBy("view", "middle").agg(F.min("code").alias("least"))
+    stars = neighbours.join(least, ["view", "middle"]).where("code <> least").select(
+        "view", F.col("least").alias("a"), F.col("code").alias("b"))
+    return pairs.select("view", "a", "b").union(stars).distinct()
 
 
 def groups(docs: DataFrame, shingle: int = 3, group_most: int = 64) -> DataFrame:
@@ -143,7 +147,7 @@ def groups(docs: DataFrame, shingle: int = 3, group_most: int = 64) -> DataFrame
     """
     prints = stage(fingerprints(docs, shingle), "fingerprints")
     codes = prints.groupBy("code").agg(F.min("doc_id").alias("least"))
-    roots = connected_components(links(codes, group_most))
+    roots = connected_components(links(codes.withColumn("view", F.lit(0)), group_most).select("a", "b"))
     rooted = codes.join(roots, F.col("code") == F.col("node"), "left").select(
         "code", "least", F.coalesce("root", "code").alias("root"))
     rooted = stage(rooted, "roots")
@@ -212,16 +216,14 @@ def near_copies(
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"), "text")
     rows = stage(rows.mapInPandas(work, "doc_id long, node long, codes array<long>, sketch binary"), "views")
     texts = stage(rows.groupBy("node").agg(F.first("codes").alias("codes"), F.first("sketch").alias("sketch")), "texts")
-    candidates = None
-    for v in range(many):
-        coded = texts.select("node", F.col("codes")[v].alias("code"))
-        heads = stage(coded.groupBy("code").agg(F.min("node").alias("head")), "heads")
-        near = links(heads, group_most).join(heads.select(F.col("code").alias("a"), F.col("head").alias("x")), "a").join(
-            heads.select(F.col("code").alias("b"), F.col("head").alias("y")), "b").select("x", "y")
-        same = coded.join(heads, "code").where("node <> head").select("head", "node")
-        found = near.union(same)
-        candidates = found if candidates is None else candidates.union(found)
-    pairs = candidates.toDF("x", "y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    coded = stage(texts.select("node", F.posexplode("codes").alias("view", "code")), "codes")
+    heads = stage(coded.groupBy("view", "code").agg(F.min("node").alias("head")), "heads")
+    near = links(heads, group_most)
+    for end in ("a", "b"):
+        near = near.join(heads.select("view", F.col("code").alias(end), F.col("head").alias(f"head_{end}")), ["view", end])
+    same = coded.join(heads, ["view", "code"]).where("node <> head").select("head", "node")
+    found = near.select("head_a", "head_b").union(same).toDF("x", "y").where("x <> y")
+    pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     roots = connected_components(_similar(pairs, texts, similarity - 0.025))
     return rows.join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
 
