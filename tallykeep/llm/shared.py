@@ -27,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one where it is unset and all runs on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="stages-")
         spark.conf.set("spark.checkpoint.dir", folder)
