@@ -30,6 +30,8 @@ from tallykeep.llm.shared import as_bytes, in_batches, stage, word_hashes
 _GENERATOR = 0b101011100011
 _PARITY_BITS = 11
 MAX_DISTANCE = 2
+#: Texts in a block, of those that share a fingerprint.
+_BLOCK = 128
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> bytes:
@@ -111,11 +113,9 @@ def golay_keys(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def links(codes: DataFrame, group_most: int = 64) -> DataFrame:
-    """Links (view, a, b) between different codes of a view: every two at most 2 bits apart are linked or in one star.
-
-    `codes` is (view, code), each pair once; views are small numbers, and all are handled at once.
-    """
+def _meetings(codes: DataFrame, group_most: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (view, a, b) of codes at most 2 bits apart; of those with a key of over `group_most` (view, code, middle),
+    where two that are at most 2 bits apart share a middle."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             code, view = frame.code.to_numpy(), frame["view"].to_numpy(np.int64)
@@ -132,11 +132,22 @@ def links(codes: DataFrame, group_most: int = 64) -> DataFrame:
     many = shared.where(F.col("count") > group_most).select("view", "code").distinct()
     around = F.explode(F.array(F.col("code"), *[
         F.col("code").bitwiseXOR(F.lit(v).cast("long")) for v in np.left_shift(1, np.arange(64)).tolist()]))
-    neighbours = many.select("view", "code", around.alias("middle"))
+    return pairs.select("view", "a", "b"), many.select("view", "code", around.alias("middle"))
+
+
+def _starred(pairs: DataFrame, neighbours: DataFrame) -> DataFrame:
     least = neighbours.groupBy("view", "middle").agg(F.min("code").alias("least"))
     stars = neighbours.join(least, ["view", "middle"]).where("code <> least").select(
         "view", F.col("least").alias("a"), F.col("code").alias("b"))
-    return pairs.select("view", "a", "b").union(stars).distinct()
+    return pairs.union(stars).distinct()
+
+
+def links(codes: DataFrame, group_most: int = 64) -> DataFrame:
+    """Links (view, a, b) between different codes of a view: every two at most 2 bits apart are linked or in one star.
+
+    `codes` is (view, code), each pair once; views are small numbers, and all are handled at once.
+    """
+    return _starred(*_meetings(codes, group_most))
 
 
 def groups(docs: DataFrame, shingle: int = 3, group_most: int = 64) -> DataFrame:
@@ -196,15 +207,77 @@ def _similar(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInPandas(work, "a long, b long")
 
 
+def _meeting_blocks(rooted: DataFrame, near: DataFrame, neighbours: DataFrame, extra: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs of blocks of texts whose codes meet and that aren't all in one component yet, as arrays by column.
+
+    `rooted` is (view, code, node, root). The texts of a code are dealt to blocks of about `_BLOCK`, and every block of a
+    code meets every block of the codes near it, so a code of many texts is many rows of small size.
+    """
+    ends = stage(rooted.groupBy("view", "code").agg(
+        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")), "ends")
+    end = {x: ends.select("view", F.col("code").alias(x), F.col("n").alias(f"n_{x}"), F.col("low").alias(f"low_{x}"),
+                          F.col("high").alias(f"high_{x}")) for x in ("a", "b")}
+    apart = F.least("low_a", "low_b") < F.greatest("high_a", "high_b")
+    within = end["a"].where("low_a < high_a").select("view", "a", F.col("a").alias("b"), "n_a", F.col("n_a").alias("n_b"))
+    across = near.join(end["a"], ["view", "a"]).join(end["b"], ["view", "b"]).where(apart)
+    placed = neighbours.join(ends, ["view", "code"])
+    mixed = placed.groupBy("view", "middle").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
+    placed = placed.join(mixed.select("view", "middle"), ["view", "middle"])
+    side = {x: placed.select("view", "middle", F.col("code").alias(x), F.col("n").alias(f"n_{x}"),
+                             F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in ("a", "b")}
+    # A middle has 65 neighbours at most.
+    around = side["a"].join(side["b"], ["view", "middle"]).where((F.col("a") < F.col("b")) & apart)
+    wanted = ["view", "a", "b", "n_a", "n_b"]
+    todo = stage(across.select(wanted).union(around.select(wanted)).distinct().union(within.select(wanted)), "meetings")
+    used = todo.select("view", F.col("a").alias("code")).union(todo.select("view", "b")).distinct()
+    parts = F.ceil(F.col("n") / _BLOCK)
+    members = rooted.join(ends.select("view", "code", "n"), ["view", "code"]).join(used, ["view", "code"]).join(
+        extra, "node").withColumn("nth", F.pmod(F.xxhash64("node"), parts))
+    blocks = members.groupBy("view", "code", "nth").agg(F.collect_list(F.struct("node", "root", *columns)).alias("m"))
+    blocks = stage(blocks.select("view", "code", "nth", *[F.col(f"m.{c}").alias(c) for c in ("node", "root", *columns)]), "blocks")
+    nth = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / _BLOCK) - 1))
+    met = todo.select("*", nth("n_a").alias("nth_a")).select("*", nth("n_b").alias("nth_b")).where("a < b OR nth_a <= nth_b")
+    for x in ("a", "b"):
+        met = met.join(blocks.select("view", F.col("code").alias(x), F.col("nth").alias(f"nth_{x}"), *[
+            F.col(c).alias(f"{c}_{x}") for c in ("node", "root", *columns)]), ["view", x, f"nth_{x}"])
+    return met.select(*[f"{c}_{x}" for x in ("a", "b") for c in ("node", "root", *columns)])
+
+
+def _alike(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """The estimates of the similarity of every two of two lists of sketches."""
+    x, y = (np.frombuffer(b"".join(z), np.uint8).reshape(-1, 256) for z in (x, y))
+    out = np.empty((len(x), len(y)))
+    for i, one in enumerate(x):
+        out[i] = ((one == y) & (one > 0)).sum(axis=1) / np.maximum(((one > 0) | (y > 0)).sum(axis=1), 1)
+    return out
+
+
+def _others(met: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) with an estimate of `least` between texts of different components: one for every two components of
+    a pair of blocks."""
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                apart = np.asarray(r.root_a)[:, None] != np.asarray(r.root_b)
+                i, j = np.nonzero(apart & (_alike(r.sketch_a, r.sketch_b) >= least))
+                found = pd.DataFrame({"a": np.asarray(r.node_a)[i], "b": np.asarray(r.node_b)[j],
+                                      "x": np.asarray(r.root_a)[i], "y": np.asarray(r.root_b)[j]})
+                yield found.drop_duplicates(["x", "y"])[["a", "b"]]
+
+    return met.mapInPandas(work, "a long, b long")
+
+
 def near_copies(
     docs: DataFrame, shingle: int = 5, similarity: float = 0.8, many: int = 4, group_most: int = 64,
 ) -> DataFrame:
     """(doc_id, node, root): groups of texts that are alike, whatever the length of the chain between them.
 
-    Single fingerprints miss most copies in which a word in fifty differs, so a text has `many`, over its words. Texts
-    linked in any of them (as in `links`, or with equal fingerprints, by a star) are candidates. A link stands if
-    sketches of the `shingle`-word shingles estimate a similarity of at least `similarity`, less the estimate's standard
-    error of 0.025. node is the text's 64-bit hash, so equal texts are one; of 10^9 different texts, 0.03 pairs share one.
+    Single fingerprints miss most copies in which a word in fifty differs, so a text has `many`, over its words. Texts whose
+    fingerprints are equal or at most 2 bits apart in any of them are candidates. Stars of candidates are verified first;
+    then every two candidates that these links leave in different components are compared, in blocks, so what is left out
+    can't change a group. A link stands if sketches of the `shingle`-word shingles estimate a similarity of at least
+    `similarity`, less the estimate's standard error of 0.025. node is the text's 64-bit hash, so equal texts are one; of
+    10^9 different texts, 0.03 pairs share one.
     """
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in in_batches(frames, 500):
@@ -218,13 +291,18 @@ def near_copies(
     texts = stage(rows.groupBy("node").agg(F.first("codes").alias("codes"), F.first("sketch").alias("sketch")), "texts")
     coded = stage(texts.select("node", F.posexplode("codes").alias("view", "code")), "codes")
     heads = stage(coded.groupBy("view", "code").agg(F.min("node").alias("head")), "heads")
-    near = links(heads, group_most)
+    near, neighbours = (stage(x, "meetings") for x in _meetings(heads, group_most))
+    stars = _starred(near, neighbours)
     for end in ("a", "b"):
-        near = near.join(heads.select("view", F.col("code").alias(end), F.col("head").alias(f"head_{end}")), ["view", end])
+        stars = stars.join(heads.select("view", F.col("code").alias(end), F.col("head").alias(f"head_{end}")), ["view", end])
     same = coded.join(heads, ["view", "code"]).where("node <> head").select("head", "node")
-    found = near.select("head_a", "head_b").union(same).toDF("x", "y").where("x <> y")
+    found = stars.select("head_a", "head_b").union(same).toDF("x", "y").where("x <> y")
     pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     roots = connected_components(_similar(pairs, texts, similarity - 0.025))
+    rooted = coded.join(roots, "node", "left").select("view", "code", "node", F.coalesce("root", "node").alias("root"))
+    met = _meeting_blocks(stage(rooted, "rooted"), near, neighbours, texts.select("node", "sketch"), ["sketch"])
+    more = stage(_others(met, similarity - 0.025), "others")
+    roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     return rows.join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
 
 

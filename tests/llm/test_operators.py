@@ -252,6 +252,24 @@ def test_near_copies_leave_one(spark, odd, nothing):
     assert simhash.keep_one(nothing).collect() == []
 
 
+def test_near_copies_whose_head_is_unlike_them(spark, monkeypatch):
+    # All fingerprints meet, so that only the comparison decides: of many copies, each is like the original alone.
+    monkeypatch.setattr(simhash, "views", lambda words, many: [int(words[0] & np.uint64(1)) if len(words) else 0] * many)
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(400)]
+    texts = [(0, " ".join(base))]
+    for c in range(40):
+        copy = list(base)
+        for at in rng.choice(np.arange(4, 396, 6), 7, replace=False):
+            copy[at] = f"new{c}x{at}"
+        texts.append((1 + c, " ".join(copy)))
+    texts += [(100 + i, " ".join(rng.choice([f"v{j}" for j in range(300)], 100))) for i in range(160)]
+    docs = docs_of(spark, texts)
+    for most in (0, 64):
+        assert rows(simhash.keep_one(docs, group_most=most), "doc_id") == sorted(
+            [(0,), *[(100 + i,) for i in range(160)]], key=repr)
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3), (200, 100)]
     links = spark.createDataFrame(pairs, "a long, b long")
