@@ -30,8 +30,6 @@ from tallykeep.llm.shared import as_bytes, in_batches, stage, word_hashes
 _GENERATOR = 0b101011100011
 _PARITY_BITS = 11
 MAX_DISTANCE = 2
-#: Texts in a block, of those that share a fingerprint.
-_BLOCK = 128
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> bytes:
@@ -180,20 +178,57 @@ def views(words: np.ndarray, many: int) -> list[int]:
     return out
 
 
-def sketch(words: np.ndarray, shingle: int) -> bytes:
-    """One-permutation MinHash of the word shingles: a byte for the smallest hash of each of 256 bins, 0 if empty."""
+def shingles(words: np.ndarray, shingle: int) -> np.ndarray:
+    """The different hashes of the word shingles of a text, sorted; a text of fewer words is one shingle, without any none."""
     n = max(1, len(words) - shingle + 1) if len(words) else 0
     h = np.zeros(n, np.uint64)
     for j in range(min(shingle, len(words))):
         h = h * np.uint64(0x9E3779B97F4A7C15) + words[j:j + n]
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    h = np.sort(h ^ (h >> np.uint64(32)))
+    return np.unique(h ^ (h >> np.uint64(32)))
+
+
+def sketch(words: np.ndarray, shingle: int) -> bytes:
+    """One-permutation MinHash of the word shingles: a byte for the smallest hash of each of 256 bins, 0 if empty."""
+    h = shingles(words, shingle)
     bins, first = np.unique(h >> np.uint64(56), return_index=True)
     out = np.zeros(256, np.uint8)
     out[bins.astype(np.int64)] = (h[first] * np.uint64(0xA0761D6478BD642F) >> np.uint64(56)) % np.uint64(255) + np.uint64(1)
     return out.tobytes()
 
 
+def jaccard(x: bytes, y: bytes, least: float) -> bool:
+    """Whether two sets of shingles (sorted 8-byte hashes) share at least that part of their union."""
+    few, all_of = sorted((len(x) // 8, len(y) // 8))
+    if not few or few < least * all_of:
+        return False
+    both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+    return both >= least * (few + all_of - both)
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles) of the texts with these hashes."""
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in in_batches(frames, 500):
+            yield pd.DataFrame({"node": frame.node, "shingles": [
+                shingles(w, shingle).tobytes() for w in word_hashes(list(frame.text))]})
+
+    rows = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"), "text").join(nodes, "node", "left_semi")
+    sets = rows.select("node", "text").mapInPandas(work, "node long, shingles binary")
+    return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose shingles have a Jaccard similarity of `least`."""
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.loc[[jaccard(x, y, least) for x, y in zip(frame.x, frame.y)], ["a", "b"]]
+
+    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    return joined.select("a", "b", "x", "y").mapInPandas(work, "a long, b long")
+
+
 def _similar(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose sketches estimate a Jaccard similarity of `least`."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,10 +242,12 @@ def _similar(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInPandas(work, "a long, b long")
 
 
-def _meeting_blocks(rooted: DataFrame, near: DataFrame, neighbours: DataFrame, extra: DataFrame, columns: list[str]) -> DataFrame:
+def _meeting_blocks(
+    rooted: DataFrame, near: DataFrame, neighbours: DataFrame, extra: DataFrame, columns: list[str], block: int,
+) -> DataFrame:
     """Pairs of blocks of texts whose codes meet and that aren't all in one component yet, as arrays by column.
 
-    `rooted` is (view, code, node, root). The texts of a code are dealt to blocks of about `_BLOCK`, and every block of a
+    `rooted` is (view, code, node, root). The texts of a code are dealt to blocks of about `block`, and every block of a
     code meets every block of the codes near it, so a code of many texts is many rows of small size.
     """
     ends = stage(rooted.groupBy("view", "code").agg(
@@ -230,12 +267,12 @@ def _meeting_blocks(rooted: DataFrame, near: DataFrame, neighbours: DataFrame, e
     wanted = ["view", "a", "b", "n_a", "n_b"]
     todo = stage(across.select(wanted).union(around.select(wanted)).distinct().union(within.select(wanted)), "meetings")
     used = todo.select("view", F.col("a").alias("code")).union(todo.select("view", "b")).distinct()
-    parts = F.ceil(F.col("n") / _BLOCK)
+    parts = F.ceil(F.col("n") / block)
     members = rooted.join(ends.select("view", "code", "n"), ["view", "code"]).join(used, ["view", "code"]).join(
         extra, "node").withColumn("nth", F.pmod(F.xxhash64("node"), parts))
     blocks = members.groupBy("view", "code", "nth").agg(F.collect_list(F.struct("node", "root", *columns)).alias("m"))
     blocks = stage(blocks.select("view", "code", "nth", *[F.col(f"m.{c}").alias(c) for c in ("node", "root", *columns)]), "blocks")
-    nth = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / _BLOCK) - 1))
+    nth = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / block) - 1))
     met = todo.select("*", nth("n_a").alias("nth_a")).select("*", nth("n_b").alias("nth_b")).where("a < b OR nth_a <= nth_b")
     for x in ("a", "b"):
         met = met.join(blocks.select("view", F.col("code").alias(x), F.col("nth").alias(f"nth_{x}"), *[
@@ -252,31 +289,62 @@ def _alike(x: list[bytes], y: list[bytes]) -> np.ndarray:
     return out
 
 
-def _others(met: DataFrame, least: float) -> DataFrame:
-    """Links (a, b) with an estimate of `least` between texts of different components: one for every two components of
-    a pair of blocks."""
+def _likest(met: DataFrame, least: float) -> DataFrame:
+    """(node, other) of every text with an estimate of `least` to one of another component: its likest such text."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            found = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))]
             for r in frame.itertuples(index=False):
                 apart = np.asarray(r.root_a)[:, None] != np.asarray(r.root_b)
-                i, j = np.nonzero(apart & (_alike(r.sketch_a, r.sketch_b) >= least))
-                found = pd.DataFrame({"a": np.asarray(r.node_a)[i], "b": np.asarray(r.node_b)[j],
-                                      "x": np.asarray(r.root_a)[i], "y": np.asarray(r.root_b)[j]})
-                yield found.drop_duplicates(["x", "y"])[["a", "b"]]
+                estimate = np.where(apart, _alike(r.sketch_a, r.sketch_b), -1)
+                if estimate.max() < least:
+                    continue
+                a, b = np.asarray(r.node_a), np.asarray(r.node_b)
+                for node, other, by in ((a, b, estimate), (b, a, estimate.T)):
+                    best = by.max(axis=1)
+                    keep = best >= least
+                    found.append((node[keep], best[keep], other[by.argmax(axis=1)][keep]))
+            yield pd.DataFrame(dict(zip(("node", "estimate", "other"), map(np.concatenate, zip(*found)))))
+
+    found = met.mapInPandas(work, "node long, estimate double, other long")
+    return found.groupBy("node").agg(F.max(F.struct("estimate", "other")).alias("best")).select("node", "best.other")
+
+
+def _linked(met: DataFrame, loose: float, least: float) -> DataFrame:
+    """Links (a, b) with a similarity of `least` between texts of different components, as many as join the components
+    in each pair of blocks."""
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = []
+            for r in frame.itertuples(index=False):
+                estimate = _alike(r.sketch_a, r.sketch_b)
+                i, j = np.nonzero((estimate >= loose) & (np.asarray(r.root_a)[:, None] != np.asarray(r.root_b)))
+                part = {x: x for x in (*r.root_a, *r.root_b)}
+                for at in np.argsort(-estimate[i, j], kind="stable").tolist():
+                    p, q = r.root_a[i[at]], r.root_b[j[at]]
+                    while part[p] != p:
+                        p = part[p]
+                    while part[q] != q:
+                        q = part[q]
+                    if p != q and jaccard(r.shingles_a[i[at]], r.shingles_b[j[at]], least):
+                        part[max(p, q)] = min(p, q)
+                        found.append((r.node_a[i[at]], r.node_b[j[at]]))
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return met.mapInPandas(work, "a long, b long")
 
 
 def near_copies(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, many: int = 4, group_most: int = 64,
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, many: int = 8, group_most: int = 64, loose: float = 0.65,
 ) -> DataFrame:
     """(doc_id, node, root): groups of texts that are alike, whatever the length of the chain between them.
 
     Single fingerprints miss most copies in which a word in fifty differs, so a text has `many`, over its words. Texts whose
     fingerprints are equal or at most 2 bits apart in any of them are candidates. Stars of candidates are verified first;
     then every two candidates that these links leave in different components are compared, in blocks, so what is left out
-    can't change a group. A link stands if sketches of the `shingle`-word shingles estimate a similarity of at least
-    `similarity`, less the estimate's standard error of 0.025. node is the text's 64-bit hash, so equal texts are one; of
+    can't change a group. A link stands if the sets of different `shingle`-word shingles of its texts have a Jaccard
+    similarity of at least `similarity`. Sketches of them only keep pairs from that test whose estimate, with a standard
+    error of 0.025 at 0.8, is below `loose`. node is the text's 64-bit hash, so equal texts are one; of
     10^9 different texts, 0.03 pairs share one.
     """
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -292,17 +360,37 @@ def near_copies(
     coded = stage(texts.select("node", F.posexplode("codes").alias("view", "code")), "codes")
     heads = stage(coded.groupBy("view", "code").agg(F.min("node").alias("head")), "heads")
     near, neighbours = (stage(x, "meetings") for x in _meetings(heads, group_most))
+    # Most middles have one code, which meets no other there.
+    shared = neighbours.groupBy("view", "middle").count().where("count > 1").select("view", "middle")
+    neighbours = stage(neighbours.join(shared, ["view", "middle"], "left_semi"), "shared_middles")
     stars = _starred(near, neighbours)
     for end in ("a", "b"):
         stars = stars.join(heads.select("view", F.col("code").alias(end), F.col("head").alias(f"head_{end}")), ["view", end])
     same = coded.join(heads, ["view", "code"]).where("node <> head").select("head", "node")
     found = stars.select("head_a", "head_b").union(same).toDF("x", "y").where("x <> y")
     pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    roots = connected_components(_similar(pairs, texts, similarity - 0.025))
-    rooted = coded.join(roots, "node", "left").select("view", "code", "node", F.coalesce("root", "node").alias("root"))
-    met = _meeting_blocks(stage(rooted, "rooted"), near, neighbours, texts.select("node", "sketch"), ["sketch"])
-    more = stage(_others(met, similarity - 0.025), "others")
-    roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    pairs = stage(_similar(pairs, texts, loose), "pairs")
+    sets = stage(_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), shingle), "shingles")
+    linked = stage(_verified(pairs, sets, similarity), "verified")
+    roots = connected_components(linked)
+
+    def rooted(some: DataFrame) -> DataFrame:
+        return stage(some.join(roots, "node", "left").select(
+            "view", "code", "node", F.coalesce("root", "node").alias("root")), "rooted")
+
+    sketches = texts.select("node", "sketch")
+    likest = stage(_likest(_meeting_blocks(rooted(coded), near, neighbours, sketches, ["sketch"], 64), loose), "likest")
+    if not likest.isEmpty():
+        # Only these can still be linked; first each to the likest, which leaves few components to compare in full.
+        left = likest.select("node").join(sets, "node", "left_anti")
+        sets = sets.unionByName(stage(_sets(docs, left, shingle), "shingles"))
+        pairs = likest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        linked = linked.union(stage(_verified(pairs, sets, similarity), "verified"))
+        roots = connected_components(linked)
+        met = _meeting_blocks(
+            rooted(coded.join(likest, "node", "left_semi")), near, neighbours, sketches.join(sets, "node"),
+            ["sketch", "shingles"], 16)
+        roots = connected_components(linked.union(stage(_linked(met, loose, similarity), "linked")))
     return rows.join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
 
 

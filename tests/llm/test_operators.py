@@ -270,6 +270,19 @@ def test_near_copies_whose_head_is_unlike_them(spark, monkeypatch):
             [(0,), *[(100 + i,) for i in range(160)]], key=repr)
 
 
+def test_near_copies_are_decided_exactly(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "views", lambda words, many: [len(words)] * many)
+    texts, wanted = [], {}
+    for g in range(60):
+        # Of 400 shingles, 44 or 45 differ: the similarity is 356/444 or 355/445, just above 0.8 and just below.
+        base = [f"g{g}w{i}" for i in range(404)]
+        copy = base[:360 - g % 2] + [f"new{g}x{i}" for i in range(44 + g % 2)]
+        texts += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(copy))]
+        wanted[2 * g + 1] = g % 2 == 1
+    kept = {r.doc_id for r in simhash.keep_one(docs_of(spark, texts)).collect()}
+    assert kept == {i for i, _ in texts if wanted.get(i, True)}
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3), (200, 100)]
     links = spark.createDataFrame(pairs, "a long, b long")
