@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallykeep.llm import (
-    chat, decontaminate, language_model, licenses, packing, quality, search, simhash, suffixes, toxicity,
+    chat, collocations, decontaminate, language_id, language_model, licenses, packing, quality, search, simhash, suffixes,
+    toxicity, vector_codes,
 )
 from tallykeep.llm.shared import prepare
 
@@ -99,9 +100,60 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings")).drop("label")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_license_scan, op3_language_model_scores, op4_quality_classifier, op5_simhash_near_dedup,
-    op6_top_k_search, op7_benchmark_decontamination, op8_toxicity, op9_suffix_array_dedup, op10_chat_formatting)}
+    op6_top_k_search, op7_benchmark_decontamination, op8_toxicity, op9_suffix_array_dedup, op10_chat_formatting, op11_language_id,
+    op12_phrase_collocations, op13_vector_codes)}
+
+#: One round after the other: `parts` numbers the places of the integer vectors, `bookN` are the codebooks after N rounds.
+_ROUND = """
+    near{now} AS MATERIALIZED (
+        SELECT p.row, p.part, p.v, arg_min(b.entry, (d * 100 + b.entry)) AS entry, min(d) AS d
+        FROM (SELECT p.row, p.part, any_value(p.v) AS v, b.entry,
+                     list_sum(list_transform(list_zip(any_value(p.v), any_value(b.v)), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT AS d
+              FROM parts p JOIN book{now} b USING (part) GROUP BY p.row, p.part, b.entry) p JOIN book{now} b USING (part, entry)
+        GROUP BY p.row, p.part, p.v
+    )"""
+_MOVED = """
+    book{next} AS MATERIALIZED (
+        SELECT part, entry, coalesce(m.v, b.v) AS v FROM book{now} b LEFT JOIN (
+            SELECT part, entry, list(floor_mean ORDER BY i) AS v FROM (
+                SELECT part, entry, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS floor_mean
+                FROM (SELECT part, entry, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{now}) GROUP BY ALL)
+            GROUP BY ALL) m USING (part, entry)
+    )"""
+_VECTOR_CODES = """
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label,
+               list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), parts AS MATERIALIZED (
+        SELECT row, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS v
+        FROM kept, (SELECT unnest(range(16)) AS part)
+    ), book0 AS MATERIALIZED (SELECT part, row - 1 AS entry, v FROM parts WHERE row <= 64),
+""" + ",".join([*(x for i in range(2) for x in (_ROUND.format(now=i), _MOVED.format(now=i, next=i + 1))), _ROUND.format(now=2)]) + """,
+    coded AS (
+        SELECT row, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+        FROM near2 GROUP BY row
+    ), listed AS (
+        SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM kept JOIN coded USING (row), listed
+"""
 
 ORACLES = {
     "op6_top_k_search": """
@@ -136,4 +188,33 @@ ORACLES = {
                    regexp_extract_all(text, '#+'), lambda x: length(x) - 1)), 0))::BIGINT AS formatted_chars
         FROM marked GROUP BY conv_id
     """,
+    "op12_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), listed AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+        ), grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS w
+            FROM listed, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k
+        ), known AS (SELECT lang, k, w, count(*) AS f FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM known WHERE k = 1 GROUP BY lang),
+        inner_ones AS (
+            SELECT lang, w, max(f) AS most FROM (
+                SELECT lang, w[1:2] AS w, f FROM known WHERE k = 3 UNION ALL SELECT lang, w[2:3], f FROM known WHERE k = 3)
+            GROUP BY ALL
+        ), candidates AS (
+            SELECT c.lang, c.k, c.w, c.f AS a FROM known c LEFT JOIN inner_ones i ON c.k = 2 AND c.lang = i.lang AND c.w = i.w
+            WHERE c.k > 1 AND c.f >= 10 AND (i.most IS NULL OR i.most < 10 OR 100 * i.most < 50 * c.f)
+        ), cuts AS (
+            SELECT c.lang, c.w, c.a, c.j, x.f AS l, y.f AS r, (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) c
+            JOIN known x ON x.lang = c.lang AND x.w = c.w[1:c.j] JOIN known y ON y.lang = c.lang AND y.w = c.w[c.j + 1:c.k]
+        ), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, j) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank,
+               array_to_string(w, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+        FROM best JOIN totals USING (lang) QUALIFY rank <= 2000
+    """,
+    "op13_vector_codes": _VECTOR_CODES,
 }
