@@ -14,6 +14,11 @@ _FILES = {
     "benchmark": (("item_id", "text"), "item_id", 1, 10**12),
     "conversations": (("conv_id", "role", "text", "turn"), "turn", 1, 10**12),
     "documents": (("doc_id", "lang", "n_chars", "source", "text"), "n_chars", 1, 10**12),
+    "orders": (("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice"), "o_orderkey", 1, 10**12),
+    "customer": (("c_acctbal", "c_custkey", "c_mktsegment", "c_name", "c_nationkey"), "c_nationkey", 1, 10**12),
+    "events": (("event_id", "event_type", "props", "ts", "user_id", "value"), "user_id", 1, 10**12),
+    "lineitem": (("l_discount", "l_extendedprice", "l_linenumber", "l_linestatus", "l_orderkey", "l_partkey", "l_quantity",
+                  "l_returnflag", "l_shipdate", "l_suppkey", "l_tax"), "l_linenumber", 1, 10**12),
 }
 
 
@@ -25,7 +30,54 @@ def _file(job: int, name: str) -> str:
             f"cast({balance} as bigint) as amount, {cells} as row_text from {name}")
 
 
+def _cells(*cells: str) -> str:
+    return " || ".join(f"length({c}) || ':' || {c}" for c in cells)
+
+
+def _control(count: str, total: str) -> str:
+    return f"'CNT=' || lpad(cast({count} as varchar), 19, '0') || ';BAL=0' || lpad(cast({total} as varchar), 19, '0')"
+
+
 VIEWS = {
+    "text_rows": f"""
+        select 1 as job_id, 'orders' as object_name, 1 as low, 1000000000000 as high, cast(o_totalprice as decimal(18,2)) as amount,
+               o_orderkey as line_no, {_cells("cast(o_orderkey as varchar)", "o_orderstatus", "cast(cast(o_totalprice as decimal(18,2)) as varchar)",
+                        "note")} as row_text
+        from (select *, 'as "' || o_orderstatus || '", by ' || o_custkey
+                        || case when o_orderstatus = 'O' then chr(10) || 'open, still' else '' end as note from orders)
+        union all select 2, 'customer', 1, 10, c_nationkey, c_custkey, {_cells(
+            "'c_custkey'", "cast(c_custkey as varchar)", "'c_name'", "c_name", "'c_nationkey'", "cast(c_nationkey as varchar)")} from customer
+        union all select 3, 'supplier', 1, 1000000000000, s_nationkey, s_suppkey, {_cells(
+            "cast(s_suppkey as varchar)", "cast(s_nationkey as varchar)", "'x'")} from supplier
+        union all select 3, 'supplier', 1, 1000000000000, 0, 1000000000000, {_cells("'0'", "'0'", "line")}
+                  from (select {_control("count(*) + 1", "sum(s_nationkey)")} as line from supplier)
+        union all select 4, 'part', 1, 1000000000000, p_partkey, p_partkey, {_cells("cast(p_partkey as varchar)", "p_brand", "'x'")} from part
+        union all select 4, 'part', 1, 1000000000000, null, -1, {_cells("'p_partkey'", "'p_brand'", "line")}
+                  from (select {_control("count(*) + 1", "sum(p_partkey)")} as line from part)""",
+    "text_sums": f"""
+        select job_id, object_name, low, high, count(*) as n, cast(trunc(sum(amount)) as bigint) as total,
+               cast(sum(length(row_text)) as bigint) as size, {SUM_DIGEST} as digest
+        from text_rows group by all""",
+    "dated": """
+        select 'u' || o_custkey as object_name, o_orderdate, cast(o_totalprice as decimal(18,2)) as amt,
+               row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) - 1 as ordinal,
+               length(cast(o_orderkey as varchar)) || ':' || o_orderkey || length(o_orderstatus) || ':' || o_orderstatus
+               || length(cast(cast(o_totalprice as decimal(18,2)) as varchar)) || ':'
+               || cast(o_totalprice as decimal(18,2)) as row_text
+        from orders""",
+    "booked": """
+        select o_orderkey, o_orderstatus, case when o_orderstatus = 'P' then floor(amt) else amt end as amt
+        from (select o_orderkey, o_orderstatus, cast(o_totalprice as decimal(18,2)) as amt from orders)
+        where o_orderkey in (select l_orderkey from lineitem)""",
+    "due": """
+        select file_name, d + clock as due_time
+        from (select file_name, clock, unnest(generate_series(a, b, interval 1 day)) as d
+              from (select 'u' || user_id as file_name, cast(min(ts) as date) as a, cast(max(ts) as date) as b,
+                           date_trunc('second', min(ts)) - date_trunc('day', min(ts)) as clock
+                    from events group by user_id))""",
+    "due_hits": """
+        select distinct file_name, due_time, ts from due join events on file_name = 'u' || user_id
+            and ts >= due_time - interval 12 hour and ts < due_time + interval 12 hour""",
     "file_rows": " union all ".join(_file(job, name) for job, name in enumerate(_FILES, 1)),
     "file_sums": f"""
         select job_id, object_name, low, high, count(*) as n, cast(sum(amount) as bigint) as total,
@@ -356,6 +408,72 @@ _VALIDATED = """
         union all select 92, 'nowhere', null, null, null, null, null"""
 
 BODIES = {
+    "validate_text": _VALIDATED.split("union all select 90,")[0].replace("file_sums", "text_sums"),
+    "validate_text_ordered": """
+        select job_id, object_name, 11 as rule_id, null as source_value, 'Check_sum = tree:' || digest as target_value,
+               'Passed' as status, 'Duplicate_File_Check_Validation Passed' as text
+        from (select job_id, object_name, sha256(string_agg(digest, ',' order by chunk)) as digest
+              from (select job_id, object_name, chunk, sha256(string_agg(digest, ',' order by block)) as digest
+                    from (select job_id, object_name, ordinal >> 20 as chunk, ordinal >> 10 as block,
+                                 sha256(string_agg(sha256(row_text), ',' order by ordinal)) as digest
+                          from (select *, row_number() over (partition by job_id order by line_no) - 1 as ordinal from text_rows where job_id > 2)
+                          group by all)
+                    group by all)
+              group by all)""",
+    "store_differences": """
+        with held as (
+            select * from booked union all select -o_orderkey, o_orderstatus, amt from booked where amt > 450000),
+        a as (select o_orderkey, count(*) as n, list((o_orderstatus, cast(amt as decimal(18,2))) order by amt) as v
+              from (select o_orderkey, o_orderstatus, cast(o_totalprice as decimal(18,2)) as amt from orders) group by 1),
+        b as (select o_orderkey, count(*) as n, list((o_orderstatus, cast(amt as decimal(18,2))) order by amt) as v from held group by 1)
+        select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey, coalesce(a.n, 0) as source_rows, coalesce(b.n, 0) as target_rows,
+               case when b.n is null then 'Missing' when a.n is null then 'Extra' else 'Changed' end as difference
+        from a full join b on a.o_orderkey = b.o_orderkey where a.v is distinct from b.v""",
+    "arrival_calendar": """
+        with found as (
+            select d.file_name, d.due_time, min(h.ts) as seen, count(h.ts) as n from due d
+            left join (select h.file_name, h.due_time, e.ts from due_hits h join events e on h.file_name = 'u' || e.user_id and h.ts = e.ts) h
+                on h.file_name = d.file_name and h.due_time = d.due_time
+            group by all),
+        others as (
+            select 'u' || user_id as file_name, min(ts) as seen, count(*) as n from events
+            where ('u' || user_id, ts) not in (select (file_name, ts) from due_hits) group by 1)
+        select file_name, strftime(due_time, '%Y-%m-%d %H:%M:%S.%f') as due_time, strftime(seen, '%Y-%m-%d %H:%M:%S.%f') as arrival_time,
+               n as arrivals, case when seen is null then 'Missing' when seen < due_time - interval 30 minute then 'Early'
+                                   when seen > due_time + interval 60 minute then 'Late' else 'On Time' end as status
+        from found
+        union all select file_name, null, strftime(seen, '%Y-%m-%d %H:%M:%S.%f'), n, 'Unexpected' from others""",
+    "chunk_differences": """
+        with sent as (
+            select *, (row_number() over (partition by object_name order by o_orderkey) - 1) // 4 as chunk from src),
+        here as (
+            select *, (row_number() over (partition by object_name order by o_orderkey) - 1) // 4 as chunk from landed),
+        a as (select object_name, chunk, count(*) as n, list(o_orderkey order by o_orderkey) as v from sent group by all),
+        b as (select object_name, chunk, count(*) as n, list(o_orderkey order by o_orderkey) as v from here group by all),
+        found as (
+            select coalesce(a.object_name, b.object_name) as object_name, sum(a.n) as stored_rows, sum(b.n) as row_count,
+                   min(coalesce(a.chunk, b.chunk)) filter (a.v is distinct from b.v) as first_chunk,
+                   coalesce(bool_or(a.n = 4 and a.v is distinct from b.v), false) as broken
+            from a full join b on a.object_name = b.object_name and a.chunk = b.chunk group by 1)
+        select object_name, coalesce(stored_rows, 0)::bigint as stored_rows, coalesce(row_count, 0)::bigint as row_count, first_chunk,
+               case when first_chunk is null then least(coalesce(stored_rows, 0), coalesce(row_count, 0))
+                    else least(coalesce(stored_rows, 0), coalesce(row_count, 0), first_chunk * 4) end::bigint as equal_rows,
+               case when stored_rows is null then 'New' when row_count is null then 'Gone' when first_chunk is null then 'Same'
+                    when not broken and row_count > stored_rows then 'Grown' else 'Changed' end as state
+        from found""",
+    "grown_digests": """
+        select object_name, count(*) as row_count, count(*) - 4 * (count(*) filter (o_orderdate < timestamp '1997-07-01') // 4) as rehashed_rows,
+               any_value(digest) as digest
+        from dated join (
+            select object_name, 'tree:' || sha256(string_agg(digest, ',' order by chunk)) as digest
+            from (select object_name, ordinal // 4 as chunk, sha256(string_agg(sha256(row_text), ',' order by ordinal)) as digest
+                  from dated group by all) group by 1) using (object_name)
+        group by object_name""",
+    "profile_from_daily_state": f"""
+        select object_name, count(*) as row_count, cast(trunc(sum(amt)) as bigint) as balance,
+               cast(sum(length(row_text)) as bigint) as text_size, {SUM_DIGEST} as digest,
+               strftime(min(o_orderdate), '%Y-%m-%d') as first_day, strftime(max(o_orderdate), '%Y-%m-%d') as last_day
+        from dated group by object_name""",
     "validate_pre": _VALIDATED,
     "validate_post": """
         select job_id, object_name, 8 as rule_id, cast(n as varchar) as source_value, cast(n as varchar) as target_value,

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from checks import views as v
 from tallykeep.functions import clock_text, whole_amount
+from checks.scratch import scratch
 from tallykeep.operators import arrivals as arr
-from tallykeep.operators import rules
+from tallykeep.operators import calendar, daily, rules, trees
 from tallykeep.operators.assignment import assigned_rules
+from tallykeep.operators.differences import differing_keys
 from tallykeep.operators.digests import (
     content_digest, flag_duplicates, new_digests, unordered_digest,
 )
@@ -270,7 +272,85 @@ def validate_post(spark, sf_dir):
         file_metadata=v.file_bounds(spark), run_query=v.file_totals(spark, sf_dir)))
 
 
+def _validated_text(spark, sf_dir, rule_ids, digest):
+    root = scratch(spark, "landing")
+    v.write_text_objects(spark, sf_dir, root)
+    jobs = v.text_jobs(spark, root)
+    assigned = spark.createDataFrame(
+        [(i, "Pre", r) for i in range(1, len(v.TEXT_FILES) + 1) for r in rule_ids], "job_id bigint, validation_type string, rule_id int")
+    none = spark.createDataFrame([], "file_name string, checksum_value string")
+    return _outcomes(validate(
+        spark, jobs, assigned, file_metadata=v.text_bounds(spark), registry=none, digest=digest,
+        digest_bits=256, run_query=v.text_totals(spark, sf_dir)))
+
+
+def validate_text(spark, sf_dir):
+    """As ``validate_pre`` over csv and json files with quoted commas, quotes and line ends, and control cells inside."""
+    return _validated_text(spark, sf_dir, [0, 1, 2, 3, 11], "unordered")
+
+
+def validate_text_ordered(spark, sf_dir):
+    """Rule 11 in row order, over files that are in one piece each."""
+    ran = _validated_text(spark, sf_dir, [11], "ordered")
+    return ran.where(F.col("object_name").isin("supplier", "part"))
+
+
+def store_differences(spark, sf_dir):
+    source = v.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", v.money("o_totalprice").alias("amt"))
+    return differing_keys(source, v.booked_orders(spark, sf_dir), ["o_orderkey"], ["o_orderstatus", "amt"])
+
+
+def arrival_calendar(spark, sf_dir):
+    seen = v.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("file_name"), F.to_timestamp("ts").alias("arrival_time"))
+    held = calendar.arrival_calendar(calendar.due_times(v.due_schedule(spark, sf_dir)), seen)
+    return held.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("due_time", "arrival_time")})
+
+
+#: Four rows a chunk, as the objects of the given tables are small.
+CHUNK_BITS = 2
+
+
+def chunk_differences(spark, sf_dir):
+    """The first chunk in which what arrived of a file is not what was sent."""
+    stored, now = (
+        trees.chunk_digests(rows, "object_name", "o_orderkey", F.shiftright("o_orderkey", 20), v.ORDER_COLUMNS, chunk_bits=CHUNK_BITS)
+        for rows in (v.src(spark, sf_dir), v.landed(spark, sf_dir)))
+    return trees.first_differences(stored, now, "object_name", chunk_bits=CHUNK_BITS)
+
+
+def grown_digests(spark, sf_dir):
+    """Digests of objects that grew, from the chunks of the first load and the rows after them."""
+    orders = v.dated_orders(spark, sf_dir)
+    how = {"key": "object_name", "position": "position", "bucket": F.shiftright("position", 40), "columns": v.ORDER_COLUMNS,
+           "chunk_bits": CHUNK_BITS}
+    first = trees.chunk_digests(orders.where(F.col("o_orderdate") < F.to_timestamp_ntz(F.lit(v.SECOND_LOAD))), **how)
+    whole = trees.digest_of_chunks(trees.chunk_digests(orders, **how, stored=first), "object_name")
+    full = first.where(F.col("chunk_rows") == 1 << CHUNK_BITS).groupBy("object_name").agg(F.sum("chunk_rows").alias("_full"))
+    return whole.join(full, "object_name", "left").select(
+        "object_name", "row_count", (F.col("row_count") - F.coalesce("_full", F.lit(0))).alias("rehashed_rows"), "digest")
+
+
+def profile_from_daily_state(spark, sf_dir):
+    """What is measured of every object, from the state of the first load and the rows of the days after it."""
+    orders, day = v.dated_orders(spark, sf_dir), F.date_sub(F.to_date(F.lit(v.SECOND_LOAD)), 1)
+    state = {"key": "object_name", "time": "o_orderdate", "columns": v.ORDER_COLUMNS, "balance": "amt"}
+    before = daily.daily_state(orders.where(F.to_date("o_orderdate") <= day), **state)
+    after = daily.daily_state(daily.days_of(orders, "o_orderdate", day), **state)
+    found = daily.profile_of_states(daily.merge_states(before, after, key="object_name"), "object_name")
+    return found.select(
+        "object_name", "row_count", whole_amount("balance").alias("balance"), "text_size", "digest",
+        F.date_format("first_time", "yyyy-MM-dd").alias("first_day"), F.date_format("last_time", "yyyy-MM-dd").alias("last_day"))
+
+
 QUERIES = {
+    "validate_text": validate_text,
+    "validate_text_ordered": validate_text_ordered,
+    "store_differences": store_differences,
+    "arrival_calendar": arrival_calendar,
+    "chunk_differences": chunk_differences,
+    "grown_digests": grown_digests,
+    "profile_from_daily_state": profile_from_daily_state,
     "validate_pre": validate_pre,
     "validate_post": validate_post,
     "object_profile": object_profile_query,

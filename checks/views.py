@@ -358,6 +358,8 @@ def file_ends(spark, sf_dir) -> DataFrame:
 FILES = (
     ("region", "r_regionkey", 1, 10), ("nation", "n_nationkey", 30, 40), ("labels", "quality", 1, 10**12),
     ("benchmark", "item_id", 1, 10**12), ("conversations", "turn", 1, 10**12), ("documents", "n_chars", 1, 10**12),
+    ("orders", "o_orderkey", 1, 10**12), ("customer", "c_nationkey", 1, 10**12), ("events", "user_id", 1, 10**12),
+    ("lineitem", "l_linenumber", 1, 10**12),
 )
 
 
@@ -402,3 +404,107 @@ def file_totals(spark, sf_dir):
         return rows.select(F.count("*") if what == "count" else F.sum(balances[name]))
 
     return run_query
+
+
+# -- whole runs over text files that Spark writes from the given tables ------------------------
+
+# Object, file type, place of the control totals, balance column and the bounds of its row count.
+TEXT_FILES = (
+    ("orders", "csv", "SQLQUERY", "amt", 1, 10**12), ("customer", "json", "SQLQUERY", "c_nationkey", 1, 10),
+    ("supplier", "csv", "Footer", "s_nationkey", 1, 10**12), ("part", "csv", "Header", None, 1, 10**12),
+)
+
+
+def noted_orders(spark, sf_dir) -> DataFrame:
+    """Orders with a note that has quotes, commas and, where the order is open, a line end."""
+    note = F.concat(F.lit('as "'), "o_orderstatus", F.lit('", by '), F.col("o_custkey").cast("string"))
+    more = F.when(F.col("o_orderstatus") == "O", F.concat(note, F.lit("\nopen, still"))).otherwise(note)
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", money("o_totalprice").alias("amt"), more.alias("note"))
+
+
+def write_text_objects(spark, sf_dir, root: str) -> None:
+    """Orders as csv of several files, customers as json, and one csv each with its control cell in the last and first line."""
+    noted_orders(spark, sf_dir).write.option("header", True).option("escape", '"').csv(f"{root}/orders")
+    table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey").write.json(f"{root}/customer")
+    # One line of control totals stands with the lines of its object, first or last.
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    footed = suppliers.select(F.lit(1).alias("at"), "s_suppkey", F.concat_ws(
+        ",", F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string"), F.lit("x")).alias("value"))
+    total = suppliers.agg(F.count("*").alias("n"), F.sum("s_nationkey").alias("t")).select(
+        F.lit(2).alias("at"), F.lit(0).cast("bigint").alias("s_suppkey"),
+        F.concat(F.lit("0,0,"), control_string(F.col("n") + 1, F.col("t"))).alias("value"))
+    head = spark.createDataFrame([(0, 0, "s_suppkey,s_nationkey,note")], "at int, s_suppkey bigint, value string")
+    _one_file(head.unionByName(footed).unionByName(total), "s_suppkey", f"{root}/supplier")
+    parts = table(spark, sf_dir, "part")
+    top = parts.agg(F.count("*").alias("n"), F.sum("p_partkey").alias("t")).select(
+        F.lit(0).alias("at"), F.lit(0).cast("bigint").alias("p_partkey"),
+        F.concat(F.lit("p_partkey,p_brand,"), control_string(F.col("n") + 1, F.col("t"))).alias("value"))
+    lines = parts.select(F.lit(1).alias("at"), "p_partkey", F.concat_ws(
+        ",", F.col("p_partkey").cast("string"), "p_brand", F.lit("x")).alias("value"))
+    _one_file(top.unionByName(lines), "p_partkey", f"{root}/part")
+
+
+def _one_file(lines: DataFrame, key: str, path: str) -> None:
+    """Small files only: the control line has to be the first or last one."""
+    lines.coalesce(1).sortWithinPartitions("at", key).select("value").write.text(path)
+
+
+def text_jobs(spark, root: str) -> DataFrame:
+    rows = [(i, name, f"{root}/{name}", kind, balance, "NASFile", place, 1 if place == "Header" else None, *COUNT_SLICE, *BALANCE_SLICE)
+            for i, (name, kind, place, balance, _, _) in enumerate(TEXT_FILES, 1)]
+    given = spark.createDataFrame(
+        rows, "job_id bigint, object_name string, object_path string, file_type string, balance_amount_column string, "
+        "object_type string, metadata_place string, metadata_column int, count_start int, count_end int, balance_start int, "
+        "balance_end int")
+    return given.select(*[
+        (F.col(n) if n in given.columns else F.lit(None)).cast(kind).alias(n) for n, kind in JOB_ARGUMENT_COLUMNS.values()
+    ]).withColumns({"count_query": F.concat(F.lit("count "), "object_name"), "balance_query": F.concat(F.lit("balance "), "object_name")})
+
+
+def text_bounds(spark) -> DataFrame:
+    rows = [(i, name, low, high) for i, (name, _, _, _, low, high) in enumerate(TEXT_FILES, 1)]
+    bounds = spark.createDataFrame(rows, "file_id bigint, file_name string, min_value bigint, max_value bigint")
+    return bounds.selectExpr("*", "1L as file_size", "timestamp'2024-01-01' as file_expected_time", "1 as file_buffer_time")
+
+
+def text_totals(spark, sf_dir):
+    def run_query(text: str) -> DataFrame:
+        what, name = text.split(" ")
+        rows = noted_orders(spark, sf_dir) if name == "orders" else table(spark, sf_dir, name)
+        amount = "amt" if name == "orders" else "c_nationkey"
+        return rows.select(F.count("*") if what == "count" else F.sum(amount).cast("bigint"))
+
+    return run_query
+
+
+# -- two stores, two states --------------------------------------------------------------------
+
+
+def booked_orders(spark, sf_dir) -> DataFrame:
+    """What a second store holds: orders whose lines are there, pending ones at whole amounts, and one more row, with the
+    key's sign turned, for those that were dear."""
+    landed = with_lines(spark, sf_dir, table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", money("o_totalprice").alias("amt")))
+    booked = landed.withColumn("amt", F.when(F.col("o_orderstatus") == "P", F.floor("amt")).otherwise(F.col("amt")).cast("decimal(18,2)"))
+    dear = booked.where("amt > 450000").withColumn("o_orderkey", -F.col("o_orderkey"))
+    return booked.unionByName(dear)
+
+
+#: Orders from this day on came after the first load.
+SECOND_LOAD = "1997-07-01"
+
+
+def dated_orders(spark, sf_dir) -> DataFrame:
+    """Orders of every customer with a position that grows by day: the day, then the key."""
+    day = F.unix_date(F.to_date("o_orderdate"))
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("object_name"), "o_orderkey", "o_orderstatus",
+        money("o_totalprice").alias("amt"), (F.shiftleft(day.cast("bigint"), 40) + F.col("o_orderkey")).alias("position"), "o_orderdate")
+
+
+def due_schedule(spark, sf_dir) -> DataFrame:
+    """A file of every user, due each day from the first to the last one seen, at the clock time at which the first came."""
+    time = F.to_timestamp("ts")
+    return table(spark, sf_dir, "events").groupBy(_customer_object("user_id").alias("file_name")).agg(
+        F.min(F.to_date("ts")).alias("first_day"), F.max(F.to_date("ts")).alias("last_day"),
+        F.date_format(F.min(time), "HH:mm:ss").alias("due_clock"),
+    ).withColumns({"every_days": F.lit(1), "early_minutes": F.lit(30), "late_minutes": F.lit(60)})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
@@ -25,7 +26,7 @@ def _wanted(jobs: Sequence[Row], places: dict[str, list[str]]) -> list[tuple]:
     return [
         (j.job_id, root, j.file_type, j.place == "Header", j.balance_amount_column,
          j.metadata_column if j.place == "Header" and j.file_type == "csv" else None)
-        for j in jobs if j.path for root in places[j.path]
+        for j in jobs if j.path for root in places[j.path] or ()
     ]
 
 
@@ -61,9 +62,9 @@ def control_strings(
     """``(job_id, meta_string)`` from manifests and from header and footer cells."""
     found = [spark.createDataFrame([], "job_id bigint, meta_string string")]
     asked = [(j.job_id, root, "text", "File") for j in jobs if j.place == "File" and j.manifest_file_url
-             for root in places[j.manifest_file_url]]
+             for root in places[j.manifest_file_url] or ()]
     inside = [(j.job_id, root, j.file_type, j.place) for j in jobs
-              if j.place in ("Header", "Footer") and j.path and j.object_type != TABLE for root in places[j.path]]
+              if j.place in ("Header", "Footer") and j.path and j.object_type != TABLE for root in places[j.path] or ()]
     asked += [a for a in inside if a[2] in LINE_FORMATS]
     if edges is not None and asked:
         found.append(edge_cells(edges, asked, spark))
@@ -77,15 +78,18 @@ def control_strings(
 def asked_totals(
     spark: SparkSession, jobs: Sequence[Row], run_query: Callable[[str], DataFrame]
 ) -> DataFrame:
-    """``(job_id, control_count, control_balance)`` from the jobs' own queries, each run once.
+    """``(job_id, control_count, control_balance)`` from the jobs' own queries, each run once, 16 at a time.
 
     A query gives one value, the first cell of its first row.
     """
-    texts = {q for j in jobs if j.place == "SQLQUERY" for q in (j.count_query, j.balance_query) if q}
-    values = {}
-    for text in sorted(texts):
+    texts = sorted({q for j in jobs if j.place == "SQLQUERY" for q in (j.count_query, j.balance_query) if q})
+
+    def ask(text: str) -> int | None:
         row = run_query(text).first()
-        values[text] = None if row is None or row[0] is None else int(row[0])
+        return None if row is None or row[0] is None else int(row[0])
+
+    with ThreadPoolExecutor(16) as pool:
+        values = dict(zip(texts, pool.map(ask, texts)))
     rows = [(j.job_id, values.get(j.count_query), values.get(j.balance_query)) for j in jobs if j.place == "SQLQUERY"]
     return spark.createDataFrame(rows, "job_id bigint, control_count bigint, control_balance bigint")
 
@@ -136,6 +140,7 @@ def validate(
     file_metadata: DataFrame | None = None,
     registry: DataFrame | None = None,
     digest: str = ORDERED,
+    digest_bits: int = 512,
     tables: dict[str, DataFrame] | None = None,
     run_query: Callable[[str], DataFrame] | None = None,
     query_control: DataFrame | None = None,
@@ -146,11 +151,12 @@ def validate(
 
     ``job_args`` are as ``read_job_args`` gives them. Only these settings, a short row per
     job, come to the driver, which looks up the paths. The cluster reads all text objects in one scan for their
-    edges and one for their rows, and all parquet objects in one, whatever the number of jobs. A path may be a file, a
-    folder with all below it, or a glob. Jobs with a file type that can't be read end in an error; the others run.
+    edges and one for their rows, and parquet objects in one for each schema, whatever the number of jobs. A path may be a
+    file, a folder with all below it, or a glob. Jobs whose path can't be looked up, whose file type is not known or whose
+    parquet footers can't be read or merged end in an error; the others run.
 
     ``digest`` says what rule 11 compares: the ordered digest, for which the same rows in another order are
-    new content, or the unordered one. ``registration`` gives the rows to append to the registry.
+    new content, or the unordered one; ``digest_bits`` are those of the ordered one. ``registration`` gives the rows to append to the registry.
     ``tables`` holds objects of type SQLTable by name, such as ``read_table`` gives them; they have no row order, so
     theirs is the unordered digest. ``run_query`` runs the query texts of jobs whose control totals come from one;
     ``query_control`` is ``(job_id, control_count, control_balance)`` where they are known already.
@@ -181,16 +187,23 @@ def validate(
     manifests = [j.manifest_file_url for j in config if j.place == "File" and j.manifest_file_url]
     places = matched_paths(spark, [*(j.path for j in in_files if j.path), *manifests])
     wanted = _wanted(in_files, places)
-    rows, looked, edges = object_rows(spark, wanted, [root for m in manifests for root in places[m]])
+    rows, looked, edges, unreadable = object_rows(spark, wanted, [root for m in manifests for root in places[m] or ()])
+    lost = set(unreadable)
+    broken = {j.job_id for j in in_files if j.path and places[j.path] is None}
+    broken |= {job for job, root, kind, *_ in wanted if kind == "parquet" and root.rstrip("/") in lost}
+    if broken:
+        flags = spark.createDataFrame([(i,) for i in sorted(broken)], "job_id bigint").withColumn("_broken", F.lit(True))
+        jobs = jobs.join(flags, "job_id", "left")
+        readable = readable & F.col("_broken").isNull()
     ordered = digest == ORDERED and registry is not None
-    of_files = None if rows is None else object_measures(rows, looked, ordered=ordered)
+    of_files = None if rows is None else object_measures(rows, looked, ordered=ordered, bits=digest_bits)
     measured = _union([of_files, table_measures(spark, [j for j in config if j.object_type == TABLE], tables or {})])
 
     by_job, by_object = [], []
     if measured is not None:
         unordered = content_text()
         if ordered and of_files is not None:
-            unordered = F.coalesce(whole_digest(F.col("file_digests")), unordered)
+            unordered = F.coalesce(whole_digest(F.col("file_digests"), digest_bits), unordered)
         measured = measured.select("job_id", *SIZES, unordered.alias("digest"))
         by_job.append(measured if registry is None else flag_duplicates(
             measured, registry.select(F.col("checksum_value").alias("digest")), "job_id"

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallykeep.functions import slice_long
-from tallykeep.sources.objects import edge_lines, last_cell, lines_of, parquet_last_cells
+from tallykeep.sources.objects import csv_records, edge_lines, last_cell, lines_of, parquet_last_cells
 
 POSITION = ["block_start", "row_seq"]
 
@@ -98,7 +98,7 @@ def control_cells(
     """The control cell kept inside the objects: ``(object_name, meta_string)``.
 
     ``Header``: last cell of the first line of an object. ``Footer``: last cell of its last line. Every line is taken
-    apart by itself, so the files of one object may have different columns.
+    apart by itself, so the files of one object may have different columns; quoted cells of csv may go over line ends.
     """
     if place not in ("Header", "Footer"):
         raise ValueError(f"control cells are in the Header or the Footer, not {place!r}")
@@ -106,7 +106,7 @@ def control_cells(
     if fmt == "parquet":
         edges, kind = parquet_last_cells(spark, roots), "text"
     else:
-        edges, kind = edge_lines(lines_of(spark, roots)), fmt
+        edges, kind = edge_lines(csv_records(spark, roots) if fmt == "csv" else lines_of(spark, roots)), fmt
     line = F.col("first_line" if place == "Header" else "last_line")
     return _by_object(edges, key, last_cell(F.lit(kind), line), first=place == "Header")
 

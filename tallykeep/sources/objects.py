@@ -1,21 +1,26 @@
-"""What jobs need of their objects, in a fixed number of scans whatever the number of jobs, folders and files.
+"""What jobs need of their objects, in a number of scans that does not grow with the jobs, folders and files.
 
-All text objects (csv, json, text, and manifests) are read as lines in one scan, and each line is taken apart by the
-header of its own file; a second scan finds the first and last line of every file. Parquet objects are one scan with their
-merged schema. An object is a file, a folder with all below it, or a glob, and files are matched to it by their path.
+All text objects (csv, json, text, and manifests) are read as lines, and each line is taken apart by the header of its own
+file; another scan finds the first and last line of every file. Lines of csv files are put together to records where quoted
+cells go over line ends. Parquet objects are one scan for each schema that is among them, so a row is only seen with its own
+columns. An object is a file, a folder with all below it, or a glob, and files are matched to it by their path.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tallykeep.functions import as_money
 from tallykeep.functions.text import cell_text
 from tallykeep.operators.digests import SUM_COLUMNS, hash_sums, tree_digest, with_ordinals
+from tallykeep.sources.records import csv_cells, quote_state, whole_records
 
 LINE_FORMATS = ("csv", "json", "text")
 FORMATS = (*LINE_FORMATS, "parquet")
@@ -27,17 +32,21 @@ def _plain(path: str) -> str:
     return path.replace(":///", ":/")
 
 
-def matched_paths(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
+def matched_paths(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str] | None]:
     """The files and folders each path or glob stands for, in the form in which Spark names the files it reads.
 
-    Paths come from the job settings, which the driver has; they are looked up side by side.
+    Paths come from the job settings, which the driver has; they are looked up side by side. None where that fails, as
+    for a file system that isn't known.
     """
     conf, hadoop_path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
 
-    def look(text: str) -> list[str]:
-        path = hadoop_path(text)
-        found = path.getFileSystem(conf).globStatus(path)
-        return [_plain(status.getPath().toUri().toString()) for status in found or []]
+    def look(text: str) -> list[str] | None:
+        try:
+            path = hadoop_path(text)
+            found = path.getFileSystem(conf).globStatus(path)
+        except (PySparkException, Py4JJavaError):
+            return None
+        return [_plain(status.getPath().toString()) for status in found or []]
 
     wanted = sorted(set(paths))
     with ThreadPoolExecutor(32) as pool:
@@ -52,7 +61,9 @@ def outermost(roots: Iterable[str]) -> list[str]:
 
 
 def _file_path() -> Column:
-    return F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")).alias("file")
+    """The path as file systems write it; Spark gives it encoded as a URI, in which a plus sign stands for itself."""
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.replace(decoded, F.lit(":///"), F.lit(":/")).alias("file")
 
 
 def _of_roots(files: DataFrame, roots: DataFrame) -> DataFrame:
@@ -62,13 +73,23 @@ def _of_roots(files: DataFrame, roots: DataFrame) -> DataFrame:
     return files.withColumn("root", F.explode(begins)).join(roots, "root").drop("root")
 
 
-def lines_of(spark: SparkSession, roots: list[str]) -> DataFrame:
-    """``(file, block_start, row_seq, value)`` of all lines that aren't empty, with their order in the file."""
+def lines_of(spark: SparkSession, roots: list[str], *, empty: bool = False) -> DataFrame:
+    """``(file, block_start, row_seq, value)`` of all lines with their order in the file; ``empty`` ones only if asked for."""
     read = spark.read.option("recursiveFileLookup", True).text(outermost(roots))
-    return read.select(
+    lines = read.select(
         _file_path(), F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_seq"), F.rtrim("value", F.lit("\r")).alias("value"),
-    ).where("value <> ''")
+    )
+    return lines if empty else lines.where("value <> ''")
+
+
+def csv_records(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """As ``lines_of``, with the lines of a record put together where a quoted cell goes over line ends.
+
+    One pass counts quotes to see whether there are any such cells; most objects have none, and their lines are the records.
+    """
+    lines = lines_of(spark, roots, empty=True)
+    return (lines if quote_state(lines).isEmpty() else whole_records(lines)).where("value <> ''")
 
 
 def edge_lines(lines: DataFrame) -> DataFrame:
@@ -78,16 +99,6 @@ def edge_lines(lines: DataFrame) -> DataFrame:
         F.min_by("value", place).alias("first_line"), F.max_by("value", place).alias("last_line"))
 
 
-def csv_cells(line: Column) -> Column:
-    """The cells of a line; a cell in quotes may hold commas and doubled quotes, an empty one is null."""
-    quoted = F.transform(
-        F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'),
-        lambda c: F.when(c.rlike(r'^\s*".*"\s*$'), F.replace(
-            F.regexp_replace(c, r'^\s*"|"\s*$', ""), F.lit('""'), F.lit('"'))).otherwise(c))
-    cells = F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
-    return F.transform(cells, lambda c: F.nullif(c, F.lit("")))
-
-
 def _json_cells(line: Column) -> Column:
     """Names and values that are there, by name."""
     return F.array_sort(F.filter(
@@ -117,51 +128,84 @@ def _variants(files: DataFrame, wanted: DataFrame) -> DataFrame:
 VARIANT = ["file", "kind", "headerless", "balance_name", "position"]
 
 
-def line_rows(lines: DataFrame, edges: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows ``(*VARIANT, block_start, row_seq, sign, text, amount)`` of the text objects.
+def line_rows(lines: DataFrame, edges: DataFrame, wanted: DataFrame, *, as_csv: bool) -> DataFrame:
+    """Rows ``(*VARIANT, block_start, row_seq, sign, text, amount)`` of the text objects, which are all csv or all not.
 
     A header line comes twice, once with sign -1, so that it drops out of every sum.
     """
-    names = csv_cells(F.col("first_line"))
-    named = (F.col("kind") == "csv") & ~F.col("headerless")
-    at = F.when(named, F.array_position(names, F.col("balance_name")) - 1).when(
-        F.col("kind") == "csv", F.col("position") - 1)
-    looked = _variants(edges.select("file", "first_line"), wanted).select(
-        *VARIANT, F.when(named, F.size(names)).alias("width"), F.nullif(at, F.lit(-1).cast("long")).alias("at"), "first_line")
-    rows = lines.withColumn("sign", F.lit(1)).join(looked.drop("first_line"), "file")
-    headers = looked.where("width is not null").select(
-        "file", F.lit(None).cast("long").alias("block_start"), F.lit(None).cast("long").alias("row_seq"),
-        F.col("first_line").alias("value"), F.lit(-1).alias("sign"), *VARIANT[1:], "width", "at")
-    rows = rows.unionByName(headers)
-    csv = csv_cells(F.col("value"))
-    fitted = F.when(F.col("width").isNull(), csv).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.get(csv, i)))
-    entries = _json_cells(F.col("value"))
-    is_json, is_csv = F.col("kind") == "json", F.col("kind") == "csv"
-    cells = F.when(is_csv, fitted).when(is_json, F.coalesce(F.flatten(F.transform(
-        entries, lambda e: F.array(e["key"], e["value"]))), F.array(F.col("value")))).otherwise(F.array("value"))
-    amount = F.when(is_csv, F.get(csv, F.col("at").cast("int"))).when(
-        is_json, F.get(F.transform(F.filter(entries, lambda e: e["key"] == F.col("balance_name")), lambda e: e["value"]), F.lit(0)))
+    rows = lines.withColumn("sign", F.lit(1))
+    if not as_csv:
+        looked = _variants(edges.select("file"), wanted)
+        entries, is_json = _json_cells(F.col("value")), F.col("kind") == "json"
+        named = F.coalesce(F.flatten(F.transform(entries, lambda e: F.array(e["key"], e["value"]))), F.array(F.col("value")))
+        cells = F.when(is_json, named).otherwise(F.array("value"))
+        mine = F.filter(entries, lambda e: e["key"] == F.col("balance_name"))
+        amount = F.when(is_json, F.get(F.transform(mine, lambda e: e["value"]), F.lit(0)))
+        rows = rows.join(looked, "file")
+    else:
+        ways = _variants(edges.select("file", "first_line"), wanted).withColumn("_names", csv_cells(F.col("first_line")))
+        named = ~F.col("headerless")
+        at = F.when(named, F.nullif(F.array_position("_names", F.col("balance_name")), F.lit(0))).otherwise(F.col("position")) - 1
+        looked = ways.select(*VARIANT, F.when(named, F.size("_names")).alias("width"), at.cast("int").alias("at"), "first_line")
+        headers = looked.where("width is not null").select(
+            "file", F.lit(None).cast("long").alias("block_start"), F.lit(None).cast("long").alias("row_seq"),
+            F.col("first_line").alias("value"), F.lit(-1).alias("sign"), *VARIANT[1:], "width", "at")
+        rows = rows.join(looked.drop("first_line"), "file").unionByName(headers).withColumn("_cells", csv_cells(F.col("value")))
+        none = F.array_repeat(F.lit(None).cast("string"), F.col("width"))
+        # As many cells as the header has.
+        cells = F.when(F.col("width").isNull(), F.col("_cells")).otherwise(
+            F.slice(F.concat("_cells", none), F.lit(1), F.col("width")))
+        amount = F.get("_cells", F.col("at"))
     return rows.select(
         *VARIANT, "block_start", "row_seq", "sign", _text(cells).alias("text"), as_money(amount).alias("amount"))
 
 
-def _read_parquet(spark: SparkSession, roots: list[str]) -> list[DataFrame]:
-    """One frame with the schemas of all roots merged; one for each schema where they do not agree on a type."""
+def schema_classes(spark: SparkSession, roots: Iterable[str]) -> tuple[dict[str, list[str]], list[str]]:
+    """Parquet roots by their schema (as JSON), and the roots that can't be read.
+
+    Spark's own jobs read the footers of a root on the cluster and merge them, several roots at a time; the driver gets a
+    schema for each. A root that can't be read, or whose files don't agree on a type, is by itself: those
+    below it that are asked for are tried on their own. Roots without a file have no schema and are in neither.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
+
+    def schema(root: str) -> str | None:
+        try:
+            return reader.parquet(root).schema.json()
+        except (PySparkException, Py4JJavaError) as error:
+            nothing = isinstance(error, PySparkException) and error.getCondition() == "UNABLE_TO_INFER_SCHEMA"
+            return "" if nothing else None
+
+    wanted = {r.rstrip("/") for r in roots}
+    classes: dict[str, list[str]] = {}
+    unreadable: list[str] = []
+    pending = outermost(wanted)
+    with ThreadPoolExecutor(16) as pool:
+        while pending:
+            inner: set[str] = set()
+            for root, found in zip(pending, pool.map(schema, pending)):
+                if found is None:
+                    unreadable.append(root)
+                    inner |= {r for r in wanted if r.startswith(f"{root}/")}
+                elif found:
+                    classes.setdefault(found, []).append(root)
+            pending = outermost(inner)
+    return classes, unreadable
+
+
+def _class_frames(spark: SparkSession, classes: dict[str, list[str]]) -> list[DataFrame]:
     reader = spark.read.option("recursiveFileLookup", True)
-    try:
-        return [reader.option("mergeSchema", True).parquet(*roots)]
-    except PySparkException:
-        with ThreadPoolExecutor(8) as pool:
-            schemas = list(pool.map(lambda r: reader.parquet(r).schema.json(), roots))
-        same: dict[str, list[str]] = {}
-        for root, schema in zip(roots, schemas):
-            same.setdefault(schema, []).append(root)
-        return [reader.parquet(*group) for group in same.values()]
-
-
-def _parquet_rows(df: DataFrame, wanted: DataFrame, balances: list[str]) -> DataFrame:
-    """As ``line_rows``. A cell is written with its column's name and a null one not at all, so the text of a row does not
+    return [reader.schema(StructType.fromJson(json.loads(text))).parquet(*roots) for text, roots in classes.items()]
+
+
+def _files_below(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """``(file)`` of all files of the roots, which are listed and not read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
+    return listed.select(F.replace("path", F.lit(":///"), F.lit(":/")).alias("file"))
+
+
+def _parquet_rows(df: DataFrame, files: DataFrame, balances: list[str]) -> DataFrame:
+    """As ``line_rows``, of the ``files`` with the ways in which jobs look at them. A cell is written with its column's name and a null one not at all, so the text of a row does not
     depend on the columns of other objects."""
     cells = []
     for name in sorted(df.columns):
@@ -171,7 +215,6 @@ def _parquet_rows(df: DataFrame, wanted: DataFrame, balances: list[str]) -> Data
     for name in balances:
         if name in df.columns:
             amount = F.when(F.col("balance_name") == name, as_money(F.col(f"`{name}`"))).otherwise(amount)
-    files = _variants(df.select(_file_path()).distinct(), wanted)
     index = F.col("_metadata.row_index")
     rows = df.select("*", _file_path(), F.shiftright(index, 20).alias("block_start"), index.alias("row_seq"))
     return rows.join(files, "file").select(
@@ -186,7 +229,7 @@ def file_sums(rows: DataFrame) -> DataFrame:
         F.sum(sign * F.length("text").cast("bigint")).alias("text_size"), *hash_sums(F.col("text"), sign))
 
 
-def file_digests(rows: DataFrame) -> DataFrame:
+def file_digests(rows: DataFrame, bits: int) -> DataFrame:
     """``(*VARIANT, digest)``, the ordered digest of each file's rows without its header."""
     key = F.to_json(F.struct(*VARIANT))
     hashed = rows.where("sign = 1").select(
@@ -195,39 +238,51 @@ def file_digests(rows: DataFrame) -> DataFrame:
     has_header = F.when((F.col("kind") == "csv") & ~F.col("headerless"), 1).otherwise(0)
     ordered = ordered.withColumn("ordinal", F.col("ordinal") - has_header).where("ordinal >= 0")
     ways = rows.select(key.alias("_key"), *VARIANT).distinct()
-    return tree_digest(ordered, "_key").join(ways, "_key").select(*VARIANT, "digest")
+    return tree_digest(ordered, "_key", bits=bits).join(ways, "_key").select(*VARIANT, "digest")
 
 
-def object_rows(spark: SparkSession, wanted: list[tuple], manifests: list[str]) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
-    """Rows of all objects, the ``wanted`` frame, and the edge lines of text files and manifests.
+def object_rows(
+    spark: SparkSession, wanted: list[tuple], manifests: list[str]
+) -> tuple[DataFrame | None, DataFrame, DataFrame | None, list[str]]:
+    """Rows of all objects, the ``wanted`` frame, the edge lines of text files and manifests, and the roots that can't be read.
 
     ``wanted`` is ``(job_id, root, kind, headerless, balance_name, position)``.
     """
     looked = spark.createDataFrame(
         wanted, "job_id bigint, root string, kind string, headerless boolean, balance_name string, position int")
-    parts, edges = [], None
-    in_lines = [w[1] for w in wanted if w[2] in LINE_FORMATS]
-    if in_lines or manifests:
-        lines = lines_of(spark, [*in_lines, *manifests])
-        edges = edge_lines(lines)
-        if in_lines:
-            parts.append(line_rows(lines, edges, looked.where(F.col("kind").isin(*LINE_FORMATS))))
-    in_parquet = outermost(w[1] for w in wanted if w[2] == "parquet")
-    if in_parquet:
-        balances = sorted({w[4] for w in wanted if w[2] == "parquet" and w[4]})
-        for df in _read_parquet(spark, in_parquet):
-            parts.append(_parquet_rows(df, looked.where(F.col("kind") == "parquet"), balances))
-    rows = None
-    for part in parts:
-        rows = part if rows is None else rows.unionByName(part)
-    return rows, looked, edges
-
-
-def object_measures(rows: DataFrame, wanted: DataFrame, *, ordered: bool) -> DataFrame:
+    parts, edges = [], []
+    for as_csv in (True, False):
+        roots = [w[1] for w in wanted if w[2] in LINE_FORMATS and (w[2] == "csv") == as_csv]
+        read = roots if as_csv else [*roots, *manifests]
+        if read:
+            lines = csv_records(spark, read) if as_csv else lines_of(spark, read)
+            ends = edge_lines(lines)
+            edges.append(ends.withColumn("as_csv", F.lit(as_csv)))
+            kinds = ["csv"] if as_csv else [k for k in LINE_FORMATS if k != "csv"]
+            if roots:
+                parts.append(line_rows(lines, ends, looked.where(F.col("kind").isin(*kinds)), as_csv=as_csv))
+    in_parquet = [w for w in wanted if w[2] == "parquet"]
+    classes, unreadable = schema_classes(spark, [w[1] for w in in_parquet])
+    if classes:
+        balances = sorted({w[4] for w in in_parquet if w[4]})
+        listed = _files_below(spark, [r for roots in classes.values() for r in roots])
+        files = _variants(listed, looked.where(F.col("kind") == "parquet"))
+        parts += [_parquet_rows(df, files, balances) for df in _class_frames(spark, classes)]
+    return _union(parts), looked, _union(edges), unreadable
+
+
+def _union(frames: list[DataFrame]) -> DataFrame | None:
+    whole = None
+    for frame in frames:
+        whole = frame if whole is None else whole.unionByName(frame)
+    return whole
+
+
+def object_measures(rows: DataFrame, wanted: DataFrame, *, ordered: bool, bits: int = 512) -> DataFrame:
     """``(job_id, row_count, balance, text_size, *SUM_COLUMNS, file_digests)`` of every object that has a row or header."""
     sums = file_sums(rows)
     if ordered:
-        digests = file_digests(rows)
+        digests = file_digests(rows, bits)
         same = [F.col(f"s.{c}").eqNullSafe(F.col(f"d.{c}")) for c in VARIANT]
         sums = sums.alias("s").join(digests.alias("d"), same, "left").select("s.*", "d.digest")
     else:
@@ -243,11 +298,11 @@ def object_measures(rows: DataFrame, wanted: DataFrame, *, ordered: bool) -> Dat
         F.array_sort(F.collect_list(F.when(F.col("digest").isNotNull(), F.struct("file", "digest")))).alias("file_digests"))
 
 
-def whole_digest(file_digests: Column) -> Column:
+def whole_digest(file_digests: Column, bits: int = 512) -> Column:
     """The ordered digest of an object: its file's, or that of its files' digests in path order."""
     listed = F.transform(file_digests, lambda x: x["digest"])
     return F.when(F.size(listed) == 1, listed[0]).when(
-        F.size(listed) > 1, F.concat(F.lit("tree:"), F.sha2(F.array_join(listed, ","), 512)))
+        F.size(listed) > 1, F.concat(F.lit("tree:"), F.sha2(F.array_join(listed, ","), bits)))
 
 
 def edge_cells(edges: DataFrame, wanted: list[tuple[int, str, str, str]], spark: SparkSession) -> DataFrame:
@@ -256,7 +311,7 @@ def edge_cells(edges: DataFrame, wanted: list[tuple[int, str, str, str]], spark:
     Of an object of several files, the first by path has the header or manifest line, the last the footer.
     """
     asked = spark.createDataFrame(wanted, "job_id bigint, root string, kind string, place string")
-    mine = _of_roots(edges, asked)
+    mine = _of_roots(edges, asked).where((F.col("kind") == "csv") == F.col("as_csv"))
     line = F.when(F.col("place") == "Footer", F.col("last_line")).otherwise(F.col("first_line"))
     cell = F.when(F.col("place") == "File", line).otherwise(last_cell(F.col("kind"), line))
     footer = F.max_by("cell", "file")
@@ -272,9 +327,9 @@ def parquet_edges(rows: DataFrame) -> DataFrame:
 
 def parquet_last_cells(spark: SparkSession, roots: list[str]) -> DataFrame:
     """First and last row's last cell that is there, of every parquet file."""
-    whole = None
-    for df in _read_parquet(spark, outermost(roots)):
+    parts = []
+    for df in _class_frames(spark, schema_classes(spark, roots)[0]):
         last = F.coalesce(*[cell_text(c, df.schema[c].dataType) for c in reversed(df.columns)])
-        part = parquet_edges(df.select(_file_path(), F.col("_metadata.row_index").alias("row_seq"), last.alias("value")))
-        whole = part if whole is None else whole.unionByName(part)
-    return whole
+        parts.append(parquet_edges(df.select(_file_path(), F.col("_metadata.row_index").alias("row_seq"), last.alias("value"))))
+    none = spark.createDataFrame([], "file string, first_line string, last_line string")
+    return _union([none, *parts]).withColumn("as_csv", F.lit(False))

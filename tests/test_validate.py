@@ -179,7 +179,7 @@ def test_files_of_one_folder_with_other_columns(spark, tmp_path):
     found, _ = _values(spark, jobs, (3,), file_metadata=bounds)
     assert {j: v[0] for (j, _), v in found.items()} == {1: "4", 2: "2", 3: "1", 4: "3", 5: "2", 6: "0"}
     places = validate_module.matched_paths(spark, [str(folder), f"{folder}/[ac].csv"])
-    rows_, looked, _ = validate_module.object_rows(
+    rows_, looked, _, _ = validate_module.object_rows(
         spark, [(1, places[str(folder)][0], "csv", False, "amt", None)]
         + [(2, p, "csv", False, "amt", None) for p in places[f"{folder}/[ac].csv"]], [])
     sums = validate_module.object_measures(rows_, looked, ordered=False)
@@ -271,3 +271,38 @@ def test_the_plan_has_as_many_scans_for_many_folders(spark, tmp_path):
         assert time.perf_counter() - began < 20
         scans.append(plan.count("Relation [value"))
     assert scans[0] == scans[1]
+
+
+def test_an_object_that_cannot_be_read_is_an_error_of_its_job_only(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "good"))
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"no parquet")
+    spark.range(3).write.parquet(str(tmp_path / "split"))
+    spark.createDataFrame([("x",)], "id string").write.mode("append").parquet(str(tmp_path / "split"))
+    (tmp_path / "args.csv").write_text(
+        "JobId,ObjectPath,ObjectName,ObjectType,FileType,Metadata_place\n"
+        f"1,{tmp_path}/good,good,File,parquet,File\n2,{tmp_path}/bad,bad,File,parquet,File\n"
+        f"3,nosuchscheme://x/y,lost,File,parquet,File\n4,{tmp_path}/split,split,File,parquet,File\n5,{tmp_path}/none,none,File,parquet,File\n")
+    ran = validate(spark, read_job_args(spark, str(tmp_path / "args.csv")), assigned(spark, [0]))
+    unread = "Error Message : no value for text_size"
+    assert dict(rows(suite_summary(ran), "job_id", "summary")) == {
+        1: "Zero FileSize Validation Passed", 2: unread, 3: unread, 4: unread, 5: "Zero FileSize Validation Failed"}
+
+
+def test_objects_of_many_schemas_keep_their_own_width(spark, tmp_path):
+    lines = []
+    for i in range(30):
+        spark.range(2).selectExpr("id as amt", *[f"id as c{i}_{j}" for j in range(i % 3 + 1)]).coalesce(1).write.parquet(str(tmp_path / f"t+ {i}"))
+        lines.append(f"{i},{tmp_path}/t+ {i},t{i},File,parquet,File,amt\n")
+    (tmp_path / "args.csv").write_text("JobId,ObjectPath,ObjectName,ObjectType,FileType,Metadata_place,BalanceAmountColumn\n" + "".join(lines))
+    wanted = [(i, f"{tmp_path}/t+ {i}", "parquet", False, "amt", None) for i in range(30)]
+    places = validate_module.matched_paths(spark, [w[1] for w in wanted])
+    found, _, _, _ = validate_module.object_rows(spark, [(i, places[p][0], *rest) for i, p, *rest in wanted], [])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # Each scan has the columns of its own schema.
+    assert max(line.count("#") for line in plan.splitlines() if "Relation" in line) <= 6
+    bounds = spark.createDataFrame([(i, f"t{i}", 2, 2) for i in range(30)], "file_id bigint, file_name string, min_value bigint, max_value bigint")
+    bounds = bounds.selectExpr("*", "1L as file_size", "timestamp'2024-01-01' as file_expected_time", "1 as file_buffer_time")
+    rules = spark.createDataFrame([(i, "Pre", 3) for i in range(30)], schemas.RULE_ASSIGNMENT)
+    ran = validate(spark, read_job_args(spark, str(tmp_path / "args.csv")), rules, file_metadata=bounds)
+    assert rows(suite_summary(ran), "summary") == [("ThresholdValidation passed",)] * 30
