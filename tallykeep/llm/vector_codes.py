@@ -34,7 +34,8 @@ LIMB = 1 << 62
 #: More than the error of a square root and of the additions that follow it.
 SLACK = 2.0 ** -40
 SPLITS = 6
-BATCH = 4096
+#: Components that are searched for at once.
+BATCH = 1 << 20
 
 
 def whole(vectors: list, scale: int) -> np.ndarray:
@@ -141,6 +142,19 @@ class Codebooks:
         return hashlib.sha256(",".join(str(int(v)) for b in self.books for v in b.ravel()).encode()).hexdigest()
 
 
+def _gathered(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    """Frames put together to about BATCH components, vectors having `size`: trees work on many rows at once."""
+    held, rows = [], 0
+    for frame in in_batches(frames, max(1, BATCH // size)):
+        held.append(frame)
+        rows += len(frame)
+        if rows * size >= BATCH:
+            yield pd.concat(held)
+            held, rows = [], 0
+    if rows:
+        yield pd.concat(held)
+
+
 def usable(vector: Column) -> Column:
     """True where a vector is there and all its components are finite numbers."""
     none = F.exists(vector, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
@@ -191,10 +205,9 @@ def fit(vectors: DataFrame, parts: int = 16, entries: int = 64, rounds: int = 2,
 
         def work(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             sums = _Sums(parts, entries, width)
-            for frame in in_batches(frames, BATCH):
-                if len(frame):
-                    x = whole(list(frame.vector), scale)
-                    sums.add(x, shared.value.assign(x)[0])
+            for frame in _gathered(frames, parts * width):
+                x = whole(list(frame.vector), scale)
+                sums.add(x, shared.value.assign(x)[0])
             yield sums.rows()
 
         sums = vectors.select("vector").mapInPandas(work, shape).groupBy("part", "entry").agg(
@@ -237,14 +250,13 @@ def compress(
     shared = rows.sparkSession.sparkContext.broadcast(books)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in in_batches(frames, BATCH):
-            if len(frame):
-                codes, error = shared.value.assign(whole(list(frame.vector), scale))
-                text = codes.astype(np.uint8).tobytes().hex()
-                total = [min(int(e), 2 ** 63 - 1) for e in error.sum(axis=1)]
-                yield pd.DataFrame({
-                    "id": frame.id, "label": frame.label, "code": [text[i:i + 2 * parts] for i in range(0, len(text), 2 * parts)],
-                    "error": np.array(total, np.int64)})
+        for frame in _gathered(frames, size):
+            codes, error = shared.value.assign(whole(list(frame.vector), scale))
+            text = codes.astype(np.uint8).tobytes().hex()
+            total = [min(int(e), 2 ** 63 - 1) for e in error.sum(axis=1)]
+            yield pd.DataFrame({
+                "id": frame.id, "label": frame.label, "code": [text[i:i + 2 * parts] for i in range(0, len(text), 2 * parts)],
+                "error": np.array(total, np.int64)})
 
     # Ids and labels pass through Python as text, which keeps nulls and types apart from floats.
     as_text = kept.select(F.col("id").cast("string").alias("id"), F.col("label").cast("string").alias("label"), "vector")
