@@ -30,7 +30,7 @@ from tallykeep.llm.shared import as_bytes, in_batches, mixed, stage, trimmed
 #: A-Z become a-z, marks and line ends that end a piece become line feeds, tabs become blanks.
 _PIECE_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
-BLOCK = 12 << 20
+BLOCK = 20 << 20
 _CELL = 1 << 16
 HOT_SHARE, HOT_PARTS_BITS = 1 << 17, 6
 _BITMAP_BITS = (20, 26)
@@ -48,10 +48,10 @@ class Words:
     def __init__(self, data: bytes, seed: int) -> None:
         chars = np.frombuffer(data, np.uint8)
         inside = (chars != 32) & (chars != 10)
-        edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+        change = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        edge = np.concatenate((np.zeros(int(inside[:1].any()), np.int64), change, np.full(int(inside[-1:].any()), len(data))))
         self.data, self.starts, self.ends = data, edge[::2], edge[1::2]
-        breaks = np.flatnonzero(chars == 10)
-        self.piece = np.searchsorted(breaks, self.starts)
+        self.piece = np.searchsorted(np.flatnonzero(chars == 10), self.starts).astype(np.int32)
         self.hashes = self._hashes(chars, seed)
 
     def _hashes(self, chars: np.ndarray, seed: int) -> np.ndarray:
@@ -200,6 +200,7 @@ def count_stripes(docs: DataFrame, n: int, seed: int, frequent: Bitmap, hot: np.
             shorter = frequent.has(_folded([words.hashes[i:len(words.hashes) - n + 2 + i] for i in range(n - 1)])) if len(at) else at
             at = at[shorter[at] & shorter[at + 1]] if len(at) else at
             grams = [words.hashes[at + i] for i in range(n)]
+            del words, shorter, at
             order = np.lexsort(grams[::-1])
             grams = [g[order] for g in grams]
             begin = _runs(grams)
