@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallykeep.llm.shared import stage
+from tallykeep.llm.shared import release, stage
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -31,4 +31,5 @@ def connected_components(links: DataFrame) -> DataFrame:
         small = large.join(least, "a")
         small = small.select("a", F.col("least").alias("b")).union(
             small.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")))
-        edges = stage(small.distinct(), "links")
+        last, edges = edges, stage(small.distinct(), "links")
+        release(last)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import os
 import tempfile
 import uuid
@@ -39,7 +40,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._staged = path
+    return back
+
+
+def release(*tables: DataFrame, shuffles: bool = False) -> None:
+    """Delete tables that `stage` wrote, once what is computed from them is written.
+
+    Spark keeps the shuffle files of a plan as long as the driver holds the plan; with `shuffles` the driver gives up its
+    garbage, and they go.
+    """
+    for table in tables:
+        path = getattr(table, "_staged", None)
+        if path is not None:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            table._staged = None
+    if shuffles and tables:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def prepare(spark: SparkSession, rows: int = 1000) -> None:

@@ -14,6 +14,7 @@ of links from the smallest joins them. Nothing is lost, and the links stay in pr
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallykeep.llm.components import connected_components
-from tallykeep.llm.shared import as_bytes, in_batches, stage, word_hashes
+from tallykeep.llm.shared import as_bytes, in_batches, release, stage, trimmed, word_hashes
 
 #: Generator of the binary Golay code (23, 12): x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 _GENERATOR = 0b101011100011
@@ -111,9 +112,9 @@ def golay_keys(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def _meetings(codes: DataFrame, group_most: int) -> tuple[DataFrame, DataFrame]:
+def _meetings(codes: DataFrame, group_most: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs (view, a, b) of codes at most 2 bits apart; of those with a key of over `group_most` (view, code, middle),
-    where two that are at most 2 bits apart share a middle."""
+    where two that are at most 2 bits apart share a middle; and the table that both are read from."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             code, view = frame.code.to_numpy(), frame["view"].to_numpy(np.int64)
@@ -123,6 +124,7 @@ def _meetings(codes: DataFrame, group_most: int) -> tuple[DataFrame, DataFrame]:
     keys = stage(codes.select("view", "code").mapInPandas(work, "key long, view int, code long"), "golay_keys")
     sizes = keys.groupBy("key").count().where("count > 1")
     shared = stage(keys.join(sizes, "key"), "shared_keys")
+    release(keys)
     few = shared.where(F.col("count") <= group_most)
     pairs = few.select("key", "view", F.col("code").alias("a")).join(
         few.select("key", F.col("code").alias("b")), "key").where(
@@ -130,7 +132,7 @@ def _meetings(codes: DataFrame, group_most: int) -> tuple[DataFrame, DataFrame]:
     many = shared.where(F.col("count") > group_most).select("view", "code").distinct()
     around = F.explode(F.array(F.col("code"), *[
         F.col("code").bitwiseXOR(F.lit(v).cast("long")) for v in np.left_shift(1, np.arange(64)).tolist()]))
-    return pairs.select("view", "a", "b"), many.select("view", "code", around.alias("middle"))
+    return pairs.select("view", "a", "b"), many.select("view", "code", around.alias("middle")), shared
 
 
 def _starred(pairs: DataFrame, neighbours: DataFrame) -> DataFrame:
@@ -145,7 +147,7 @@ def links(codes: DataFrame, group_most: int = 64) -> DataFrame:
 
     `codes` is (view, code), each pair once; views are small numbers, and all are handled at once.
     """
-    return _starred(*_meetings(codes, group_most))
+    return _starred(*_meetings(codes, group_most)[:2])
 
 
 def groups(docs: DataFrame, shingle: int = 3, group_most: int = 64) -> DataFrame:
@@ -188,9 +190,13 @@ def shingles(words: np.ndarray, shingle: int) -> np.ndarray:
     return np.unique(h ^ (h >> np.uint64(32)))
 
 
-def sketch(words: np.ndarray, shingle: int) -> bytes:
-    """One-permutation MinHash of the word shingles: a byte for the smallest hash of each of 256 bins, 0 if empty."""
-    h = shingles(words, shingle)
+def packed(h: np.ndarray) -> bytes:
+    """The first half of sorted hashes, each once: of two texts of 1,000 shingles, one in 2,000 pairs has two that are alike."""
+    return np.unique((h >> np.uint64(32)).astype("<u4")).tobytes()
+
+
+def sketch(h: np.ndarray) -> bytes:
+    """One-permutation MinHash of sorted shingles: a byte for the smallest hash of each of 256 bins, 0 if empty."""
     bins, first = np.unique(h >> np.uint64(56), return_index=True)
     out = np.zeros(256, np.uint8)
     out[bins.astype(np.int64)] = (h[first] * np.uint64(0xA0761D6478BD642F) >> np.uint64(56)) % np.uint64(255) + np.uint64(1)
@@ -198,26 +204,14 @@ def sketch(words: np.ndarray, shingle: int) -> bytes:
 
 
 def jaccard(x: bytes, y: bytes, least: float) -> bool:
-    """Whether two sets of shingles (sorted 8-byte hashes) share at least that part of their union."""
-    few, all_of = sorted((len(x) // 8, len(y) // 8))
+    """Whether two sets of shingles (sorted 4-byte hashes) share at least that part of their union."""
+    few, all_of = sorted((len(x) // 4, len(y) // 4))
     if not few or few < least * all_of:
         return False
-    both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+    both = len(np.intersect1d(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), assume_unique=True))
     return both >= least * (few + all_of - both)
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """(node, shingles) of the texts with these hashes."""
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in in_batches(frames, 500):
-            yield pd.DataFrame({"node": frame.node, "shingles": [
-                shingles(w, shingle).tobytes() for w in word_hashes(list(frame.text))]})
-
-    rows = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"), "text").join(nodes, "node", "left_semi")
-    sets = rows.select("node", "text").mapInPandas(work, "node long, shingles binary")
-    return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose shingles have a Jaccard similarity of `least`."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -244,11 +238,13 @@ def _similar(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
 
 def _meeting_blocks(
     rooted: DataFrame, near: DataFrame, neighbours: DataFrame, extra: DataFrame, columns: list[str], block: int,
+    scratch: list[DataFrame],
 ) -> DataFrame:
     """Pairs of blocks of texts whose codes meet and that aren't all in one component yet, as arrays by column.
 
     `rooted` is (view, code, node, root). The texts of a code are dealt to blocks of about `block`, and every block of a
-    code meets every block of the codes near it, so a code of many texts is many rows of small size.
+    code meets every block of the codes near it, so a code of many texts is many rows of small size. Tables that the
+    result is read from are added to `scratch`.
     """
     ends = stage(rooted.groupBy("view", "code").agg(
         F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")), "ends")
@@ -272,6 +268,7 @@ def _meeting_blocks(
         extra, "node").withColumn("nth", F.pmod(F.xxhash64("node"), parts))
     blocks = members.groupBy("view", "code", "nth").agg(F.collect_list(F.struct("node", "root", *columns)).alias("m"))
     blocks = stage(blocks.select("view", "code", "nth", *[F.col(f"m.{c}").alias(c) for c in ("node", "root", *columns)]), "blocks")
+    scratch += [ends, todo, blocks]
     nth = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / block) - 1))
     met = todo.select("*", nth("n_a").alias("nth_a")).select("*", nth("n_b").alias("nth_b")).where("a < b OR nth_a <= nth_b")
     for x in ("a", "b"):
@@ -334,64 +331,133 @@ def _linked(met: DataFrame, loose: float, least: float) -> DataFrame:
     return met.mapInPandas(work, "a long, b long")
 
 
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """(view, code, head) of the codes that meet one of another component, or have texts of two.
+
+    `rooted` is (view, code, node, root); head is the smallest node of a code. Most codes go with each view that was looked
+    at before: their texts are joined by then.
+    """
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            code, view = frame.code.to_numpy(), frame["view"].to_numpy(np.int64)
+            row, key = golay_keys(code)
+            yield pd.DataFrame({
+                "key": view[row] << 37 | key, "view": view[row], "code": code[row],
+                "low": frame.low.to_numpy()[row], "high": frame.high.to_numpy()[row]})
+
+    codes = rooted.groupBy("view", "code").agg(
+        F.min("node").alias("head"), F.min("root").alias("low"), F.max("root").alias("high"))
+    codes = stage(codes, "heads")
+    keys = stage(codes.select("view", "code", "low", "high").mapInPandas(work, "key long, view int, code long, low long, high long"), "keys")
+    apart = keys.groupBy("key").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a < b").select("key")
+    meeting = keys.join(apart, "key", "left_semi").select("view", "code").distinct()
+    found = stage(codes.join(meeting, ["view", "code"], "left_semi").select("view", "code", "head"), "mixed")
+    release(codes, keys)
+    return found
+
+
+class _Copies:
+    """The links found so far between texts of one `texts` table (node, codes, sketch, shingles), and their components."""
+
+    def __init__(self, texts: DataFrame, group_most: int, similarity: float, loose: float) -> None:
+        self.texts, self.group_most, self.similarity, self.loose = texts, group_most, similarity, loose
+        self.sets = texts.select("node", "shingles")
+        none = texts.sparkSession.createDataFrame([], "a long, b long")
+        self.links: list[DataFrame] = [none]
+        self.roots = stage(none.toDF("node", "root"), "roots")
+
+    def add(self, links: DataFrame) -> None:
+        links = stage(links, "verified")
+        if not links.isEmpty():
+            self.links.append(links)
+            last = self.roots
+            self.roots = stage(connected_components(functools.reduce(DataFrame.union, self.links)), "roots")
+            release(last)
+
+    def rooted(self, coded: DataFrame) -> DataFrame:
+        return stage(coded.join(self.roots, "node", "left").select(
+            "view", "code", "node", F.coalesce("root", "node").alias("root")), "rooted")
+
+    def look(self, views: list[int]) -> None:
+        """Link all texts that meet in these views: stars first, then what is left in different components, in blocks."""
+        code = F.explode(F.array(*[F.struct(F.lit(v).alias("view"), F.col("codes")[v].alias("code")) for v in views])).alias("c")
+        first = self.rooted(self.texts.select("node", code).select("node", "c.view", "c.code"))
+        heads = _mixed(first)
+        if heads.isEmpty():
+            release(first, heads)
+            return
+        near, neighbours, keys = _meetings(heads, self.group_most)
+        near, neighbours = stage(near, "near"), stage(neighbours, "neighbours")
+        # Most middles have one code, which meets no other there.
+        shared = neighbours.groupBy("view", "middle").count().where("count > 1").select("view", "middle")
+        around = stage(neighbours.join(shared, ["view", "middle"], "left_semi"), "shared_middles")
+        release(neighbours, keys)
+        coded = stage(first.join(heads.select("view", "code"), ["view", "code"], "left_semi"), "coded")
+        release(first)
+        stars = _starred(near, around)
+        for end in ("a", "b"):
+            stars = stars.join(heads.select("view", F.col("code").alias(end), F.col("head").alias(f"head_{end}")), ["view", end])
+        same = coded.join(heads, ["view", "code"]).where("node <> head").select("head", "node")
+        found = stars.select("head_a", "head_b").union(same).toDF("x", "y").where("x <> y")
+        pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        for end in ("a", "b"):
+            pairs = pairs.join(self.roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+        apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+        pairs = stage(_similar(pairs.where(apart).select("a", "b"), self.texts, self.loose), "pairs")
+        self.add(_verified(pairs, self.sets, self.similarity))
+        release(pairs, shuffles=True)
+        nodes = coded.select("view", "code", "node")
+        sketches = self.texts.select("node", "sketch")
+        now = self.rooted(nodes)
+        scratch: list[DataFrame] = []
+        likest = stage(_likest(_meeting_blocks(now, near, around, sketches, ["sketch"], 64, scratch), self.loose), "likest")
+        release(now, *scratch)
+        if not likest.isEmpty():
+            # Only these can still be linked; first each to the likest, which leaves few components to compare in full.
+            pairs = likest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+            self.add(_verified(pairs, self.sets, self.similarity))
+            now = self.rooted(nodes.join(likest, "node", "left_semi"))
+            scratch = []
+            met = _meeting_blocks(now, near, around, sketches.join(self.sets, "node"), ["sketch", "shingles"], 16, scratch)
+            self.add(_linked(met, self.loose, self.similarity))
+            release(now, *scratch)
+        release(likest, near, around, coded, heads, shuffles=True)
+
+
 def near_copies(
     docs: DataFrame, shingle: int = 5, similarity: float = 0.8, many: int = 8, group_most: int = 64, loose: float = 0.65,
 ) -> DataFrame:
     """(doc_id, node, root): groups of texts that are alike, whatever the length of the chain between them.
 
     Single fingerprints miss most copies in which a word in fifty differs, so a text has `many`, over its words. Texts whose
-    fingerprints are equal or at most 2 bits apart in any of them are candidates. Stars of candidates are verified first;
-    then every two candidates that these links leave in different components are compared, in blocks, so what is left out
-    can't change a group. A link stands if the sets of different `shingle`-word shingles of its texts have a Jaccard
+    fingerprints are equal or at most 2 bits apart in any of them are candidates. One view of fingerprints is looked at
+    after the other: stars of candidates are verified first; then every two candidates that links leave in different components
+    are compared, in blocks, so what is left out can't change a group. The next views only see texts whose fingerprint meets
+    that of another component. A link stands if the sets of different `shingle`-word shingles of its texts have a Jaccard
     similarity of at least `similarity`. Sketches of them only keep pairs from that test whose estimate, with a standard
     error of 0.025 at 0.8, is below `loose`. node is the text's 64-bit hash, so equal texts are one; of
-    10^9 different texts, 0.03 pairs share one.
+    10^9 different texts, 0.03 pairs share one. Tables between the steps are deleted as soon as they are read.
     """
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in in_batches(frames, 500):
             words = word_hashes(list(frame.text))
+            sets = [shingles(w, shingle) for w in words]
             yield pd.DataFrame({
-                "doc_id": frame.doc_id.astype("Int64"), "node": frame.node, "codes": [views(w, many) for w in words],
-                "sketch": [sketch(w, shingle) for w in words]})
-
-    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"), "text")
-    rows = stage(rows.mapInPandas(work, "doc_id long, node long, codes array<long>, sketch binary"), "views")
-    texts = stage(rows.groupBy("node").agg(F.first("codes").alias("codes"), F.first("sketch").alias("sketch")), "texts")
-    coded = stage(texts.select("node", F.posexplode("codes").alias("view", "code")), "codes")
-    heads = stage(coded.groupBy("view", "code").agg(F.min("node").alias("head")), "heads")
-    near, neighbours = (stage(x, "meetings") for x in _meetings(heads, group_most))
-    # Most middles have one code, which meets no other there.
-    shared = neighbours.groupBy("view", "middle").count().where("count > 1").select("view", "middle")
-    neighbours = stage(neighbours.join(shared, ["view", "middle"], "left_semi"), "shared_middles")
-    stars = _starred(near, neighbours)
-    for end in ("a", "b"):
-        stars = stars.join(heads.select("view", F.col("code").alias(end), F.col("head").alias(f"head_{end}")), ["view", end])
-    same = coded.join(heads, ["view", "code"]).where("node <> head").select("head", "node")
-    found = stars.select("head_a", "head_b").union(same).toDF("x", "y").where("x <> y")
-    pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    pairs = stage(_similar(pairs, texts, loose), "pairs")
-    sets = stage(_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), shingle), "shingles")
-    linked = stage(_verified(pairs, sets, similarity), "verified")
-    roots = connected_components(linked)
-
-    def rooted(some: DataFrame) -> DataFrame:
-        return stage(some.join(roots, "node", "left").select(
-            "view", "code", "node", F.coalesce("root", "node").alias("root")), "rooted")
+                "node": frame.node, "codes": [views(w, many) for w in words], "sketch": [sketch(h) for h in sets],
+                "shingles": [packed(h) for h in sets]})
 
-    sketches = texts.select("node", "sketch")
-    likest = stage(_likest(_meeting_blocks(rooted(coded), near, neighbours, sketches, ["sketch"], 64), loose), "likest")
-    if not likest.isEmpty():
-        # Only these can still be linked; first each to the likest, which leaves few components to compare in full.
-        left = likest.select("node").join(sets, "node", "left_anti")
-        sets = sets.unionByName(stage(_sets(docs, left, shingle), "shingles"))
-        pairs = likest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        linked = linked.union(stage(_verified(pairs, sets, similarity), "verified"))
-        roots = connected_components(linked)
-        met = _meeting_blocks(
-            rooted(coded.join(likest, "node", "left_semi")), near, neighbours, sketches.join(sets, "node"),
-            ["sketch", "shingles"], 16)
-        roots = connected_components(linked.union(stage(_linked(met, loose, similarity), "linked")))
-    return rows.join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
+    node = F.xxhash64(F.coalesce("text", F.lit("")))
+    seen = docs.select(node.alias("node"), "text").mapInPandas(
+        trimmed(work), "node long, codes array<long>, sketch binary, shingles binary")
+    texts = stage(seen.groupBy("node").agg(*[F.first(c).alias(c) for c in ("codes", "sketch", "shingles")]), "texts")
+    copies = _Copies(texts, group_most, similarity, loose)
+    # The first view finds most copies; later ones have little left to do and go two by two.
+    for some in [[0], [1], *[list(range(v, min(v + 2, many))) for v in range(2, many, 2)]]:
+        if some[0] < many:
+            copies.look(some)
+    release(texts, *copies.links[1:])
+    return docs.select("doc_id", node.alias("node")).join(copies.roots, "node", "left").select(
+        "doc_id", "node", F.coalesce("root", "node").alias("root"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
