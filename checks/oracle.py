@@ -420,6 +420,11 @@ BODIES = {
                           group by all)
                     group by all)
               group by all)""",
+    "control_cells_file": f"""
+        select 'supplier' as object_name, 'Header' as place, 'note' as meta_string
+        union all select 'supplier', 'Footer', {_control("count(*) + 1", "sum(s_nationkey)")} from supplier
+        union all select 'part', 'Header', {_control("count(*) + 1", "sum(p_partkey)")} from part
+        union all select 'part', 'Footer', 'x'""",
     "store_differences": """
         with held as (
             select * from booked union all select -o_orderkey, o_orderstatus, amt from booked where amt > 450000),

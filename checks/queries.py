@@ -18,7 +18,7 @@ from tallykeep.operators.profile import first_last_cell, object_profile
 from tallykeep.operators.reconcile import keyed_counts, total_counts
 from tallykeep.plans import runs, suite
 from tallykeep.plans.validate import validate
-from tallykeep.sources import manifest_control, param_lookup
+from tallykeep.sources import control_cells, manifest_control, param_lookup
 
 
 def _control(spark, sf_dir) -> DataFrame:
@@ -295,6 +295,18 @@ def validate_text_ordered(spark, sf_dir):
     return ran.where(F.col("object_name").isin("supplier", "part"))
 
 
+def control_cells_file(spark, sf_dir):
+    """Control cells in the first and last lines of files, of which only the ends are read."""
+    root = scratch(spark, "landing")
+    v.write_text_objects(spark, sf_dir, root)
+    found = None
+    for place in ("Header", "Footer"):
+        cells = control_cells(spark, [f"{root}/supplier", f"{root}/part"], "csv", place, key="folder")
+        cells = cells.select("object_name", F.lit(place).alias("place"), "meta_string")
+        found = cells if found is None else found.unionByName(cells)
+    return found
+
+
 def store_differences(spark, sf_dir):
     source = v.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", v.money("o_totalprice").alias("amt"))
     return differing_keys(source, v.booked_orders(spark, sf_dir), ["o_orderkey"], ["o_orderstatus", "amt"])
@@ -346,6 +358,7 @@ def profile_from_daily_state(spark, sf_dir):
 QUERIES = {
     "validate_text": validate_text,
     "validate_text_ordered": validate_text_ordered,
+    "control_cells_file": control_cells_file,
     "store_differences": store_differences,
     "arrival_calendar": arrival_calendar,
     "chunk_differences": chunk_differences,

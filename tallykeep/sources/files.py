@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallykeep.functions import slice_long
-from tallykeep.sources.objects import csv_records, edge_lines, last_cell, lines_of, parquet_last_cells
+from tallykeep.sources.objects import first_and_last, last_cell, matched_paths, parquet_last_cells
 
 POSITION = ["block_start", "row_seq"]
 
@@ -86,9 +86,15 @@ def _by_object(edges: DataFrame, key: str, cell: Column, *, first: bool) -> Data
     return named.groupBy("object_name").agg(pick("cell", "file").alias("meta_string"))
 
 
+def _found(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The files and folders that paths and globs stand for; a path that stands for none is left as it is, to be reported."""
+    found = matched_paths(spark, paths)
+    return [root for path in paths for root in found[path] or [path]]
+
+
 def read_manifests(spark: SparkSession, paths: str | Sequence[str], *, key: str = "file") -> DataFrame:
     """The first line of every manifest: ``(object_name, meta_string)``."""
-    edges = edge_lines(lines_of(spark, [paths] if isinstance(paths, str) else list(paths)))
+    edges = first_and_last(spark, _found(spark, [paths] if isinstance(paths, str) else list(paths)), as_csv=False)
     return _by_object(edges, key, F.col("first_line"), first=True)
 
 
@@ -106,7 +112,7 @@ def control_cells(
     if fmt == "parquet":
         edges, kind = parquet_last_cells(spark, roots), "text"
     else:
-        edges, kind = edge_lines(csv_records(spark, roots) if fmt == "csv" else lines_of(spark, roots)), fmt
+        edges, kind = first_and_last(spark, _found(spark, roots), as_csv=fmt == "csv"), fmt
     line = F.col("first_line" if place == "Header" else "last_line")
     return _by_object(edges, key, last_cell(F.lit(kind), line), first=place == "Header")
 

@@ -1,7 +1,7 @@
 """What jobs need of their objects, in a number of scans that does not grow with the jobs, folders and files.
 
 All text objects (csv, json, text, and manifests) are read as lines, and each line is taken apart by the header of its own
-file; another scan finds the first and last line of every file. Lines of csv files are put together to records where quoted
+file; the first and last line of every file come from short ranges at its ends. Lines of csv files are put together to records where quoted
 cells go over line ends. Parquet objects are one scan for each schema that is among them, so a row is only seen with its own
 columns. An object is a file, a folder with all below it, or a glob, and files are matched to it by their path.
 """
@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 from tallykeep.functions import as_money
 from tallykeep.functions.text import cell_text
 from tallykeep.operators.digests import SUM_COLUMNS, hash_sums, tree_digest, with_ordinals
+from tallykeep.sources.ranges import file_ends
 from tallykeep.sources.records import csv_cells, quote_state, whole_records
 
 LINE_FORMATS = ("csv", "json", "text")
@@ -99,6 +100,12 @@ def edge_lines(lines: DataFrame) -> DataFrame:
         F.min_by("value", place).alias("first_line"), F.max_by("value", place).alias("last_line"))
 
 
+def first_and_last(spark: SparkSession, roots: list[str], *, as_csv: bool) -> DataFrame:
+    """``(file, first_line, last_line)`` of text files: their ends are read, or all lines where only Spark can open them."""
+    ends = file_ends(spark, outermost(roots), as_csv)
+    return edge_lines(csv_records(spark, roots) if as_csv else lines_of(spark, roots)) if ends is None else ends
+
+
 def _json_cells(line: Column) -> Column:
     """Names and values that are there, by name."""
     return F.array_sort(F.filter(
@@ -256,7 +263,7 @@ def object_rows(
         read = roots if as_csv else [*roots, *manifests]
         if read:
             lines = csv_records(spark, read) if as_csv else lines_of(spark, read)
-            ends = edge_lines(lines)
+            ends = first_and_last(spark, read, as_csv=as_csv)
             edges.append(ends.withColumn("as_csv", F.lit(as_csv)))
             kinds = ["csv"] if as_csv else [k for k in LINE_FORMATS if k != "csv"]
             if roots:

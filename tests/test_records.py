@@ -8,8 +8,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import rows
+from tallykeep.sources import ranges
 from tallykeep.sources.files import control_cells
-from tallykeep.sources.objects import csv_records, lines_of, matched_paths, schema_classes
+from tallykeep.sources.objects import csv_records, edge_lines, lines_of, matched_paths, schema_classes
 from tallykeep.sources.records import csv_cells, quote_state
 
 
@@ -115,3 +117,37 @@ def test_roots_are_grouped_by_schema_and_errors_stay_with_their_root(spark, tmp_
 def test_unknown_file_systems_have_no_paths(spark, tmp_path):
     found = matched_paths(spark, ["nosuchscheme://x/y", str(tmp_path), str(tmp_path / "absent")])
     assert found["nosuchscheme://x/y"] is None and len(found[str(tmp_path)]) == 1 and found[str(tmp_path / "absent")] == []
+
+
+# -- the ends of files
+
+
+@pytest.mark.parametrize("quoted", [False, True])
+def test_ends_of_files_are_those_of_a_scan(spark, tmp_path, monkeypatch, quoted):
+    monkeypatch.setattr(ranges, "RANGE", 7)
+    texts = ["a,b\n1,2\n", "one", "\n\n x \r\n\r\n", "", "\n", '"a\nb",c\n1,"x\n\ny"\n', "h\n" + "z" * 5000, "h\n" + '"l\n' * 1 + 'm"' + "\n",
+             '5" pipe\nx\n', "a\r\nb\r\n"]
+    for i, text in enumerate(texts):
+        (tmp_path / f"f {i}.csv").write_bytes(text.encode())
+    lines = lines_of(spark, [f"file:{tmp_path}"], empty=True)
+    scanned = edge_lines((csv_records(spark, [f"file:{tmp_path}"]) if quoted else lines).where("value <> ''"))
+    assert rows(ranges.file_ends(spark, [f"file:{tmp_path}"], quoted), "file", "first_line", "last_line") == rows(
+        scanned, "file", "first_line", "last_line")
+
+
+def test_a_very_large_file_is_read_at_its_ends_only(spark, tmp_path):
+    with open(tmp_path / "big.csv", "wb") as file:  # a hole of 10 GB, which takes no space
+        file.write(b"id,CNT=0001\n")
+        file.seek(10 << 30)
+        file.write(b'\n1,"two\nlines, CNT=0002"\n')
+    start = time.perf_counter()
+    got = {p: control_cells(spark, str(tmp_path), "csv", p).first().meta_string for p in ("Header", "Footer")}
+    assert got == {"Header": "CNT=0001", "Footer": "two\nlines, CNT=0002"}
+    assert time.perf_counter() - start < 30
+
+
+def test_where_only_spark_can_open_files_lines_are_scanned(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("id,x\n1,y\n")
+    assert not ranges.can_be_opened("viewfs://store/x") and ranges.can_be_opened(f"file:{tmp_path}")
+    monkeypatch.setattr(ranges, "can_be_opened", lambda path: False)
+    assert control_cells(spark, str(tmp_path), "csv", "Footer").first().meta_string == "y"
