@@ -420,6 +420,11 @@ BODIES = {
                           group by all)
                     group by all)
               group by all)""",
+    "registry_lookup": "select digest, first_doc_id from new_entries",
+    "changed_objects": """
+        with a as (select object_name, count(*) as n from src group by 1), b as (select object_name, count(*) as n from landed group by 1)
+        select a.object_name as file, case when b.n is null then 'Gone' when a.n = b.n then 'Same' else 'Changed' end as state
+        from a left join b on a.object_name = b.object_name""",
     "control_cells_file": f"""
         select 'supplier' as object_name, 'Header' as place, 'note' as meta_string
         union all select 'supplier', 'Footer', {_control("count(*) + 1", "sum(s_nationkey)")} from supplier

@@ -18,7 +18,9 @@ from tallykeep.operators.profile import first_last_cell, object_profile
 from tallykeep.operators.reconcile import keyed_counts, total_counts
 from tallykeep.plans import runs, suite
 from tallykeep.plans.validate import validate
+from tallykeep.sinks import append_registry
 from tallykeep.sources import control_cells, manifest_control, param_lookup
+from tallykeep.sources.listing import listing_changes
 
 
 def _control(spark, sf_dir) -> DataFrame:
@@ -355,7 +357,28 @@ def profile_from_daily_state(spark, sf_dir):
         F.date_format("first_time", "yyyy-MM-dd").alias("first_day"), F.date_format("last_time", "yyyy-MM-dd").alias("last_day"))
 
 
+def registry_lookup(spark, sf_dir):
+    """As ``checksum_new_entries``, with a registry in buckets, which is read where it lies."""
+    arriving, known = _digest_sides(spark, sf_dir)
+    path = scratch(spark, "registry")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    append_registry(known.select("digest").distinct(), name, path, buckets=16)
+    return new_digests(arriving, spark.table(name), "doc_id")
+
+
+def changed_objects(spark, sf_dir):
+    """Files of orders by day whose size or last time is not what it was when their lines were not looked at yet."""
+    sent = v.table(spark, sf_dir, "orders").select(
+        v.file_label("orders_", "o_orderdate").alias("file"), v.money("o_totalprice").alias("amt"), "o_orderdate", "o_orderkey")
+    listings = [
+        rows.groupBy("file").agg(F.count("*").alias("length"), F.max("o_orderdate").alias("modified"))
+        for rows in (sent, v.with_lines(spark, sf_dir, sent))]
+    return listing_changes(*listings)
+
+
 QUERIES = {
+    "registry_lookup": registry_lookup,
+    "changed_objects": changed_objects,
     "validate_text": validate_text,
     "validate_text_ordered": validate_text_ordered,
     "control_cells_file": control_cells_file,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallykeep.functions import as_money, row_text
 from tallykeep.operators.digests import SUM_COLUMNS, content_text, hash_sums
-from tallykeep.sinks.tables import read_snapshot, write_snapshot
+from tallykeep.sinks.tables import latest_snapshot, read_snapshot, write_snapshot
 
 _ADDED = ["row_count", "balance", "text_size", *SUM_COLUMNS]
 
@@ -65,12 +65,13 @@ def advance_state(
     The last day of the state is read again, as it may not have been over; its row in the state is replaced. A state that isn't
     there yet is made of all rows. Rows that come later for days before that are not seen; ``merge_states`` adds them.
     """
-    known = read_snapshot(spark, root)
-    if known is None:
-        write_snapshot(daily_state(rows, key, time, columns, balance=balance), root)
+    base = latest_snapshot(spark, root)
+    if base is None:
+        write_snapshot(daily_state(rows, key, time, columns, balance=balance), root, base=0)
     else:
+        known = read_snapshot(spark, root)
         last = known.agg(F.max("day")).first()[0]
         if last is not None:
             known, rows = known.where(F.col("day") < F.lit(last)), days_of(rows, time, F.date_sub(F.lit(last), 1))
-        write_snapshot(merge_states(known, daily_state(rows, key, time, columns, balance=balance), key=key), root)
+        write_snapshot(merge_states(known, daily_state(rows, key, time, columns, balance=balance), key=key), root, base=base)
     return read_snapshot(spark, root)

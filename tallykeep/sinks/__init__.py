@@ -1,7 +1,9 @@
 from tallykeep.sinks.tables import (
-    append_jdbc, append_once, latest_snapshot, read_snapshot, update_open_runs, write_snapshot,
+    VersionConflict, append_jdbc, append_once, append_registry, latest_snapshot, read_snapshot, update_open_runs, vacuum_snapshots,
+    write_snapshot,
 )
 
 __all__ = [
-    "append_jdbc", "append_once", "latest_snapshot", "read_snapshot", "update_open_runs", "write_snapshot",
+    "VersionConflict", "append_jdbc", "append_once", "append_registry", "latest_snapshot", "read_snapshot", "update_open_runs",
+    "vacuum_snapshots", "write_snapshot",
 ]

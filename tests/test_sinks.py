@@ -1,10 +1,15 @@
 """Repeated appends and versions of a table."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tallykeep.sinks import append_once, latest_snapshot, read_snapshot, update_open_runs, write_snapshot
+from tallykeep.operators.digests import new_digests
+from tallykeep.sinks import (
+    VersionConflict, append_once, append_registry, latest_snapshot, read_snapshot, update_open_runs, vacuum_snapshots, write_snapshot,
+)
 
 
 def test_append_adds_only_new_keys(spark, tmp_path):
@@ -60,3 +65,73 @@ def test_closed_runs_are_written_once(spark, tmp_path):
         assert rows(read_snapshot(spark, f"{root}/open"), "run_id") == left
     closed = spark.read.parquet(f"{root}/closed")
     assert rows(closed, "run_id", F.col("end_day").cast("string")) == [(i, "2024-01-02") for i in range(3)]
+
+
+def test_of_writers_that_begin_together_one_wins(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    assert write_snapshot(spark.range(1), root, base=0) == 1
+
+    def write(i):
+        try:
+            return write_snapshot(spark.range(i + 2), root, base=1)
+        except VersionConflict:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(write, range(4)))
+    won = [i for i, v in enumerate(found) if v is not None]
+    assert len(won) == 1
+    assert read_snapshot(spark, root).count() == won[0] + 2
+    with pytest.raises(VersionConflict):
+        write_snapshot(spark.range(9), root, base=1)
+    assert read_snapshot(spark, root).count() == won[0] + 2
+
+
+def test_claims_of_failed_and_dead_writers(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    with pytest.raises(Exception):
+        write_snapshot(spark.range(1).select(F.raise_error(F.lit("no"))), root)
+    assert write_snapshot(spark.range(2), root) == 2
+    (tmp_path / "runs" / "_claims" / "3").write_text("")
+    with pytest.raises(VersionConflict):
+        write_snapshot(spark.range(3), root)
+    assert write_snapshot(spark.range(3), root, abandoned_after=0) == 4
+    assert read_snapshot(spark, root).count() == 3
+
+
+def test_vacuum_leaves_readers_their_version(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    for i in range(1, 5):
+        write_snapshot(spark.range(i), root)
+    held = spark.read.parquet(f"{root}/version=3")
+    assert vacuum_snapshots(spark, root) == []
+    assert sorted(vacuum_snapshots(spark, root, keep=2, older_than=0)) == [1, 2]
+    assert held.count() == 3 and read_snapshot(spark, root).count() == 4
+    assert write_snapshot(spark.range(5), root) == 5
+
+
+def test_a_bucketed_registry_is_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    entries = spark.range(300).selectExpr("sha2(cast(id as string), 256) as digest", "id as first_id")
+    for part in ("id < 100", "id >= 100"):
+        append_registry(entries.where(part.replace("id", "first_id")), "known_digests", path, buckets=8)
+    arrived = spark.range(290, 310).selectExpr("sha2(cast(id as string), 256) as digest", "id").union(
+        spark.range(295, 305).selectExpr("sha2(cast(id as string), 256) as digest", "id + 1000 as id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = new_digests(arrived, spark.table("known_digests"), "id")
+        assert rows(found, "first_id") == [(i,) for i in range(300, 310)]
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        scan = plan[:plan.index("known_digests")].splitlines()
+        above = plan[:plan.index("FileScan parquet spark_catalog.default.known_digests")]
+        depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+        lines, now = above.splitlines(), 10**6
+        chain = []
+        for line in reversed(lines):
+            if depth(line) < now:
+                now = depth(line)
+                chain.append(line.strip(" :+-"))
+        assert scan and not any(x.startswith("Exchange") for x in chain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE known_digests")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tallykeep.operators.profile import object_profile
+from tallykeep.sources.listing import listing_changes, revalidated
 from tallykeep.operators.rules import balance_control_check, count_control_check, zero_size_check
 from tallykeep.sources import (
     control_cells, param_lookup, query_options, read_control, read_job_args, read_listing,
@@ -177,3 +178,30 @@ def test_control_cells_of_files_with_other_columns(spark, tmp_path):
         ("Header", "folder", [("f", "CNT=0001")]), ("Footer", "folder", [("f", "CNT=0301")]),
     ):
         assert rows(control_cells(spark, str(folder), "csv", place, key=key)) == wanted
+
+
+def test_only_changed_objects_are_validated_again(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        spark.range(3).write.parquet(str(tmp_path / name))
+    jobs = spark.createDataFrame([(1, f"{tmp_path}/a"), (2, f"{tmp_path}/b"), (3, f"{tmp_path}/c"), (4, f"{tmp_path}/none"), (5, "")],
+                                 "job_id bigint, object_path string")
+    ran = []
+
+    def run(some):
+        ran.append({r.job_id for r in some.collect()})
+        return some.selectExpr("job_id", f"'run {len(ran)}' as text")
+
+    none = spark.createDataFrame([], "job_id bigint, text string")
+    nothing = spark.createDataFrame([], "file string, length bigint, modified timestamp")
+    first, seen = revalidated(spark, jobs, nothing, none, run)
+    first, seen = (spark.createDataFrame(df.collect(), df.schema) for df in (first, seen))
+    assert ran[-1] == {1, 2, 3, 4, 5} and first.count() == 5
+    again, _ = revalidated(spark, jobs, seen, first, run)
+    assert ran[-1] == {4, 5} and again.count() == 5
+    spark.range(5).write.mode("append").parquet(str(tmp_path / "b"))
+    more = jobs.union(spark.createDataFrame([(6, f"{tmp_path}/a")], jobs.schema))
+    again, now = revalidated(spark, more, seen, first, run)
+    assert ran[-1] == {2, 4, 5, 6}
+    assert dict(rows(again)) == {1: "run 1", 2: "run 3", 3: "run 1", 4: "run 3", 5: "run 3", 6: "run 3"}
+    states = listing_changes(seen, now).groupBy("state").count()
+    assert dict(rows(states))["New"] >= 1 and dict(rows(states))["Same"] >= 3
