@@ -122,13 +122,16 @@ def run_suite(
     for name in stages:
         one = rule_lists(assignment, name, limit).withColumnRenamed("rule_ids", f"_ids_{name}")
         lists = one if lists is None else lists.join(one, "job_id", "full")
-    of_stage = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("validation_type"), F.col(f"_ids_{name}").alias("rule_ids"),
-                 blank_object(name).alias("is_blank"))
+    by_stage = [
+        (F.lit(name).alias("validation_type"), F.col(f"_ids_{name}").alias("rule_ids"), blank_object(name).alias("is_blank"))
         for name in stages
-    ]))
-    assigned = measures.join(lists, "job_id", "left").select("*", of_stage.alias("_stage"))
-    judged = assigned.select("*", "_stage.*").selectExpr("*", *[sql for r in stage_rules for sql in _judged(r, available)])
+    ]
+    assigned = measures.join(lists, "job_id", "left")
+    if len(stages) == 1:
+        assigned = assigned.select("*", *by_stage[0])
+    else:
+        assigned = assigned.select("*", F.explode(F.array(*[F.struct(*c) for c in by_stage])).alias("_stage")).select("*", "_stage.*")
+    judged = assigned.selectExpr("*", *[sql for r in stage_rules for sql in _judged(r, available)])
     outcomes = ", ".join(_result(r, available) for r in stage_rules)
     results = judged.selectExpr(
         "job_id", "object_name", "object_type", "is_blank", "validation_type",
