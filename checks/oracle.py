@@ -69,14 +69,14 @@ VIEWS = {
         select o_orderkey, o_orderstatus, case when o_orderstatus = 'P' then floor(amt) else amt end as amt
         from (select o_orderkey, o_orderstatus, cast(o_totalprice as decimal(18,2)) as amt from orders)
         where o_orderkey in (select l_orderkey from lineitem)""",
-    "due": """
+    "due_slots": """
         select file_name, d + clock as due_time
         from (select file_name, clock, unnest(generate_series(a, b, interval 1 day)) as d
               from (select 'u' || user_id as file_name, cast(min(ts) as date) as a, cast(max(ts) as date) as b,
                            date_trunc('second', min(ts)) - date_trunc('day', min(ts)) as clock
                     from events group by user_id))""",
     "due_hits": """
-        select distinct file_name, due_time, ts from due join events on file_name = 'u' || user_id
+        select distinct file_name, due_time, ts from due_slots join events on file_name = 'u' || user_id
             and ts >= due_time - interval 12 hour and ts < due_time + interval 12 hour""",
     "file_rows": " union all ".join(_file(job, name) for job, name in enumerate(_FILES, 1)),
     "file_sums": f"""
@@ -441,7 +441,7 @@ BODIES = {
         from a full join b on a.o_orderkey = b.o_orderkey where a.v is distinct from b.v""",
     "arrival_calendar": """
         with found as (
-            select d.file_name, d.due_time, min(h.ts) as seen, count(h.ts) as n from due d
+            select d.file_name, d.due_time, min(h.ts) as seen, count(h.ts) as n from due_slots d
             left join (select h.file_name, h.due_time, e.ts from due_hits h join events e on h.file_name = 'u' || e.user_id and h.ts = e.ts) h
                 on h.file_name = d.file_name and h.due_time = d.due_time
             group by all),
