@@ -212,14 +212,22 @@ def jaccard(x: bytes, y: bytes, least: float) -> bool:
     return both >= least * (few + all_of - both)
 
 
+def _of_nodes(table: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of `table` with these nodes. Up to 2^20 nodes, 8 MB, are broadcast, so that the others aren't moved."""
+    nodes = nodes.distinct()
+    few = nodes.limit((1 << 20) + 1).count() <= 1 << 20
+    return table.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose shingles have a Jaccard similarity of `least`."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield frame.loc[[jaccard(x, y, least) for x, y in zip(frame.x, frame.y)], ["a", "b"]]
 
-    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    x, y = (_of_nodes(sets, pairs.select(F.col(end).alias("node"))) for end in ("a", "b"))
+    joined = pairs.join(x.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
+        y.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     return joined.select("a", "b", "x", "y").mapInPandas(work, "a long, b long")
 
 
@@ -407,18 +415,19 @@ class _Copies:
         self.add(_verified(pairs, self.sets, self.similarity))
         release(pairs, shuffles=True)
         nodes = coded.select("view", "code", "node")
-        sketches = self.texts.select("node", "sketch")
+        sketches = _of_nodes(self.texts.select("node", "sketch"), nodes.select("node"))
         now = self.rooted(nodes)
         scratch: list[DataFrame] = []
         likest = stage(_likest(_meeting_blocks(now, near, around, sketches, ["sketch"], 64, scratch), self.loose), "likest")
         release(now, *scratch)
         if not likest.isEmpty():
             # Only these can still be linked; first each to the likest, which leaves few components to compare in full.
-            pairs = likest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+            pairs = stage(likest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "likest_pairs")
             self.add(_verified(pairs, self.sets, self.similarity))
             now = self.rooted(nodes.join(likest, "node", "left_semi"))
-            scratch = []
-            met = _meeting_blocks(now, near, around, sketches.join(self.sets, "node"), ["sketch", "shingles"], 16, scratch)
+            scratch = [pairs]
+            both = _of_nodes(self.texts.select("node", "sketch", "shingles"), likest.select("node"))
+            met = _meeting_blocks(now, near, around, both, ["sketch", "shingles"], 16, scratch)
             self.add(_linked(met, self.loose, self.similarity))
             release(now, *scratch)
         release(likest, near, around, coded, heads, shuffles=True)
