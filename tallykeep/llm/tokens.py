@@ -22,20 +22,24 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def _ranks(path: str) -> dict[bytes, int] | None:
-    """The vocabulary as merge ranks, if the file is a byte-level BPE whose ids are in the order of its merges."""
+def _ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]] | None:
+    """The vocabulary as merge ranks and the added tokens, if the file is a byte-level BPE whose ids are in the order of
+    its merges and whose added tokens are taken wherever they stand."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     before, model = spec.get("pre_tokenizer") or {}, spec["model"]
     if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True) \
             or spec.get("normalizer") or model.get("type", "BPE") != "BPE" or model.get("dropout"):
         return None
-    special = {x["content"] for x in spec.get("added_tokens", [])}
+    added = spec.get("added_tokens", [])
+    if any(x.get(k) for x in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        return None
+    special = {x["content"]: x["id"] for x in added}
     byte_of = _byte_of()
     ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
     merged = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
     order = [model["vocab"][m.replace(" ", "")] for m in merged]
-    return ranks if order == sorted(order) else None
+    return (ranks, special) if order == sorted(order) else None
 
 
 @functools.lru_cache(1)
@@ -48,18 +52,18 @@ class Ids:
     """Ids as the `tokenizers` file gives them, packed as little-endian unsigned 32-bit numbers.
 
     The vocabulary of a byte-level BPE file is handed to tiktoken as ranks, which gives the same ids in a third of the
-    time. Other files are read with `tokenizers`. Names of special tokens in a text are ordinary text.
+    time. Other files are read with `tokenizers`. The name of a special token in a text is that token, as there.
     """
 
     def __init__(self, path: str) -> None:
-        ranks = _ranks(path)
-        if ranks is None:
+        known = _ranks(path)
+        if known is None:
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
             self.encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
         else:
-            self.encode = tiktoken.Encoding(
-                "own", pat_str=_BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            ranks, special = known
+            encoding = tiktoken.Encoding("own", pat_str=_BYTE_LEVEL, mergeable_ranks=ranks, special_tokens=special)
+            self.encode = functools.partial(encoding.encode, allowed_special="all")
 
     def packed(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         for text in texts:

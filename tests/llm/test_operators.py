@@ -50,12 +50,11 @@ def nothing(spark):
 def test_tokens_are_those_of_tokenizers():
     texts = ["", " ", "  a  b \n c  d <|endoftext|> 's  ", "é😀 x\x85y", "I'll we've 12 34,56!! ..\t\t z", "a" * 3000]
     plain = Tokenizer.from_file(BPE)
-    plain.encode_special_tokens = True
     wanted = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
     assert list(tokens.Ids(BPE).packed(texts)) == wanted
+    assert np.frombuffer(next(tokens.Ids(BPE).packed(["a<|endoftext|><|endoftext|> b"])), "<u4").tolist()[1:3] == [50256] * 2
     other = public_tokenizers.path("word_bpe_49k.json")
     lower = Tokenizer.from_file(other)
-    lower.encode_special_tokens = True
     assert list(tokens.Ids(other).packed(["Some WORDS"])) == [
         np.array(lower.encode("Some WORDS", add_special_tokens=False).ids, "<u4").tobytes()]
 
@@ -63,7 +62,6 @@ def test_tokens_are_those_of_tokenizers():
 def test_pieces_and_sequences(spark, odd):
     got = packing.pack_documents(odd, BPE, 64).toPandas()
     plain = Tokenizer.from_file(BPE)
-    plain.encode_special_tokens = True
     wanted = []
     for doc_id, text in ODD:
         ids = np.array([*plain.encode(text or "", add_special_tokens=False).ids, 0], "<u4")

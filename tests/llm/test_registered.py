@@ -50,7 +50,6 @@ def ran(spark, name):
 def test_op1_pieces(spark, texts):
     rows = registry.QUERIES["op1_best_fit_packing"](spark, FOLDER).collect()
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     by = collections.defaultdict(list)
     for r in rows:
         by[r.doc_id].append(r)
