@@ -43,7 +43,9 @@ def words(text: Column) -> Column:
 
 
 def _grams(found: Column, k: int) -> Column:
-    return F.transform(found, lambda w, i: F.xxhash64(w, *[F.get(found, i + j) for j in range(1, k)]))
+    """(gram, gram_words) at every word: the hash of k words in a row, fewer at the end, and the words with blanks between."""
+    joined = F.transform(found, lambda w, i: F.concat_ws(" ", w, *[F.get(found, i + j) for j in range(1, k)]))
+    return F.transform(joined, lambda g: F.struct(F.xxhash64(g).alias("gram"), g.alias("gram_words")))
 
 
 def template_grams(spark: SparkSession, phrases, notices, k: int) -> DataFrame:
@@ -58,9 +60,9 @@ def template_grams(spark: SparkSession, phrases, notices, k: int) -> DataFrame:
     ) for i, text, label, base in rows])).alias("t")
     all_words = spark.range(1).select(table).select("t.*")
     grams = all_words.select(
-        "template", "label", "base", F.size("words").alias("size"), "words",
-        F.posexplode(F.slice(_grams(F.col("words"), k), F.lit(1), F.size("words") - (k - 1))).alias("at", "gram"))
-    return grams.withColumn("gram_words", F.slice("words", F.col("at") + 1, k)).drop("words")
+        "template", "label", "base", F.size("words").alias("size"),
+        F.posexplode(F.slice(_grams(F.col("words"), k), F.lit(1), F.size("words") - (k - 1))).alias("at", "g"))
+    return grams.select("template", "label", "base", "size", "at", "g.*")
 
 
 def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, k: int = 2, slack: int = 2, share: float = 0.9) -> DataFrame:
@@ -74,19 +76,21 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, k: int = 2, slack: i
     # A row of its own for each document rides along, so that documents without a match need no second reading.
     itself = spark.range(1).select(
         F.lit(0).cast("long").alias("gram"), F.lit(-1).alias("template"), F.lit("").alias("label"),
-        F.lit(False).alias("base"), F.lit(0).alias("at"), F.lit(1).alias("size"), F.lit(None).cast("array<string>")
-        .alias("gram_words"))
+        F.lit(False).alias("base"), F.lit(0).alias("at"), F.lit(1).alias("size"), F.lit("").alias("gram_words"))
     grams = template_grams(spark, phrases, notices, k).unionByName(itself)
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
+    first = F.array(F.struct(F.lit(0).cast("long").alias("gram"), F.lit("").alias("gram_words")))
+    # A place has its own k words only, so that the rows of a text grow with its length, not with its square.
+    texts = texts.select("doc_id", "text_hash", F.size("words").alias("n_words"), "words")
     places = texts.select(
-        "doc_id", "text_hash", "words",
-        F.posexplode(F.concat(F.array(F.lit(0).cast("long")), _grams(F.col("words"), k))).alias("place", "gram"))
+        "doc_id", "text_hash", "n_words", F.posexplode(F.concat(first, _grams(F.col("words"), k))).alias("place", "g"))
+    places = places.select("doc_id", "text_hash", "n_words", "place", "g.gram", F.col("g.gram_words").alias("found"))
     # The templates are constants of this module or arguments, not data.
     hits = places.join(F.broadcast(grams), "gram").where(
-        "(place = 0) = (template = -1) AND (place = 0 OR slice(words, place, %d) = gram_words)" % k)
+        "(place = 0) = (template = -1) AND found = gram_words")
     hits = hits.select(
         "doc_id", "text_hash", "template", "label", "base", "size", "at",
-        F.when(F.col("place") == 0, F.size("words")).alias("n_words"),
+        F.when(F.col("place") == 0, F.col("n_words")).alias("n_words"),
         (F.col("place") - 1 - F.col("at")).alias("diagonal"))
     key = ["doc_id", "text_hash"]
     votes = hits.repartition(*key).groupBy(*key, "template", "label", "base", "size", "diagonal").agg(
