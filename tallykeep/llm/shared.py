@@ -14,7 +14,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A-Z become a-z; other ASCII characters that are neither letters nor digits become blanks.
@@ -170,10 +170,11 @@ def in_batches(frames: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFra
             yield frame.iloc[at:at + rows]
 
 
-def numbered(docs: DataFrame, name: str = "n") -> DataFrame:
+def numbered(docs: DataFrame, name: str = "n", group_rows: int = 2_000) -> DataFrame:
     """`docs` with a number that orders documents: by doc_id; null ids first and equal ids by the hash of their text.
 
-    Equal rows have equal numbers. Names of columns that begin with an underscore are for the operators.
+    Equal rows have equal numbers. Names of columns that begin with an underscore are for the operators. The texts of an id
+    are ranked in ranges of their hashes of about `group_rows`, however many there are.
     """
     text_hash = F.xxhash64("text")
     ids = docs.where("doc_id IS NOT NULL").select("doc_id", text_hash.alias("h")).distinct()
@@ -182,10 +183,15 @@ def numbered(docs: DataFrame, name: str = "n") -> DataFrame:
     none = F.shiftright(text_hash, 2) - F.lit(1 << 62)
     if most is None:
         return docs.withColumn(name, F.coalesce("doc_id", none).cast("long"))
-    smaller = ids.join(several, "doc_id", "left_semi")
-    rank = smaller.alias("x").join(smaller.alias("y"), "doc_id").where("y.h <= x.h").groupBy("doc_id", "x.h").agg(
-        F.count("*").alias("rank"))
-    rank = rank.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("rank").alias("_rank"))
+    ranges = F.lit(1) + F.floor(F.col("c") / group_rows)
+    part = F.shiftright((F.shiftright("h", 32) + F.lit(1 << 31)) * ranges, 32)
+    parted = ids.join(several, "doc_id").select("doc_id", "h", part.alias("part"))
+    before = Window.partitionBy("doc_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = parted.groupBy("doc_id", "part").agg(F.count("*").alias("n")).select(
+        "doc_id", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("doc_id", "part").orderBy("h"))
+    rank = parted.select("doc_id", "h", "part", within.alias("within")).join(sums, ["doc_id", "part"]).select(
+        F.col("doc_id").alias("_id"), F.col("h").alias("_h"), (F.col("within") + F.col("before")).alias("_rank"))
     joined = docs.join(rank, (F.col("doc_id") == F.col("_id")) & (text_hash == F.col("_h")), "left")
     n = F.col("doc_id") * F.lit(most) + F.coalesce(F.col("_rank"), F.lit(1)) - 1
     return joined.withColumn(name, F.coalesce(n, none).cast("long")).drop("_id", "_h", "_rank")
