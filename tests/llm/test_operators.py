@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -119,6 +120,28 @@ def test_license_scan_keeps_repeated_and_odd_rows(odd, nothing):
     assert licenses.scan(nothing).collect() == []
 
 
+def test_license_scan_of_a_long_text(spark):
+    text = " ".join("CC by" if i % 50 == 0 else f"w{i % 977}" for i in range(100_000))
+    got = licenses.scan(docs_of(spark, [(1, text)])).first()
+    n, places = brute.phrase_places(text)
+    assert got.n_words == n and sorted((s.start, s.label) for s in got.spans if s.base) == places
+
+
+# -- texts of one id
+
+
+def test_texts_of_one_id_are_numbered_by_hash(spark):
+    texts = [*[(5, f"t{i}") for i in range(50)], (5, "t0"), (4, None), (9, "a"), (9, "a"), (7, "b"), (7, "c"), (None, "x")]
+    docs = docs_of(spark, texts).withColumnRenamed("n", "n_").withColumn("h", F.xxhash64("text"))
+    found = {(r.doc_id, r.h): r.n for r in shared.numbered(docs, group_rows=3).collect()}
+    by_id = collections.defaultdict(list)
+    for doc_id, h in sorted(k for k in found if k[0] is not None):
+        by_id[doc_id].append(h)
+    assert {k: n for k, n in found.items() if k[0] is not None} == {
+        (i, h): 50 * i + at for i, hashes in by_id.items() for at, h in enumerate(hashes)}
+    assert all(n < 0 for (i, _), n in found.items() if i is None)
+
+
 # -- 3: language model
 
 
@@ -331,6 +354,33 @@ def test_tiles_are_longest_first_and_do_not_overlap():
     assert decontaminate.tiles([(0, 0), (1, 1), (2, 2), (3, 3), (10, 3), (11, 4), (12, 5)], 2) == [(0, 0, 5), (12, 5, 2)]
 
 
+def test_tiles_of_windows_are_those_of_pairs(monkeypatch):
+    draw = random.Random(3)
+    for _ in range(400):
+        seed, kinds = draw.choice([1, 2, 3, 5]), draw.choice([1, 2, 3, 5])
+        doc, item = ([draw.randrange(kinds) for _ in range(draw.randrange(1, n))] for n in (40, 25))
+        item += doc[5:draw.randrange(5, 25)]
+        sides = [collections.defaultdict(list), collections.defaultdict(list)]
+        for side, words in zip(sides, (doc, item)):
+            for i in range(len(words) - seed + 1):
+                side[tuple(words[i:i + seed])].append(i)
+        both = sorted(set(sides[0]) & set(sides[1]))
+        places = [[np.array(side[g], np.int32) for g in both] for side in sides]
+        monkeypatch.setattr(decontaminate, "_FEW", 10**9)
+        wanted = decontaminate.tiles_of_places(*places, seed)
+        monkeypatch.setattr(decontaminate, "_FEW", -1)
+        assert not both or decontaminate.tiles_of_places(*places, seed) == wanted
+
+
+def test_items_of_one_word(spark):
+    items = spark.createDataFrame([(1, "w " * 4000), (2, "w " * 5000), (2, "v " * 5000)], "item_id long, text string")
+    texts = [(1, "a " + "w " * 4000), (1, "a " + "w " * 4000), (2, ("w " * 900 + "x ") * 5), (3, "v " * 4000 + "u " + "v " * 1000)]
+    got = decontaminate.contaminated(docs_of(spark, texts), items).collect()
+    assert {r.doc_id: [(x.item_id, x.coverage) for x in r["items"]] for r in got} == {
+        1: [(1, 1.0), (2, 0.8)], 2: [(1, 1.0), (2, 0.9)], 3: [(2, 1.0)]}
+    assert len(got) == 3
+
+
 def test_contaminated_documents(spark, odd, nothing):
     word = [f"w{i}" for i in range(40)]
     items = spark.createDataFrame(
