@@ -150,7 +150,8 @@ def validate(
     """Suite results of all jobs (see ``run_suite``), read from where the jobs say.
 
     ``job_args`` are as ``read_job_args`` gives them. Only these settings, a short row per
-    job, come to the driver, which looks up the paths. The cluster reads all text objects in one scan for their
+    job, come to the driver, which looks up the paths; with a ``registry`` also the sizes and digest of each job's object, so
+    that the objects are read once, however often the results are. The cluster reads all text objects in one scan for their
     edges and one for their rows, and parquet objects in one for each schema, whatever the number of jobs. A path may be a
     file, a folder with all below it, or a glob. Jobs whose path can't be looked up, whose file type is not known or whose
     parquet footers can't be read or merged end in an error; the others run.
@@ -205,9 +206,11 @@ def validate(
         if ordered and of_files is not None:
             unordered = F.coalesce(whole_digest(F.col("file_digests"), digest_bits), unordered)
         measured = measured.select("job_id", *SIZES, unordered.alias("digest"))
-        by_job.append(measured if registry is None else flag_duplicates(
-            measured, registry.select(F.col("checksum_value").alias("digest")), "job_id"
-        ))
+        if registry is not None:
+            # Read twice here, and all objects with it, unless the short row per job is there already.
+            measured = spark.createDataFrame(measured.collect(), measured.schema)
+            measured = flag_duplicates(measured, registry.select(F.col("checksum_value").alias("digest")), "job_id")
+        by_job.append(measured)
     by_job.append(control_strings(spark, config, places, edges))
     if run_query is not None:
         query_control = asked_totals(spark, config, run_query)

@@ -134,6 +134,22 @@ def _variants(files: DataFrame, wanted: DataFrame) -> DataFrame:
 
 VARIANT = ["file", "kind", "headerless", "balance_name", "position"]
 
+# Up to so many files have their ways of being looked at broadcast to the rows, one short row each.
+FEW_FILES = 1 << 17
+
+
+def _few(files: DataFrame) -> bool:
+    return files.limit(FEW_FILES + 1).count() <= FEW_FILES
+
+
+def _with_ways(rows: DataFrame, ways: DataFrame, few: bool) -> DataFrame:
+    """``rows`` with the ways in which jobs look at their file.
+
+    A file's rows have one key, so a shuffle by it would bring all rows of a large file to one task. Of very many files
+    no single one is much of the whole.
+    """
+    return rows.join(F.broadcast(ways) if few else ways, "file")
+
 
 def line_rows(lines: DataFrame, edges: DataFrame, wanted: DataFrame, *, as_csv: bool) -> DataFrame:
     """Rows ``(*VARIANT, block_start, row_seq, sign, text, amount)`` of the text objects, which are all csv or all not.
@@ -211,7 +227,7 @@ def _files_below(spark: SparkSession, roots: list[str]) -> DataFrame:
     return listed.select(F.replace("path", F.lit(":///"), F.lit(":/")).alias("file"))
 
 
-def _parquet_rows(df: DataFrame, files: DataFrame, balances: list[str]) -> DataFrame:
+def _parquet_rows(df: DataFrame, files: DataFrame, balances: list[str], few: bool) -> DataFrame:
     """As ``line_rows``, of the ``files`` with the ways in which jobs look at them. A cell is written with its column's name and a null one not at all, so the text of a row does not
     depend on the columns of other objects."""
     cells = []
@@ -224,7 +240,7 @@ def _parquet_rows(df: DataFrame, files: DataFrame, balances: list[str]) -> DataF
             amount = F.when(F.col("balance_name") == name, as_money(F.col(f"`{name}`"))).otherwise(amount)
     index = F.col("_metadata.row_index")
     rows = df.select("*", _file_path(), F.shiftright(index, 20).alias("block_start"), index.alias("row_seq"))
-    return rows.join(files, "file").select(
+    return _with_ways(rows, files, few).select(
         *VARIANT, "block_start", "row_seq", F.lit(1).alias("sign"), F.concat(*cells).alias("text"), amount.alias("amount"))
 
 
@@ -273,8 +289,8 @@ def object_rows(
     if classes:
         balances = sorted({w[4] for w in in_parquet if w[4]})
         listed = _files_below(spark, [r for roots in classes.values() for r in roots])
-        files = _variants(listed, looked.where(F.col("kind") == "parquet"))
-        parts += [_parquet_rows(df, files, balances) for df in _class_frames(spark, classes)]
+        files, few = _variants(listed, looked.where(F.col("kind") == "parquet")), _few(listed)
+        parts += [_parquet_rows(df, files, balances, few) for df in _class_frames(spark, classes)]
     return _union(parts), looked, _union(edges), unreadable
 
 

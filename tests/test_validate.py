@@ -306,3 +306,57 @@ def test_objects_of_many_schemas_keep_their_own_width(spark, tmp_path):
     rules = spark.createDataFrame([(i, "Pre", 3) for i in range(30)], schemas.RULE_ASSIGNMENT)
     ran = validate(spark, read_job_args(spark, str(tmp_path / "args.csv")), rules, file_metadata=bounds)
     assert rows(suite_summary(ran), "summary") == [("ThresholdValidation passed",)] * 30
+
+
+def _with_registry(spark, tmp_path, kinds, digest):
+    """Objects of these kinds validated with rule 11: what was found, and the results."""
+    lines = []
+    for i, kind in enumerate(kinds, 1):
+        frame = spark.range(50).select("id", (F.col("id") * 2).alias("amt")).coalesce(1)
+        path = f"{tmp_path}/{kind}{i}"
+        frame.write.csv(path, header=True) if kind == "csv" else getattr(frame.write, kind)(path)
+        lines.append(f"{i},{path},{kind}{i},File,{kind},File,amt")
+    empty = spark.createDataFrame([], schemas.CHECKSUM_REGISTRY)
+    return _values(spark, _jobs(spark, tmp_path, lines), (11,), registry=empty, digest=digest)
+
+
+def _rows_of(spark, tmp_path, kind):
+    """Rows of an object of one file, and the frame of what is asked of it."""
+    spark.range(50).select("id", (F.col("id") * 2).alias("amt")).coalesce(1).write.option("header", True).format(kind).save(f"{tmp_path}/o")
+    place = validate_module.matched_paths(spark, [f"{tmp_path}/o"])[f"{tmp_path}/o"][0]
+    found, looked, _, _ = validate_module.object_rows(spark, [(1, place, kind, False, "amt", None)], [])
+    return found, looked
+
+
+@pytest.fixture
+def no_small_side(spark):
+    """No join is broadcast for the size of a side alone, as where files are large."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_a_large_parquet_file_do_not_meet_in_one_task(spark, tmp_path, no_small_side):
+    found, looked = _rows_of(spark, tmp_path, "parquet")
+    assert "hashpartitioning(file" not in _plan(found)
+    assert rows(validate_module.object_measures(found, looked, ordered=False), "row_count", F.col("balance").cast("int")) == [(50, 2450)]
+
+
+def test_objects_are_read_once_with_a_registry(spark, tmp_path):
+    found, ran = _with_registry(spark, tmp_path, ["parquet"], "unordered")
+    assert found[1, 11][1] == "Passed"
+    assert "Relation [id" not in ran._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_files_too_many_to_broadcast_give_the_same(spark, tmp_path, monkeypatch):
+    from tallykeep.sources import objects
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    few, _ = _with_registry(spark, tmp_path / "a", ["parquet", "csv", "json"], "unordered")
+    monkeypatch.setattr(objects, "FEW_FILES", 0)
+    many, _ = _with_registry(spark, tmp_path / "b", ["parquet", "csv", "json"], "unordered")
+    assert few == many and len(few) == 3
