@@ -151,7 +151,7 @@ def _with_ways(rows: DataFrame, ways: DataFrame, few: bool) -> DataFrame:
     return rows.join(F.broadcast(ways) if few else ways, "file")
 
 
-def line_rows(lines: DataFrame, edges: DataFrame, wanted: DataFrame, *, as_csv: bool) -> DataFrame:
+def line_rows(lines: DataFrame, edges: DataFrame, wanted: DataFrame, *, as_csv: bool, few: bool) -> DataFrame:
     """Rows ``(*VARIANT, block_start, row_seq, sign, text, amount)`` of the text objects, which are all csv or all not.
 
     A header line comes twice, once with sign -1, so that it drops out of every sum.
@@ -164,7 +164,7 @@ def line_rows(lines: DataFrame, edges: DataFrame, wanted: DataFrame, *, as_csv:
         cells = F.when(is_json, named).otherwise(F.array("value"))
         mine = F.filter(entries, lambda e: e["key"] == F.col("balance_name"))
         amount = F.when(is_json, F.get(F.transform(mine, lambda e: e["value"]), F.lit(0)))
-        rows = rows.join(looked, "file")
+        rows = _with_ways(rows, looked, few)
     else:
         ways = _variants(edges.select("file", "first_line"), wanted).withColumn("_names", csv_cells(F.col("first_line")))
         named = ~F.col("headerless")
@@ -173,7 +173,7 @@ def line_rows(lines: DataFrame, edges: DataFrame, wanted: DataFrame, *, as_csv:
         headers = looked.where("width is not null").select(
             "file", F.lit(None).cast("long").alias("block_start"), F.lit(None).cast("long").alias("row_seq"),
             F.col("first_line").alias("value"), F.lit(-1).alias("sign"), *VARIANT[1:], "width", "at")
-        rows = rows.join(looked.drop("first_line"), "file").unionByName(headers).withColumn("_cells", csv_cells(F.col("value")))
+        rows = _with_ways(rows, looked.drop("first_line"), few).unionByName(headers).withColumn("_cells", csv_cells(F.col("value")))
         none = F.array_repeat(F.lit(None).cast("string"), F.col("width"))
         # As many cells as the header has.
         cells = F.when(F.col("width").isNull(), F.col("_cells")).otherwise(
@@ -283,7 +283,8 @@ def object_rows(
             edges.append(ends.withColumn("as_csv", F.lit(as_csv)))
             kinds = ["csv"] if as_csv else [k for k in LINE_FORMATS if k != "csv"]
             if roots:
-                parts.append(line_rows(lines, ends, looked.where(F.col("kind").isin(*kinds)), as_csv=as_csv))
+                few = _few(_files_below(spark, outermost(read)))
+                parts.append(line_rows(lines, ends, looked.where(F.col("kind").isin(*kinds)), as_csv=as_csv, few=few))
     in_parquet = [w for w in wanted if w[2] == "parquet"]
     classes, unreadable = schema_classes(spark, [w[1] for w in in_parquet])
     if classes:

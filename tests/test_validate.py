@@ -360,3 +360,10 @@ def test_files_too_many_to_broadcast_give_the_same(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(objects, "FEW_FILES", 0)
     many, _ = _with_registry(spark, tmp_path / "b", ["parquet", "csv", "json"], "unordered")
     assert few == many and len(few) == 3
+
+
+@pytest.mark.parametrize("kind", ["csv", "json"])
+def test_rows_of_a_large_text_file_do_not_meet_in_one_task(spark, tmp_path, kind, no_small_side):
+    found, looked = _rows_of(spark, tmp_path, kind)
+    assert "hashpartitioning(file" not in _plan(found)
+    assert rows(validate_module.object_measures(found, looked, ordered=False), "row_count", F.col("balance").cast("int")) == [(50, 2450)]
