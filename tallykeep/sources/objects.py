@@ -253,15 +253,13 @@ def file_sums(rows: DataFrame) -> DataFrame:
 
 
 def file_digests(rows: DataFrame, bits: int) -> DataFrame:
-    """``(*VARIANT, digest)``, the ordered digest of each file's rows without its header."""
-    key = F.to_json(F.struct(*VARIANT))
+    """``(_key, digest)``, the ordered digest of each file's rows without its header; the key is the VARIANT as json."""
     hashed = rows.where("sign = 1").select(
-        key.alias("_key"), *VARIANT, "block_start", "row_seq", F.sha2("text", 256).alias("row_digest"))
+        F.to_json(F.struct(*VARIANT)).alias("_key"), "kind", "headerless", "block_start", "row_seq", F.sha2("text", 256).alias("row_digest"))
     ordered = with_ordinals(hashed, "_key", F.col("block_start"), "row_seq", "row_digest")
     has_header = F.when((F.col("kind") == "csv") & ~F.col("headerless"), 1).otherwise(0)
     ordered = ordered.withColumn("ordinal", F.col("ordinal") - has_header).where("ordinal >= 0")
-    ways = rows.select(key.alias("_key"), *VARIANT).distinct()
-    return tree_digest(ordered, "_key", bits=bits).join(ways, "_key").select(*VARIANT, "digest")
+    return tree_digest(ordered, "_key", bits=bits).select("_key", "digest")
 
 
 def object_rows(
@@ -306,9 +304,7 @@ def object_measures(rows: DataFrame, wanted: DataFrame, *, ordered: bool, bits:
     """``(job_id, row_count, balance, text_size, *SUM_COLUMNS, file_digests)`` of every object that has a row or header."""
     sums = file_sums(rows)
     if ordered:
-        digests = file_digests(rows, bits)
-        same = [F.col(f"s.{c}").eqNullSafe(F.col(f"d.{c}")) for c in VARIANT]
-        sums = sums.alias("s").join(digests.alias("d"), same, "left").select("s.*", "d.digest")
+        sums = sums.withColumn("_key", F.to_json(F.struct(*VARIANT))).join(file_digests(rows, bits), "_key", "left").drop("_key")
     else:
         sums = sums.withColumn("digest", F.lit(None).cast("string"))
     jobs = wanted.select("job_id", "root", *[F.col(c).alias(f"_{c}") for c in VARIANT[1:]])

@@ -367,3 +367,11 @@ def test_rows_of_a_large_text_file_do_not_meet_in_one_task(spark, tmp_path, kind
     found, looked = _rows_of(spark, tmp_path, kind)
     assert "hashpartitioning(file" not in _plan(found)
     assert rows(validate_module.object_measures(found, looked, ordered=False), "row_count", F.col("balance").cast("int")) == [(50, 2450)]
+
+
+def test_the_ordered_digest_reads_rows_no_more_often_than_it_must(spark, tmp_path):
+    found, looked = _rows_of(spark, tmp_path, "json")
+    plan = validate_module.object_measures(found, looked, ordered=True)._jdf.queryExecution().optimizedPlan().toString()
+    once = found._jdf.queryExecution().optimizedPlan().toString().count("Relation [value")
+    # For the sums, for the digests and for the number of rows in each bucket.
+    assert plan.count("Relation [value") == 3 * once
