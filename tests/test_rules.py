@@ -108,3 +108,13 @@ def test_keyed_counts_keep_keys_of_either_store(spark):
     assert rows(checked) == [(1, 2, 1, "Failed"), (2, 1, 0, "Failed"), (3, 0, 1, "Failed")]
     assert rows(total_counts(left, right)) == [(3, 2)]
     assert rows(total_counts(left, right.where("false"))) == [(3, 0)]
+
+
+def test_assignments_are_dealt_out_before_repeats_are_dropped(spark):
+    from tallykeep.operators.assignment import assigned_rules
+    few = spark.range(0, 3000, 1, 1).selectExpr("id % 100 as job_id", "'Pre' as validation_type", "cast(id % 6 as int) as rule_id")
+    numbered = assigned_rules(few, limit=2)
+    assert rows(numbered.groupBy("rn").count()) == [(1, 100), (2, 100)]
+    plan = numbered._jdf.queryExecution().sparkPlan().toString()
+    # The lowest step that holds different rows comes after they are dealt out by what they are and where they come from.
+    assert "_from" in plan and plan.rindex("HashAggregate") < plan.rindex("Exchange hashpartitioning(job_id")
