@@ -360,7 +360,7 @@ def _mixed(rooted: DataFrame) -> DataFrame:
     apart = keys.groupBy("key").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a < b").select("key")
     meeting = keys.join(apart, "key", "left_semi").select("view", "code").distinct()
     found = stage(codes.join(meeting, ["view", "code"], "left_semi").select("view", "code", "head"), "mixed")
-    release(codes, keys)
+    release(codes, keys, shuffles=True)
     return found
 
 
@@ -380,7 +380,7 @@ class _Copies:
             self.links.append(links)
             last = self.roots
             self.roots = stage(connected_components(functools.reduce(DataFrame.union, self.links)), "roots")
-            release(last)
+            release(last, shuffles=True)
 
     def rooted(self, coded: DataFrame) -> DataFrame:
         return stage(coded.join(self.roots, "node", "left").select(
@@ -399,7 +399,7 @@ class _Copies:
         # Most middles have one code, which meets no other there.
         shared = neighbours.groupBy("view", "middle").count().where("count > 1").select("view", "middle")
         around = stage(neighbours.join(shared, ["view", "middle"], "left_semi"), "shared_middles")
-        release(neighbours, keys)
+        release(neighbours, keys, shuffles=True)
         coded = stage(first.join(heads.select("view", "code"), ["view", "code"], "left_semi"), "coded")
         release(first)
         stars = _starred(near, around)
@@ -435,6 +435,7 @@ class _Copies:
 
 def near_copies(
     docs: DataFrame, shingle: int = 5, similarity: float = 0.8, many: int = 8, group_most: int = 64, loose: float = 0.65,
+    together: int = 1 << 17,
 ) -> DataFrame:
     """(doc_id, node, root): groups of texts that are alike, whatever the length of the chain between them.
 
@@ -445,7 +446,9 @@ def near_copies(
     that of another component. A link stands if the sets of different `shingle`-word shingles of its texts have a Jaccard
     similarity of at least `similarity`. Sketches of them only keep pairs from that test whose estimate, with a standard
     error of 0.025 at 0.8, is below `loose`. node is the text's 64-bit hash, so equal texts are one; of
-    10^9 different texts, 0.03 pairs share one. Tables between the steps are deleted as soon as they are read.
+    10^9 different texts, 0.03 pairs share one. Tables between the steps are deleted as soon as they are read. Of up to
+    `together` texts the views after the first are looked at in two turns instead of four: the groups are the same, and the
+    driver plans, and keeps the records of, fewer jobs.
     """
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in in_batches(frames, 500):
@@ -460,9 +463,13 @@ def near_copies(
         trimmed(work), "node long, codes array<long>, sketch binary, shingles binary")
     texts = stage(seen.groupBy("node").agg(*[F.first(c).alias(c) for c in ("codes", "sketch", "shingles")]), "texts")
     copies = _Copies(texts, group_most, similarity, loose)
-    # The first view finds most copies; later ones have little left to do and go two by two.
-    for some in [[0], [1], *[list(range(v, min(v + 2, many))) for v in range(2, many, 2)]]:
-        if some[0] < many:
+    # The first view finds most copies; later ones have little left to do and go two by two, those of few texts in halves.
+    if texts.limit(together + 1).count() <= together:
+        turns = [[0], list(range(1, many // 2)), list(range(max(1, many // 2), many))]
+    else:
+        turns = [[0], [1], *[list(range(v, min(v + 2, many))) for v in range(2, many, 2)]]
+    for some in turns:
+        if some and some[0] < many:
             copies.look(some)
     release(texts, *copies.links[1:])
     return docs.select("doc_id", node.alias("node")).join(copies.roots, "node", "left").select(

@@ -508,3 +508,20 @@ def test_folding_and_round_trip(spark):
 def test_escapes_are_reversible(spark, text):
     row = spark.range(1).select(chat.escaped(F.lit(text)).alias("e")).select("e", chat.unescaped(F.col("e")).alias("u")).first()
     assert row.u == text and "</turn>" not in row.e and "##" not in row.e
+
+
+def test_few_texts_are_looked_at_in_fewer_turns_with_the_same_groups(spark, monkeypatch):
+    turns, look = [], simhash._Copies.look
+    monkeypatch.setattr(simhash._Copies, "look", lambda self, views: (turns.append(views), look(self, views))[1])
+    base = " ".join(f"word{i}" for i in range(120))
+    texts = [base, base + " more", base.replace("word7 ", "other "), " ".join(f"else{i}" for i in range(90)), "short text"]
+    docs = docs_of(spark, list(enumerate(texts)))
+    few = rows(simhash.near_copies(docs, many=4), "doc_id", "root")
+    assert turns == [[0], [1], [2, 3]]
+    del turns[:]
+    few8 = rows(simhash.near_copies(docs), "doc_id", "root")
+    assert turns == [[0], [1, 2, 3], [4, 5, 6, 7]]
+    del turns[:]
+    many8 = rows(simhash.near_copies(docs, together=0), "doc_id", "root")
+    assert turns == [[0], [1], [2, 3], [4, 5], [6, 7]]
+    assert few == few8 == many8 and len({root for _, root in few}) == 3
