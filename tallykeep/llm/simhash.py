@@ -14,14 +14,13 @@ of links from the smallest joins them. Nothing is lost, and the links stay in pr
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, pairwise
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallykeep.llm.components import connected_components
@@ -32,6 +31,12 @@ _GENERATOR = 0b101011100011
 _PARITY_BITS = 11
 MAX_DISTANCE = 2
 
+#: The bits of six parts of a code, and every two of them: two codes at most 2 bits apart are equal but for two parts.
+_PARTS = [np.int64(np.uint64((1 << to) - (1 << at)).view(np.int64)) for at, to in pairwise((0, 11, 22, 33, 43, 53, 64))]
+_COMBOS = list(combinations(range(6), 2))
+#: Of 64 bins, so that a pair of similarity 0.8 is as far (six standard errors) above it as above 0.65 of 256 bins.
+_BRIEF_LEAST = 0.5
+
 
 def fingerprint(text: str | None, shingle: int = 3) -> bytes:
     """SimHash of a text's word shingles, 8 bytes, most significant first: a bit is set if it is in over half of them."""
@@ -195,10 +200,10 @@ def packed(h: np.ndarray) -> bytes:
     return np.unique((h >> np.uint64(32)).astype("<u4")).tobytes()
 
 
-def sketch(h: np.ndarray) -> bytes:
-    """One-permutation MinHash of sorted shingles: a byte for the smallest hash of each of 256 bins, 0 if empty."""
-    bins, first = np.unique(h >> np.uint64(56), return_index=True)
-    out = np.zeros(256, np.uint8)
+def sketch(h: np.ndarray, bits: int = 8) -> bytes:
+    """One-permutation MinHash of sorted shingles: a byte for the smallest hash of each of 2^bits bins, 0 if empty."""
+    bins, first = np.unique(h >> np.uint64(64 - bits), return_index=True)
+    out = np.zeros(1 << bits, np.uint8)
     out[bins.astype(np.int64)] = (h[first] * np.uint64(0xA0761D6478BD642F) >> np.uint64(56)) % np.uint64(255) + np.uint64(1)
     return out.tobytes()
 
@@ -236,83 +241,100 @@ def _similar(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             x, y = (np.frombuffer(b"".join(frame[c]), np.uint8).reshape(-1, 256) for c in ("x", "y"))
-            shared, either = ((x == y) & (x > 0)).sum(axis=1), ((x > 0) | (y > 0)).sum(axis=1)
-            yield frame.loc[shared >= least * np.maximum(either, 1), ["a", "b"]]
+            yield frame.loc[_estimates(x, y) >= least, ["a", "b"]]
 
     joined = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a").join(
         sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b")
     return joined.select("a", "b", "x", "y").mapInPandas(work, "a long, b long")
 
 
-def _meeting_blocks(
-    rooted: DataFrame, near: DataFrame, neighbours: DataFrame, extra: DataFrame, columns: list[str], block: int,
-    scratch: list[DataFrame],
-) -> DataFrame:
-    """Pairs of blocks of texts whose codes meet and that aren't all in one component yet, as arrays by column.
-
-    `rooted` is (view, code, node, root). The texts of a code are dealt to blocks of about `block`, and every block of a
-    code meets every block of the codes near it, so a code of many texts is many rows of small size. Tables that the
-    result is read from are added to `scratch`.
+def _block_keys(view: str, code: str) -> Column:
+    """(combo, key) of the four parts that are left of a code without each two of six: two codes at most 2 bits apart share one."""
+    left = [~(_PARTS[p] | _PARTS[q]) for p, q in _COMBOS]
+    return F.explode(F.array(*[
+        F.struct(F.lit(c).alias("combo"), F.xxhash64(view, F.lit(c), F.col(code).bitwiseAND(F.lit(int(mask)).cast("long"))).alias("key"))
+        for c, mask in enumerate(left)]))
+
+
+def _first_met(differ: np.ndarray, combo: int) -> np.ndarray:
+    """Whether codes that differ in these bits, two at most, meet at no key of a lower combo: a pair is looked at once."""
+    p, q = _COMBOS[combo]
+    met = np.ones(differ.shape, bool)
+    if p:
+        met &= differ & _PARTS[p] != 0
+    if q > 1:
+        met &= differ & _PARTS[q] != 0
+    return met
+
+
+def _estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The estimated Jaccard similarities of the sketches in the rows of x and y."""
+    shared, either = ((x == y) & (x > 0)).sum(axis=1), ((x > 0) | (y > 0)).sum(axis=1)
+    return shared / np.maximum(either, 1)
+
+
+def _alike(r, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, estimate) of the texts of two blocks, or two of one, that are of different components, at most 2 bits apart, first
+    met at this key and estimated at `least`."""
+    within = r.node_b is None
+    code, root, sketches = ({x: getattr(r, f"{c}_{'a' if within else x}") for x in ("a", "b")} for c in ("code", "root", "sketch"))
+    sketches = {x: np.frombuffer(b"".join(y), np.uint8).reshape(len(y), -1) for x, y in sketches.items()}
+    differ = np.asarray(code["a"])[:, None] ^ np.asarray(code["b"])
+    met = (np.bitwise_count(differ.view(np.uint64)) <= MAX_DISTANCE) & (np.asarray(root["a"])[:, None] != np.asarray(root["b"]))
+    met &= _first_met(differ, r.combo)
+    i, j = np.nonzero(np.triu(met) if within else met)
+    found = [np.zeros(0)]
+    for at in range(0, len(i), 65536):
+        found.append(_estimates(sketches["a"][i[at:at + 65536]], sketches["b"][j[at:at + 65536]]))
+    estimate = np.concatenate(found)
+    keep = estimate >= least
+    return i[keep], j[keep], estimate[keep]
+
+
+def _blocks(members: DataFrame, extra: DataFrame, columns: list[str], size: int, scratch: list[DataFrame]) -> DataFrame:
+    """The texts of each key that has some of different components, in blocks of about `size`: each block alone (the columns of
+    b are null) and every two of a key.
+
+    `members` is (key, combo, node, code, root). A key of many texts is many rows of small size, and most keys are one block.
+    Tables that the result is read from are added to `scratch`.
     """
-    ends = stage(rooted.groupBy("view", "code").agg(
-        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")), "ends")
-    end = {x: ends.select("view", F.col("code").alias(x), F.col("n").alias(f"n_{x}"), F.col("low").alias(f"low_{x}"),
-                          F.col("high").alias(f"high_{x}")) for x in ("a", "b")}
-    apart = F.least("low_a", "low_b") < F.greatest("high_a", "high_b")
-    within = end["a"].where("low_a < high_a").select("view", "a", F.col("a").alias("b"), "n_a", F.col("n_a").alias("n_b"))
-    across = near.join(end["a"], ["view", "a"]).join(end["b"], ["view", "b"]).where(apart)
-    placed = neighbours.join(ends, ["view", "code"])
-    mixed = placed.groupBy("view", "middle").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
-    placed = placed.join(mixed.select("view", "middle"), ["view", "middle"])
-    side = {x: placed.select("view", "middle", F.col("code").alias(x), F.col("n").alias(f"n_{x}"),
-                             F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in ("a", "b")}
-    # A middle has 65 neighbours at most.
-    around = side["a"].join(side["b"], ["view", "middle"]).where((F.col("a") < F.col("b")) & apart)
-    wanted = ["view", "a", "b", "n_a", "n_b"]
-    todo = stage(across.select(wanted).union(around.select(wanted)).distinct().union(within.select(wanted)), "meetings")
-    used = todo.select("view", F.col("a").alias("code")).union(todo.select("view", "b")).distinct()
-    parts = F.ceil(F.col("n") / block)
-    members = rooted.join(ends.select("view", "code", "n"), ["view", "code"]).join(used, ["view", "code"]).join(
-        extra, "node").withColumn("nth", F.pmod(F.xxhash64("node"), parts))
-    blocks = members.groupBy("view", "code", "nth").agg(F.collect_list(F.struct("node", "root", *columns)).alias("m"))
-    blocks = stage(blocks.select("view", "code", "nth", *[F.col(f"m.{c}").alias(c) for c in ("node", "root", *columns)]), "blocks")
-    scratch += [ends, todo, blocks]
-    nth = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / block) - 1))
-    met = todo.select("*", nth("n_a").alias("nth_a")).select("*", nth("n_b").alias("nth_b")).where("a < b OR nth_a <= nth_b")
-    for x in ("a", "b"):
-        met = met.join(blocks.select("view", F.col("code").alias(x), F.col("nth").alias(f"nth_{x}"), *[
-            F.col(c).alias(f"{c}_{x}") for c in ("node", "root", *columns)]), ["view", x, f"nth_{x}"])
-    return met.select(*[f"{c}_{x}" for x in ("a", "b") for c in ("node", "root", *columns)])
-
-
-def _alike(x: list[bytes], y: list[bytes]) -> np.ndarray:
-    """The estimates of the similarity of every two of two lists of sketches."""
-    x, y = (np.frombuffer(b"".join(z), np.uint8).reshape(-1, 256) for z in (x, y))
-    out = np.empty((len(x), len(y)))
-    for i, one in enumerate(x):
-        out[i] = ((one == y) & (one > 0)).sum(axis=1) / np.maximum(((one > 0) | (y > 0)).sum(axis=1), 1)
-    return out
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    parts = sizes.where("low < high").select("key", F.ceil(F.col("n") / size).alias("parts"))
+    placed = stage(members.join(parts, "key"), "placed")
+    columns = ["node", "code", "root", *columns]
+    dealt = placed.join(extra, "node").withColumn("nth", F.pmod(F.xxhash64("node"), "parts"))
+    blocks = dealt.groupBy("key", "combo", "parts", "nth").agg(F.collect_list(F.struct(*columns)).alias("m"))
+    blocks = stage(blocks.select("key", "combo", "parts", "nth", *[F.col(f"m.{c}").alias(c) for c in columns]), "blocks")
+    scratch += [placed, blocks]
+    many = blocks.where("parts > 1")
+    kinds = dict(blocks.dtypes)
+    a = ["key", "combo", *[F.col(c).alias(f"{c}_a") for c in columns]]
+    alone = blocks.select(*a, *[F.lit(None).cast(kinds[c]).alias(f"{c}_b") for c in columns])
+    side = many.select("key", F.col("nth").alias("nth_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    two = many.select(*a, "nth").join(side, "key").where("nth < nth_b")
+    return alone.union(two.select(*alone.columns))
 
 
 def _likest(met: DataFrame, least: float) -> DataFrame:
-    """(node, other) of every text with an estimate of `least` to one of another component: its likest such text."""
+    """(key, combo, node, code, estimate, other) of every text with an estimate of `least` to one of another component that it
+    meets at this key: its likest such text of the two blocks."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))]
+            out = []
             for r in frame.itertuples(index=False):
-                apart = np.asarray(r.root_a)[:, None] != np.asarray(r.root_b)
-                estimate = np.where(apart, _alike(r.sketch_a, r.sketch_b), -1)
-                if estimate.max() < least:
+                i, j, estimate = _alike(r, least)
+                if not len(i):
                     continue
-                a, b = np.asarray(r.node_a), np.asarray(r.node_b)
-                for node, other, by in ((a, b, estimate), (b, a, estimate.T)):
-                    best = by.max(axis=1)
-                    keep = best >= least
-                    found.append((node[keep], best[keep], other[by.argmax(axis=1)][keep]))
-            yield pd.DataFrame(dict(zip(("node", "estimate", "other"), map(np.concatenate, zip(*found)))))
+                x, y = (np.asarray(c) for c in (r.node_a, r.node_a if r.node_b is None else r.node_b))
+                code = np.concatenate([np.asarray(r.code_a)[i], np.asarray(r.code_a if r.node_b is None else r.code_b)[j]])
+                found = pd.DataFrame({
+                    "node": np.concatenate([x[i], y[j]]), "code": code, "estimate": np.tile(estimate, 2),
+                    "other": np.concatenate([y[j], x[i]])})
+                out.append(found.sort_values("estimate").drop_duplicates("node", keep="last").assign(key=r.key, combo=r.combo))
+            if out:
+                yield pd.concat(out)[["key", "combo", "node", "code", "estimate", "other"]]
 
-    found = met.mapInPandas(work, "node long, estimate double, other long")
-    return found.groupBy("node").agg(F.max(F.struct("estimate", "other")).alias("best")).select("node", "best.other")
+    return met.mapInPandas(work, "key long, combo int, node long, code long, estimate double, other long")
 
 
 def _linked(met: DataFrame, loose: float, least: float) -> DataFrame:
@@ -322,115 +344,99 @@ def _linked(met: DataFrame, loose: float, least: float) -> DataFrame:
         for frame in frames:
             found = []
             for r in frame.itertuples(index=False):
-                estimate = _alike(r.sketch_a, r.sketch_b)
-                i, j = np.nonzero((estimate >= loose) & (np.asarray(r.root_a)[:, None] != np.asarray(r.root_b)))
-                part = {x: x for x in (*r.root_a, *r.root_b)}
-                for at in np.argsort(-estimate[i, j], kind="stable").tolist():
-                    p, q = r.root_a[i[at]], r.root_b[j[at]]
+                i, j, estimate = _alike(r, loose)
+                root, node, sets = (
+                    (x, x if r.node_b is None else y)
+                    for x, y in ((r.root_a, r.root_b), (r.node_a, r.node_b), (r.shingles_a, r.shingles_b)))
+                part = {x: x for x in (*root[0], *root[1])}
+                for at in np.argsort(-estimate, kind="stable").tolist():
+                    p, q = root[0][i[at]], root[1][j[at]]
                     while part[p] != p:
                         p = part[p]
                     while part[q] != q:
                         q = part[q]
-                    if p != q and jaccard(r.shingles_a[i[at]], r.shingles_b[j[at]], least):
+                    if p != q and jaccard(sets[0][i[at]], sets[1][j[at]], least):
                         part[max(p, q)] = min(p, q)
-                        found.append((r.node_a[i[at]], r.node_b[j[at]]))
+                        found.append((node[0][i[at]], node[1][j[at]]))
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return met.mapInPandas(work, "a long, b long")
 
 
-def _mixed(rooted: DataFrame) -> DataFrame:
-    """(view, code, head) of the codes that meet one of another component, or have texts of two.
-
-    `rooted` is (view, code, node, root); head is the smallest node of a code. Most codes go with each view that was looked
-    at before: their texts are joined by then.
-    """
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            code, view = frame.code.to_numpy(), frame["view"].to_numpy(np.int64)
-            row, key = golay_keys(code)
-            yield pd.DataFrame({
-                "key": view[row] << 37 | key, "view": view[row], "code": code[row],
-                "low": frame.low.to_numpy()[row], "high": frame.high.to_numpy()[row]})
-
-    codes = rooted.groupBy("view", "code").agg(
-        F.min("node").alias("head"), F.min("root").alias("low"), F.max("root").alias("high"))
-    codes = stage(codes, "heads")
-    keys = stage(codes.select("view", "code", "low", "high").mapInPandas(work, "key long, view int, code long, low long, high long"), "keys")
-    apart = keys.groupBy("key").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a < b").select("key")
-    meeting = keys.join(apart, "key", "left_semi").select("view", "code").distinct()
-    found = stage(codes.join(meeting, ["view", "code"], "left_semi").select("view", "code", "head"), "mixed")
-    release(codes, keys, shuffles=True)
-    return found
-
-
 class _Copies:
-    """The links found so far between texts of one `texts` table (node, codes, sketch, shingles), and their components."""
+    """The components that links found so far make of the texts of one `texts` table (node, codes, sketch, brief, shingles)."""
 
     def __init__(self, texts: DataFrame, group_most: int, similarity: float, loose: float) -> None:
-        self.texts, self.group_most, self.similarity, self.loose = texts, group_most, similarity, loose
+        self.texts, self.group_most, self.similarity, self.loose = texts, max(group_most, 16), similarity, loose
         self.sets = texts.select("node", "shingles")
-        none = texts.sparkSession.createDataFrame([], "a long, b long")
-        self.links: list[DataFrame] = [none]
-        self.roots = stage(none.toDF("node", "root"), "roots")
+        self.roots = stage(texts.sparkSession.createDataFrame([], "node long, root long"), "roots")
 
     def add(self, links: DataFrame) -> None:
+        """Links join components: those of the components that they join are looked for, not those of all texts again."""
         links = stage(links, "verified")
         if not links.isEmpty():
-            self.links.append(links)
             last = self.roots
-            self.roots = stage(connected_components(functools.reduce(DataFrame.union, self.links)), "roots")
-            release(last, shuffles=True)
+            ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+            ends = ends.join(last, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+            joined = links
+            for end in ("a", "b"):
+                joined = joined.join(ends.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end)
+            joined = connected_components(joined.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+            joined = joined.select(F.col("node").alias("root"), F.col("root").alias("joined"))
+            self.roots = stage(last.union(ends).distinct().join(joined, "root", "left").select(
+                "node", F.coalesce("joined", "root").alias("root")), "roots")
+            release(last)
+        release(links, shuffles=True)
+
+    def add_alike(self, found: DataFrame) -> None:
+        """Link the pairs (node, other) that have the similarity."""
+        pairs = found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        pairs = stage(_similar(pairs, self.texts, self.loose), "pairs")
+        self.add(_verified(pairs, self.sets, self.similarity))
+        release(pairs)
 
     def rooted(self, coded: DataFrame) -> DataFrame:
         return stage(coded.join(self.roots, "node", "left").select(
             "view", "code", "node", F.coalesce("root", "node").alias("root")), "rooted")
 
     def look(self, views: list[int]) -> None:
-        """Link all texts that meet in these views: stars first, then what is left in different components, in blocks."""
+        """Link all texts that meet in these views: each with the first of a key, then what is left in different components, in
+        blocks of the texts of a key."""
         code = F.explode(F.array(*[F.struct(F.lit(v).alias("view"), F.col("codes")[v].alias("code")) for v in views])).alias("c")
         first = self.rooted(self.texts.select("node", code).select("node", "c.view", "c.code"))
-        heads = _mixed(first)
-        if heads.isEmpty():
-            release(first, heads)
-            return
-        near, neighbours, keys = _meetings(heads, self.group_most)
-        near, neighbours = stage(near, "near"), stage(neighbours, "neighbours")
-        # Most middles have one code, which meets no other there.
-        shared = neighbours.groupBy("view", "middle").count().where("count > 1").select("view", "middle")
-        around = stage(neighbours.join(shared, ["view", "middle"], "left_semi"), "shared_middles")
-        release(neighbours, keys, shuffles=True)
-        coded = stage(first.join(heads.select("view", "code"), ["view", "code"], "left_semi"), "coded")
+        keyed = first.select("node", "root", "code", _block_keys("view", "code").alias("k")).select("node", "root", "code", "k.combo", "k.key")
+        apart = keyed.groupBy("key").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("head"),
+            F.min_by("code", "node").alias("head_code"), F.min_by("root", "node").alias("head_root")).where("low < high")
+        shared = stage(keyed.join(apart.select("key", "head", "head_code", "head_root"), "key"), "shared_keys")
         release(first)
-        stars = _starred(near, around)
-        for end in ("a", "b"):
-            stars = stars.join(heads.select("view", F.col("code").alias(end), F.col("head").alias(f"head_{end}")), ["view", end])
-        same = coded.join(heads, ["view", "code"]).where("node <> head").select("head", "node")
-        found = stars.select("head_a", "head_b").union(same).toDF("x", "y").where("x <> y")
-        pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        for end in ("a", "b"):
-            pairs = pairs.join(self.roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
-        apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-        pairs = stage(_similar(pairs.where(apart).select("a", "b"), self.texts, self.loose), "pairs")
-        self.add(_verified(pairs, self.sets, self.similarity))
-        release(pairs, shuffles=True)
-        nodes = coded.select("view", "code", "node")
-        sketches = _of_nodes(self.texts.select("node", "sketch"), nodes.select("node"))
-        now = self.rooted(nodes)
+        if shared.isEmpty():
+            release(shared)
+            return
+        # One pair a text, so that pairs are in proportion to texts however many meet at a key.
+        bits = F.bit_count(F.col("code").bitwiseXOR(F.col("head_code")))
+        nearest = shared.where(F.col("root") != F.col("head_root")).groupBy("node").agg(*[
+            F.min(F.when(bits == n, F.col("head"))).alias(f"at_{n}") for n in range(MAX_DISTANCE + 1)])
+        head = F.coalesce(*[f"at_{n}" for n in range(MAX_DISTANCE + 1)])
+        self.add_alike(nearest.select("node", head.alias("other")).where("other IS NOT NULL"))
+        members = shared.select("key", "combo", "node", "code").join(self.roots, "node", "left").select(
+            "key", "combo", "node", "code", F.coalesce("root", "node").alias("root"))
         scratch: list[DataFrame] = []
-        likest = stage(_likest(_meeting_blocks(now, near, around, sketches, ["sketch"], 64, scratch), self.loose), "likest")
-        release(now, *scratch)
+        met = _blocks(members, self.texts.select("node", F.col("brief").alias("sketch")), ["sketch"], 4 * self.group_most, scratch)
+        likest = stage(_likest(met, _BRIEF_LEAST), "likest")
+        release(shared, *scratch)
         if not likest.isEmpty():
             # Only these can still be linked; first each to the likest, which leaves few components to compare in full.
-            pairs = stage(likest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "likest_pairs")
-            self.add(_verified(pairs, self.sets, self.similarity))
-            now = self.rooted(nodes.join(likest, "node", "left_semi"))
-            scratch = [pairs]
+            best = likest.groupBy("node").agg(F.max(F.struct("estimate", "other")).alias("best"))
+            self.add_alike(best.select("node", "best.other"))
+            members = likest.select("key", "combo", "node", "code").distinct().join(self.roots, "node", "left").select(
+                "key", "combo", "node", "code", F.coalesce("root", "node").alias("root"))
+            scratch = []
             both = _of_nodes(self.texts.select("node", "sketch", "shingles"), likest.select("node"))
-            met = _meeting_blocks(now, near, around, both, ["sketch", "shingles"], 16, scratch)
+            met = _blocks(members, both, ["sketch", "shingles"], self.group_most // 4, scratch)
             self.add(_linked(met, self.loose, self.similarity))
-            release(now, *scratch)
-        release(likest, near, around, coded, heads, shuffles=True)
+            release(*scratch)
+        release(likest, shuffles=True)
 
 
 def near_copies(
@@ -440,12 +446,13 @@ def near_copies(
     """(doc_id, node, root): groups of texts that are alike, whatever the length of the chain between them.
 
     Single fingerprints miss most copies in which a word in fifty differs, so a text has `many`, over its words. Texts whose
-    fingerprints are equal or at most 2 bits apart in any of them are candidates. One view of fingerprints is looked at
-    after the other: stars of candidates are verified first; then every two candidates that links leave in different components
-    are compared, in blocks, so what is left out can't change a group. The next views only see texts whose fingerprint meets
-    that of another component. A link stands if the sets of different `shingle`-word shingles of its texts have a Jaccard
+    fingerprints are equal or at most 2 bits apart in any of them are candidates: cut into six parts, they share four. One view
+    of fingerprints is looked at after the other: a pair for each text is verified first; then every two candidates that links
+    leave in different components are compared where they meet, in blocks of about 4 x `group_most` texts, so what is left out
+    can't change a group, and no join makes a row for each pair. The next views only see texts whose fingerprint meets that of
+    another component. A link stands if the sets of different `shingle`-word shingles of its texts have a Jaccard
     similarity of at least `similarity`. Sketches of them only keep pairs from that test whose estimate, with a standard
-    error of 0.025 at 0.8, is below `loose`. node is the text's 64-bit hash, so equal texts are one; of
+    error of 0.025 at 0.8, is below `loose`; short ones, with 0.05, drop most others as they meet. node is the text's 64-bit hash, so equal texts are one; of
     10^9 different texts, 0.03 pairs share one. Tables between the steps are deleted as soon as they are read. Of up to
     `together` texts the views after the first are looked at in two turns instead of four: the groups are the same, and the
     driver plans, and keeps the records of, fewer jobs.
@@ -456,12 +463,12 @@ def near_copies(
             sets = [shingles(w, shingle) for w in words]
             yield pd.DataFrame({
                 "node": frame.node, "codes": [views(w, many) for w in words], "sketch": [sketch(h) for h in sets],
-                "shingles": [packed(h) for h in sets]})
+                "brief": [sketch(h, 6) for h in sets], "shingles": [packed(h) for h in sets]})
 
     node = F.xxhash64(F.coalesce("text", F.lit("")))
     seen = docs.select(node.alias("node"), "text").mapInPandas(
-        trimmed(work), "node long, codes array<long>, sketch binary, shingles binary")
-    texts = stage(seen.groupBy("node").agg(*[F.first(c).alias(c) for c in ("codes", "sketch", "shingles")]), "texts")
+        trimmed(work), "node long, codes array<long>, sketch binary, brief binary, shingles binary")
+    texts = stage(seen.groupBy("node").agg(*[F.first(c).alias(c) for c in ("codes", "sketch", "brief", "shingles")]), "texts")
     copies = _Copies(texts, group_most, similarity, loose)
     # The first view finds most copies; later ones have little left to do and go two by two, those of few texts in halves.
     if texts.limit(together + 1).count() <= together:
@@ -471,7 +478,7 @@ def near_copies(
     for some in turns:
         if some and some[0] < many:
             copies.look(some)
-    release(texts, *copies.links[1:])
+    release(texts)
     return docs.select("doc_id", node.alias("node")).join(copies.roots, "node", "left").select(
         "doc_id", "node", F.coalesce("root", "node").alias("root"))
 

@@ -525,3 +525,33 @@ def test_few_texts_are_looked_at_in_fewer_turns_with_the_same_groups(spark, monk
     many8 = rows(simhash.near_copies(docs, together=0), "doc_id", "root")
     assert turns == [[0], [1], [2, 3], [4, 5], [6, 7]]
     assert few == few8 == many8 and len({root for _, root in few}) == 3
+
+
+def test_near_copies_pair_each_text_once_however_many_meet(spark, monkeypatch):
+    # 60 codes of one bit: every two are two bits apart and meet.
+    monkeypatch.setattr(simhash, "views", lambda words, many: [1 << len(words) % 60] * many)
+    pairs, similar = [], simhash._similar
+    monkeypatch.setattr(simhash, "_similar", lambda some, *rest: (pairs.append(some.count()), similar(some, *rest))[1])
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(60 + i))) for i in range(58)]
+    base = [f"w57x{j}" for j in range(117)]
+    texts += [(100, " ".join([*base, "and"])), (101, " ".join([*base, "and", "more"]))]
+    docs = docs_of(spark, texts)
+    assert rows(simhash.keep_one(docs), "doc_id") == sorted([(i,) for i in range(58)], key=repr)
+    assert pairs and max(pairs) <= len(texts)
+
+
+def test_codes_at_most_two_bits_apart_are_compared_at_one_key(spark):
+    rng = np.random.default_rng(12)
+    codes = rng.integers(-2**63, 2**63 - 1, 200)
+    for flips in (0, 1, 2):
+        differ = np.zeros(200, np.int64)
+        for bits in (rng.permuted(np.tile(np.arange(64), (200, 1)), axis=1)[:, :flips]).T:
+            differ ^= np.left_shift(np.int64(1), bits)
+        keys = []
+        for side in (codes, codes ^ differ):
+            df = spark.createDataFrame([(i, 0, int(c)) for i, c in enumerate(side)], "i int, view int, code long")
+            keys.append({tuple(r) for r in df.select("i", simhash._block_keys("view", "code").alias("k")).select("i", "k.combo", "k.key").collect()})
+        met = np.zeros(200, int)
+        for i, combo, _ in keys[0] & keys[1]:
+            met[i] += simhash._first_met(differ[i:i + 1], combo)[0]
+        assert (met == 1).all()
