@@ -241,10 +241,10 @@ def job_run_stats(spark, sf_dir):
 
 
 def file_run_stats(spark, sf_dir):
-    started = runs.start_files(
-        v.file_starts(spark, sf_dir), v.file_metadata(spark, sf_dir), v.job_runs(spark, sf_dir)
+    finished = runs.start_files(
+        v.file_starts(spark, sf_dir), v.file_metadata(spark, sf_dir), v.job_runs(spark, sf_dir),
+        ends=v.file_ends(spark, sf_dir),
     )
-    finished = runs.finish_files(started, v.file_ends(spark, sf_dir))
     return finished.select(
         "file_id", "job_run_id", "execution_run_id", "source_count", "target_count",
         "duration_in_seconds", "status",

@@ -13,6 +13,11 @@ from tallykeep.operators.lookup import lookup_join
 
 STARTED = "Started"
 
+FILE_RUN_COLUMNS = [
+    "file_run_id", "execution_run_id", "job_run_id", "file_id", "load_start_time", "source_count", "target_count",
+    "load_end_time", "duration_in_seconds", "status",
+]
+
 
 def run_id(*parts: Column) -> Column:
     texts = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
@@ -183,14 +188,24 @@ def finish_jobs(runs: DataFrame, ends: DataFrame) -> DataFrame:
 # -- files -----------------------------------------------------------------------------------
 
 
+def _file_jobs(file_metadata: DataFrame, started: DataFrame, hot_rows: int | None) -> DataFrame:
+    """``(file_id, job_id)`` of files whose job has a started run, one row per file: of several jobs the one that started last,
+    of those the largest. Run ids, by far the longest columns, stay out of it."""
+    times = started.select("job_id", "job_start_time")
+    found = lookup_join(file_metadata.select("file_id", "job_id"), times, "job_id", "file_id", how="inner", hot_rows=hot_rows)
+    return _one_each(found, "file_id", "job_start_time", ["job_id"]).select("file_id", "job_id")
+
+
+def _started_jobs(job_runs: DataFrame) -> DataFrame:
+    return _latest_started(job_runs, "job_id", "job_start_time", ["job_start_time", "execution_run_id", "job_run_id"])
+
+
 def file_lineage(file_metadata: DataFrame, job_runs: DataFrame, *, hot_rows: int | None = None) -> DataFrame:
     """``(file_id, job_id, execution_run_id, job_run_id)`` of files whose job has a started run, one row per file."""
-    started = _latest_started(
-        job_runs, "job_id", "job_start_time", ["job_start_time", "execution_run_id", "job_run_id"])
-    files = file_metadata.select("file_id", "job_id")
-    found = lookup_join(files, started, "job_id", "file_id", how="inner", hot_rows=hot_rows)
-    return _one_each(found, "file_id", "job_start_time", ["job_run_id", "execution_run_id", "job_id"]).select(
-        "file_id", "job_id", "execution_run_id", "job_run_id")
+    started = _started_jobs(job_runs)
+    files = _file_jobs(file_metadata, started, hot_rows)
+    return lookup_join(
+        files, started.select("job_id", "execution_run_id", "job_run_id"), "job_id", "file_id", how="inner", hot_rows=hot_rows)
 
 
 def run_lineage(
@@ -203,16 +218,22 @@ def run_lineage(
 
 
 def start_files(
-    starts: DataFrame, file_metadata: DataFrame, job_runs: DataFrame, *, hot_rows: int | None = None
+    starts: DataFrame, file_metadata: DataFrame, job_runs: DataFrame, *, ends: DataFrame | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Started rows from ``(file_id, source_count, target_count, load_start_time)``."""
+    """Started rows from ``(file_id, source_count, target_count, load_start_time)``.
+
+    With ``ends``, as ``finish_files`` takes them, the runs that have ended by now are finished. The ids of the job's run are
+    looked up last, so that no other step moves them.
+    """
     start = _millis("load_start_time")
     named = starts.withColumn(
         "file_run_id", run_id(F.col("file_id"), F.date_format(start, "yyyy-MM-dd HH:mm:ss.SSS"))
     )
-    lineage = file_lineage(file_metadata, job_runs, hot_rows=hot_rows)
-    return lookup_join(named, lineage, "file_id", "file_run_id", how="inner", hot_rows=hot_rows).select(
-        "file_run_id", "execution_run_id", "job_run_id", "file_id",
+    started = _started_jobs(job_runs)
+    files = _file_jobs(file_metadata, started, hot_rows)
+    rows = lookup_join(named, files, "file_id", "file_run_id", how="inner", hot_rows=hot_rows).select(
+        "file_run_id", "job_id", "file_id",
         start.cast("timestamp").alias("load_start_time"),
         F.col("source_count").cast("bigint").alias("source_count"),
         F.col("target_count").cast("bigint").alias("target_count"),
@@ -220,14 +241,13 @@ def start_files(
         F.lit(None).cast("bigint").alias("duration_in_seconds"),
         F.lit(STARTED).alias("status"),
     )
+    if ends is not None:
+        rows = _finished(rows, ends)
+    ids = started.select("job_id", "execution_run_id", "job_run_id")
+    return lookup_join(rows, ids, "job_id", "file_run_id", how="inner", hot_rows=hot_rows).select(*FILE_RUN_COLUMNS)
 
 
-def finish_files(runs: DataFrame, ends: DataFrame) -> DataFrame:
-    """``runs`` with ended loads finished.
-
-    ``ends`` has ``load_end_time, source_count, target_count, status`` and either the
-    ``file_run_id`` or ``load_start_time`` and ``file_id`` of the run.
-    """
+def _finished(runs: DataFrame, ends: DataFrame) -> DataFrame:
     by_run = "file_run_id" in ends.columns
     keys = ["file_run_id"] if by_run else ["load_start_time", "file_id"]
     matching = [
@@ -242,13 +262,15 @@ def finish_files(runs: DataFrame, ends: DataFrame) -> DataFrame:
     )
     found = runs.join(_last_ends(given, keys, "load_end_time"), keys, "left")
     matched = F.col("_e").isNotNull()
-    return found.select(
-        "file_run_id", "execution_run_id", "job_run_id", "file_id", "load_start_time",
-        _updated(matched, F.col("_e.source_count"), "source_count"),
-        _updated(matched, F.col("_e.target_count"), "target_count"),
-        _updated(matched, F.col("_e.load_end_time"), "load_end_time"),
-        _updated(
-            matched, elapsed_seconds(F.col("load_start_time"), F.col("_e.load_end_time")), "duration_in_seconds"
-        ),
-        _updated(matched, F.col("_e.status"), "status"),
-    )
+    new = {c: F.col(f"_e.{c}") for c in ("source_count", "target_count", "load_end_time", "status")}
+    new["duration_in_seconds"] = elapsed_seconds(F.col("load_start_time"), F.col("_e.load_end_time"))
+    return found.select(*[_updated(matched, new[c], c) if c in new else F.col(c) for c in runs.columns])
+
+
+def finish_files(runs: DataFrame, ends: DataFrame) -> DataFrame:
+    """``runs`` with ended loads finished.
+
+    ``ends`` has ``load_end_time, source_count, target_count, status`` and either the
+    ``file_run_id`` or ``load_start_time`` and ``file_id`` of the run.
+    """
+    return _finished(runs, ends).select(*FILE_RUN_COLUMNS)

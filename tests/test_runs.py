@@ -132,3 +132,24 @@ def test_a_job_of_two_batches_has_one_run(spark):
     started = runs.start_jobs(job_starts(spark, [1]), both, batch_runs)
     last = batch_runs.where("batch_id = 'b2'").first().execution_run_id
     assert rows(started, "job_id", "execution_run_id") == [(1, last)]
+
+
+def test_run_ids_are_not_moved_by_file(spark, capsys):
+    job_runs = runs.start_jobs(job_starts(spark, [1, 2]), spark.createDataFrame([(1, "b1"), (2, "b2")], schemas.JOB_METADATA), batches(spark))
+    # File 12 is listed under both jobs, of which job 2 started last.
+    file_meta = spark.createDataFrame([(11, 1), (12, 1), (12, 2), (13, 3)], "file_id bigint, job_id bigint")
+    starts = spark.createDataFrame(
+        [(f, None, None, at(0)) for f in (11, 12, 13)],
+        "file_id bigint, source_count bigint, target_count bigint, load_start_time timestamp")
+    started = runs.start_files(starts, file_meta, job_runs)
+    started.explain("formatted")
+    steps = [x for x in capsys.readouterr().out.split("\n\n") if "hashpartitioning(file_id" in x or "Keys [1]: [file_id" in x]
+    assert steps and not any("_run_id" in x.replace("file_run_id", "") for x in steps)
+    ids = {r.job_id: (r.job_run_id, r.execution_run_id) for r in job_runs.collect()}
+    assert rows(started, "file_id", "job_run_id", "execution_run_id") == [(11, *ids[1]), (12, *ids[2])]
+    assert rows(runs.file_lineage(file_meta, job_runs), "file_id", "job_id", "job_run_id", "execution_run_id") == [
+        (11, 1, *ids[1]), (12, 2, *ids[2])]
+    ends = spark.createDataFrame(
+        [(11, at(0), at(30), 5, 4, "Completed")],
+        "file_id bigint, load_start_time timestamp, load_end_time timestamp, source_count bigint, target_count bigint, status string")
+    assert rows(runs.start_files(starts, file_meta, job_runs, ends=ends)) == rows(runs.finish_files(started, ends))
