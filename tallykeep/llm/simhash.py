@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallykeep.llm.components import connected_components
+from tallykeep.llm.components import connected_components, of_few
 from tallykeep.llm.shared import as_bytes, in_batches, release, stage, trimmed, word_hashes
 
 #: Generator of the binary Golay code (23, 12): x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
@@ -34,8 +34,10 @@ MAX_DISTANCE = 2
 #: The bits of six parts of a code, and every two of them: two codes at most 2 bits apart are equal but for two parts.
 _PARTS = [np.int64(np.uint64((1 << to) - (1 << at)).view(np.int64)) for at, to in pairwise((0, 11, 22, 33, 43, 53, 64))]
 _COMBOS = list(combinations(range(6), 2))
-#: Of 64 bins, so that a pair of similarity 0.8 is as far (six standard errors) above it as above 0.65 of 256 bins.
-_BRIEF_LEAST = 0.5
+#: Of 128 bins, so that a pair of similarity 0.8 is as far (six standard errors) above it as above 0.65 of 256 bins.
+_BRIEF_BITS, _BRIEF_LEAST = 7, 0.58
+#: What a task keeps of what it found before it hands it on.
+_HELD_ROWS = 1 << 18
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> bytes:
@@ -218,34 +220,34 @@ def jaccard(x: bytes, y: bytes, least: float) -> bool:
 
 
 def _of_nodes(table: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of `table` with these nodes. Up to 2^20 nodes, 8 MB, are broadcast, so that the others aren't moved."""
-    nodes = nodes.distinct()
-    few = nodes.limit((1 << 20) + 1).count() <= 1 << 20
-    return table.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+    """The rows of `table` with these nodes, of a stored table. Up to 2^20 nodes, 8 MB, are broadcast, so that the others aren't moved."""
+    return table.join(F.broadcast(nodes) if nodes.count() <= 1 << 20 else nodes.distinct(), "node", "left_semi")
+
+
+def _ends(pairs: DataFrame, texts: DataFrame, column: str) -> DataFrame:
+    """The stored pairs (a, b) with the `column` of their texts as x and y: only those of texts in pairs are moved."""
+    x, y = (_of_nodes(texts.select("node", column), pairs.select(F.col(end).alias("node"))).select(
+        F.col("node").alias(end), F.col(column).alias(name)) for end, name in (("a", "x"), ("b", "y")))
+    return x.join(of_few(pairs, pairs.count()), "a").join(y, "b").select("a", "b", "x", "y")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose shingles have a Jaccard similarity of `least`."""
+    """The stored pairs (a, b) whose shingles have a Jaccard similarity of `least`."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield frame.loc[[jaccard(x, y, least) for x, y in zip(frame.x, frame.y)], ["a", "b"]]
 
-    x, y = (_of_nodes(sets, pairs.select(F.col(end).alias("node"))) for end in ("a", "b"))
-    joined = pairs.join(x.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
-        y.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInPandas(work, "a long, b long")
+    return _ends(pairs, sets, "shingles").mapInPandas(work, "a long, b long")
 
 
 def _similar(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose sketches estimate a Jaccard similarity of `least`."""
+    """The stored pairs (a, b) whose sketches estimate a Jaccard similarity of `least`."""
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             x, y = (np.frombuffer(b"".join(frame[c]), np.uint8).reshape(-1, 256) for c in ("x", "y"))
             yield frame.loc[_estimates(x, y) >= least, ["a", "b"]]
 
-    joined = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a").join(
-        sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInPandas(work, "a long, b long")
+    return _ends(pairs, sketches, "sketch").mapInPandas(work, "a long, b long")
 
 
 def _block_keys(view: str, code: str) -> Column:
@@ -275,14 +277,21 @@ def _estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _alike(r, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, estimate) of the texts of two blocks, or two of one, that are of different components, at most 2 bits apart, first
-    met at this key and estimated at `least`."""
+    met at this key and estimated at `least`. Those that are as near in an earlier view were compared there."""
     within = r.node_b is None
-    code, root, sketches = ({x: getattr(r, f"{c}_{'a' if within else x}") for x in ("a", "b")} for c in ("code", "root", "sketch"))
+    code, root, sketches, prints = (
+        {x: getattr(r, f"{c}_{'a' if within else x}") for x in ("a", "b")} for c in ("code", "root", "sketch", "prints"))
     sketches = {x: np.frombuffer(b"".join(y), np.uint8).reshape(len(y), -1) for x, y in sketches.items()}
+    prints = {x: np.frombuffer(b"".join(y), np.uint64).reshape(len(y), -1) for x, y in prints.items()}
+    view, combo = divmod(r.combo, len(_COMBOS))
     differ = np.asarray(code["a"])[:, None] ^ np.asarray(code["b"])
     met = (np.bitwise_count(differ.view(np.uint64)) <= MAX_DISTANCE) & (np.asarray(root["a"])[:, None] != np.asarray(root["b"]))
-    met &= _first_met(differ, r.combo)
+    met &= _first_met(differ, combo)
     i, j = np.nonzero(np.triu(met) if within else met)
+    new = np.ones(len(i), bool)
+    for v in range(view):
+        new &= np.bitwise_count(prints["a"][i, v] ^ prints["b"][j, v]) > MAX_DISTANCE
+    i, j = i[new], j[new]
     found = [np.zeros(0)]
     for at in range(0, len(i), 65536):
         found.append(_estimates(sketches["a"][i[at:at + 65536]], sketches["b"][j[at:at + 65536]]))
@@ -291,36 +300,44 @@ def _alike(r, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return i[keep], j[keep], estimate[keep]
 
 
-def _blocks(members: DataFrame, extra: DataFrame, columns: list[str], size: int, scratch: list[DataFrame]) -> DataFrame:
-    """The texts of each key that has some of different components, in blocks of about `size`: each block alone (the columns of
-    b are null) and every two of a key.
-
-    `members` is (key, combo, node, code, root). A key of many texts is many rows of small size, and most keys are one block.
-    Tables that the result is read from are added to `scratch`.
-    """
+def _placed(members: DataFrame, size: int) -> DataFrame:
+    """(key, combo, node, code, root, parts): the members of keys that have some of different components, stored, with the number of
+    blocks of about `size` of their key."""
     sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     parts = sizes.where("low < high").select("key", F.ceil(F.col("n") / size).alias("parts"))
-    placed = stage(members.join(parts, "key"), "placed")
+    return stage(members.join(parts, "key"), "placed")
+
+
+def _blocks(placed: DataFrame, extra: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The texts of each key of `placed` in its blocks: each block alone (the columns of b are null) and every two of a key; and
+    the stored table that they are read from.
+
+    A key of many texts is many rows of small size, and most keys are one block.
+    """
     columns = ["node", "code", "root", *columns]
     dealt = placed.join(extra, "node").withColumn("nth", F.pmod(F.xxhash64("node"), "parts"))
     blocks = dealt.groupBy("key", "combo", "parts", "nth").agg(F.collect_list(F.struct(*columns)).alias("m"))
     blocks = stage(blocks.select("key", "combo", "parts", "nth", *[F.col(f"m.{c}").alias(c) for c in columns]), "blocks")
-    scratch += [placed, blocks]
     many = blocks.where("parts > 1")
     kinds = dict(blocks.dtypes)
     a = ["key", "combo", *[F.col(c).alias(f"{c}_a") for c in columns]]
     alone = blocks.select(*a, *[F.lit(None).cast(kinds[c]).alias(f"{c}_b") for c in columns])
     side = many.select("key", F.col("nth").alias("nth_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
     two = many.select(*a, "nth").join(side, "key").where("nth < nth_b")
-    return alone.union(two.select(*alone.columns))
+    return alone.union(two.select(*alone.columns)), blocks
 
 
-def _likest(met: DataFrame, least: float) -> DataFrame:
+def _likest(met: DataFrame, least: float, held: int = _HELD_ROWS) -> DataFrame:
     """(key, combo, node, code, estimate, other) of every text with an estimate of `least` to one of another component that it
-    meets at this key: its likest such text of the two blocks."""
+    meets at this key: its likest such text.
+
+    The blocks of a key come to a task one after the other, and a text is one row for all of them, so that rows are in
+    proportion to the texts of a key and not to its pairs of blocks. Only beyond `held` rows does a task hand on what it has so far.
+    """
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = pd.DataFrame()
         for frame in frames:
-            out = []
+            out = [best]
             for r in frame.itertuples(index=False):
                 i, j, estimate = _alike(r, least)
                 if not len(i):
@@ -331,8 +348,17 @@ def _likest(met: DataFrame, least: float) -> DataFrame:
                     "node": np.concatenate([x[i], y[j]]), "code": code, "estimate": np.tile(estimate, 2),
                     "other": np.concatenate([y[j], x[i]])})
                 out.append(found.sort_values("estimate").drop_duplicates("node", keep="last").assign(key=r.key, combo=r.combo))
-            if out:
-                yield pd.concat(out)[["key", "combo", "node", "code", "estimate", "other"]]
+            if len(out) > 1:
+                best = pd.concat(out) if len(best) else pd.concat(out[1:])
+                best = best.sort_values("estimate").drop_duplicates(["key", "node"], keep="last")
+            if len(best) > held:
+                # The last key may go on in the next frame; it is kept unless it is most of the rows.
+                going = (best["key"] == r.key).to_numpy()
+                going &= going.sum() <= held // 2
+                yield best.loc[~going, ["key", "combo", "node", "code", "estimate", "other"]]
+                best = best[going]
+        if len(best):
+            yield best[["key", "combo", "node", "code", "estimate", "other"]]
 
     return met.mapInPandas(work, "key long, combo int, node long, code long, estimate double, other long")
 
@@ -364,7 +390,7 @@ def _linked(met: DataFrame, loose: float, least: float) -> DataFrame:
 
 
 class _Copies:
-    """The components that links found so far make of the texts of one `texts` table (node, codes, sketch, brief, shingles)."""
+    """The components that links found so far make of the texts of one `texts` table (node, codes, prints, sketch, brief, shingles)."""
 
     def __init__(self, texts: DataFrame, group_most: int, similarity: float, loose: float) -> None:
         self.texts, self.group_most, self.similarity, self.loose = texts, max(group_most, 16), similarity, loose
@@ -374,24 +400,29 @@ class _Copies:
     def add(self, links: DataFrame) -> None:
         """Links join components: those of the components that they join are looked for, not those of all texts again."""
         links = stage(links, "verified")
-        if not links.isEmpty():
+        rows = links.count()
+        if rows:
             last = self.roots
-            ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-            ends = ends.join(last, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+            ends = links.select(F.col("a").alias("node")).union(links.select("b"))
+            known = last.join(of_few(ends, 2 * rows), "node", "left_semi")
             joined = links
             for end in ("a", "b"):
-                joined = joined.join(ends.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end)
-            joined = connected_components(joined.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+                root = known.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+                joined = joined.join(of_few(root, 2 * rows), end, "left")
+            joined = connected_components(joined.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
             joined = joined.select(F.col("node").alias("root"), F.col("root").alias("joined"))
-            self.roots = stage(last.union(ends).distinct().join(joined, "root", "left").select(
-                "node", F.coalesce("joined", "root").alias("root")), "roots")
+            both = last.union(ends.select("node", F.col("node").alias("root")))
+            both = both.groupBy("node").agg(F.max(F.when(F.col("root") != F.col("node"), F.col("root"))).alias("root"))
+            self.roots = stage(both.select("node", F.coalesce("root", "node").alias("root")).join(
+                of_few(joined, 2 * rows), "root", "left").select("node", F.coalesce("joined", "root").alias("root")), "roots")
             release(last)
         release(links, shuffles=True)
 
     def add_alike(self, found: DataFrame) -> None:
         """Link the pairs (node, other) that have the similarity."""
-        pairs = found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        pairs = stage(_similar(pairs, self.texts, self.loose), "pairs")
+        found = stage(found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")), "found")
+        pairs = stage(_similar(found, self.texts, self.loose), "pairs")
+        release(found)
         self.add(_verified(pairs, self.sets, self.similarity))
         release(pairs)
 
@@ -399,19 +430,25 @@ class _Copies:
         return stage(coded.join(self.roots, "node", "left").select(
             "view", "code", "node", F.coalesce("root", "node").alias("root")), "rooted")
 
-    def look(self, views: list[int]) -> None:
-        """Link all texts that meet in these views: each with the first of a key, then what is left in different components, in
-        blocks of the texts of a key."""
+    def apart(self, views: list[int]) -> DataFrame:
+        """The texts at keys of these views that have some of different components, with the smallest text of the key."""
         code = F.explode(F.array(*[F.struct(F.lit(v).alias("view"), F.col("codes")[v].alias("code")) for v in views])).alias("c")
         first = self.rooted(self.texts.select("node", code).select("node", "c.view", "c.code"))
-        keyed = first.select("node", "root", "code", _block_keys("view", "code").alias("k")).select("node", "root", "code", "k.combo", "k.key")
+        keyed = first.select("node", "root", "code", "view", _block_keys("view", "code").alias("k")).select(
+            "node", "root", "code", (F.col("view") * len(_COMBOS) + F.col("k.combo")).alias("combo"), "k.key")
         apart = keyed.groupBy("key").agg(
             F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("head"),
             F.min_by("code", "node").alias("head_code"), F.min_by("root", "node").alias("head_root")).where("low < high")
         shared = stage(keyed.join(apart.select("key", "head", "head_code", "head_root"), "key"), "shared_keys")
         release(first)
+        return shared
+
+    def look(self, views: list[int]) -> None:
+        """Link all texts that meet in these views: each with the first of a key, then what is left in different components, in
+        blocks of the texts of a key."""
+        shared = self.apart(views)
         if shared.isEmpty():
-            release(shared)
+            release(shared, shuffles=True)
             return
         # One pair a text, so that pairs are in proportion to texts however many meet at a key.
         bits = F.bit_count(F.col("code").bitwiseXOR(F.col("head_code")))
@@ -421,21 +458,23 @@ class _Copies:
         self.add_alike(nearest.select("node", head.alias("other")).where("other IS NOT NULL"))
         members = shared.select("key", "combo", "node", "code").join(self.roots, "node", "left").select(
             "key", "combo", "node", "code", F.coalesce("root", "node").alias("root"))
-        scratch: list[DataFrame] = []
-        met = _blocks(members, self.texts.select("node", F.col("brief").alias("sketch")), ["sketch"], 4 * self.group_most, scratch)
+        placed = _placed(members, 4 * self.group_most)
+        met, blocks = _blocks(placed, self.texts.select("node", F.col("brief").alias("sketch"), "prints"), ["sketch", "prints"])
+        release(shared, placed)
         likest = stage(_likest(met, _BRIEF_LEAST), "likest")
-        release(shared, *scratch)
+        release(blocks)
         if not likest.isEmpty():
             # Only these can still be linked; first each to the likest, which leaves few components to compare in full.
             best = likest.groupBy("node").agg(F.max(F.struct("estimate", "other")).alias("best"))
             self.add_alike(best.select("node", "best.other"))
             members = likest.select("key", "combo", "node", "code").distinct().join(self.roots, "node", "left").select(
                 "key", "combo", "node", "code", F.coalesce("root", "node").alias("root"))
-            scratch = []
-            both = _of_nodes(self.texts.select("node", "sketch", "shingles"), likest.select("node"))
-            met = _blocks(members, both, ["sketch", "shingles"], self.group_most // 4, scratch)
+            placed = _placed(members, self.group_most // 4)
+            both = _of_nodes(self.texts.select("node", "sketch", "prints", "shingles"), placed.select("node"))
+            met, blocks = _blocks(placed, both, ["sketch", "prints", "shingles"])
+            release(placed)
             self.add(_linked(met, self.loose, self.similarity))
-            release(*scratch)
+            release(blocks)
         release(likest, shuffles=True)
 
 
@@ -460,15 +499,15 @@ def near_copies(
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in in_batches(frames, 500):
             words = word_hashes(list(frame.text))
-            sets = [shingles(w, shingle) for w in words]
+            codes, sets = [views(w, many) for w in words], [shingles(w, shingle) for w in words]
             yield pd.DataFrame({
-                "node": frame.node, "codes": [views(w, many) for w in words], "sketch": [sketch(h) for h in sets],
-                "brief": [sketch(h, 6) for h in sets], "shingles": [packed(h) for h in sets]})
+                "node": frame.node, "codes": codes, "prints": [np.array(c, np.int64).tobytes() for c in codes], "sketch": [sketch(h) for h in sets],
+                "brief": [sketch(h, _BRIEF_BITS) for h in sets], "shingles": [packed(h) for h in sets]})
 
     node = F.xxhash64(F.coalesce("text", F.lit("")))
     seen = docs.select(node.alias("node"), "text").mapInPandas(
-        trimmed(work), "node long, codes array<long>, sketch binary, brief binary, shingles binary")
-    texts = stage(seen.groupBy("node").agg(*[F.first(c).alias(c) for c in ("codes", "sketch", "brief", "shingles")]), "texts")
+        trimmed(work), "node long, codes array<long>, prints binary, sketch binary, brief binary, shingles binary")
+    texts = stage(seen.groupBy("node").agg(*[F.first(c).alias(c) for c in ("codes", "prints", "sketch", "brief", "shingles")]), "texts")
     copies = _Copies(texts, group_most, similarity, loose)
     # The first view finds most copies; later ones have little left to do and go two by two, those of few texts in halves.
     if texts.limit(together + 1).count() <= together:
